@@ -28,14 +28,10 @@ def minhash(tokens: Column, tables: int) -> Column:
 
     Rows agree on a table with a probability equal to the overlap of their token sets.
     """
-    return F.array(
-        *[
-            F.array_min(
-                F.transform(tokens, lambda t, i=i: F.md5(F.concat_ws(":", F.lit(str(i)), t)))
-            )
-            for i in range(tables)
-        ]
-    )
+    def smallest(table: int) -> Column:
+        return F.array_min(F.transform(tokens, lambda t: F.md5(F.concat(F.lit(f"{table}:"), t))))
+
+    return F.array(*[smallest(table) for table in range(tables)])
 
 
 def lsh_communities(features: DataFrame, widths: Mapping[str, float], tables: int = 5) -> DataFrame:

@@ -334,13 +334,12 @@ def _with_previous_sample(telemetry: DataFrame) -> DataFrame:
     )
 
 
-def lap_kpis(telemetry: DataFrame, top_speed: float) -> DataFrame:
+def lap_kpis(telemetry: DataFrame) -> DataFrame:
     """Handling metrics per lap.
 
-    braking efficiency: speed shed per braking sample; acceleration: seconds from the last
-    standstill-or-slowest sample to the first later one at ``top_speed``; corner exit: mean
-    speed where throttle rises after braking; straight: top speed; blue flag: seconds from
-    each blue-flag sample to the next sample.
+    braking efficiency: speed shed per braking sample; corner exit: mean speed where throttle
+    rises after braking; straight: top speed; blue flag: seconds from each blue-flag sample to
+    the next sample.
     """
     steps = _with_previous_sample(telemetry)
     shed = F.greatest(F.col("prev.speed_kph") - F.col("speed_kph"), F.lit(0))

@@ -35,7 +35,7 @@ def interaction_graph(edge_sets: Sequence[DataFrame]) -> DataFrame:
 
 
 def pagerank(
-    vertices: DataFrame,
+    vertices: DataFrame | None,
     edges: DataFrame,
     keys: Sequence[str] = (),
     max_iter: int = 10,
@@ -44,7 +44,7 @@ def pagerank(
     dangling: bool = False,
     normalize: bool = False,
     initial: DataFrame | None = None,
-    checkpoint_every: int = 5,
+    checkpoint_every: int = 1,
     edges_per_copy: int = EDGES_PER_COPY,
 ) -> DataFrame:
     """(keys, id, pagerank_score) after ``max_iter`` rounds of
@@ -56,36 +56,48 @@ def pagerank(
     ``weight`` splits a rank by edge weight, ``dangling`` spreads the lost rank evenly,
     ``normalize`` scales the result to sum 1, ``initial`` (keys, id, rank) warm-starts.
 
-    ``keys`` name the graph an edge belongs to; all graphs are ranked in the same rounds.
+    Without ``vertices`` the ends of the edges are ranked. ``keys`` name the graph an edge
+    belongs to; all graphs are ranked in the same rounds.
+    Every ``checkpoint_every`` rounds the ranks (one row per vertex) are written to the
+    checkpoint folder, so plans stay short and a lost executor costs one round.
+
     A source with many edges is copied once per ``edges_per_copy`` edges and its edges are
     spread over the copies, so no task holds all edges of a hub.
     """
-    ensure_checkpoint_dir(vertices.sparkSession)
+    spark = edges.sparkSession
+    ensure_checkpoint_dir(spark)
+    # A fixed partition count, so that every round joins on this layout without moving it.
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(keys)
+    given = edges.select(*keys, "src", "dst", *([weight] if weight else [])).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
     out = F.sum(weight) if weight else F.count("*")
-    degrees = edges.groupBy(*keys, "src").agg(
+    degrees = given.groupBy(*keys, "src").agg(
         out.cast("double").alias("_out"),
         F.ceil(F.count("*") / F.lit(edges_per_copy)).alias("_copies"),
     )
     share = (F.col(weight).cast("double") if weight else F.lit(1.0)) / F.col("_out")
-    spread = salted_join(edges, degrees, [*keys, "src"]).select(
-        *keys, "src", "dst", share.alias("_share"),
-        F.pmod(F.xxhash64("dst"), F.col("_copies")).alias("_copy"),
-    )
-    # A fixed partition count, so that every round joins on this layout without moving it.
-    partitions = int(vertices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = spread.repartition(partitions, *keys, "src", "_copy").persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-
-    sizes = vertices.groupBy(*keys).agg(F.count("*").alias("_n"))
-    base = salted_join(vertices.select(*keys, "id"), sizes, keys) if keys else vertices.select(
-        "id", sizes.scalar().alias("_n")
+    spread = (
+        salted_join(given, degrees, [*keys, "src"])
+        .select(
+            *keys, "src", "dst", share.alias("_share"),
+            F.pmod(F.xxhash64("dst"), F.col("_copies")).alias("_copy"),
+        )
+        .repartition(partitions, *keys, "src", "_copy")
+        .sortWithinPartitions(*keys, "src", "_copy")
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    known = base.join(degrees.withColumnRenamed("src", "id"), [*keys, "id"], "left").select(
-        *keys, "id", "_n", F.coalesce("_copies", F.lit(0)).alias("_copies")
+    ids = edge_vertices(given, keys) if vertices is None else vertices.select(*keys, "id")
+    sizes = ids.groupBy(*keys).agg(F.count("*").alias("_n"))
+    sized = salted_join(ids, sizes, keys) if keys else ids.withColumn("_n", sizes.scalar())
+    known = (
+        sized.join(degrees.withColumnRenamed("src", "id"), [*keys, "id"], "left")
+        .select(*keys, "id", "_n", F.coalesce("_copies", F.lit(0)).alias("_copies"))
+        .repartition(partitions, *keys, "id")
+        .sortWithinPartitions(*keys, "id")
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    known = known.repartition(partitions, *keys, "id").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ranks = known.withColumn("rank", F.lit(1.0) / F.col("_n"))
         if initial is not None:
@@ -96,15 +108,16 @@ def pagerank(
             )
         for round_no in range(1, max_iter + 1):
             ranks = _round(ranks, known, spread, keys, reset_prob, dangling)
-            if checkpoint_every and round_no % checkpoint_every == 0 and round_no < max_iter:
+            # Spreading lost rank reads the ranks twice, so there they are cut every round.
+            if round_no < max_iter and (dangling or round_no % checkpoint_every == 0):
                 ranks = ranks.checkpoint()
         scores = ranks.select(*keys, "id", F.col("rank").alias("pagerank_score"))
         if normalize:
             scores = _normalized(scores, keys)
         return scores.checkpoint()
     finally:
-        spread.unpersist()
-        known.unpersist()
+        for table in (given, spread, known):
+            table.unpersist()
 
 
 def _round(
@@ -160,7 +173,7 @@ def compute_pagerank(
 def session_pagerank(edge_sets: Sequence[DataFrame], **options) -> DataFrame:
     """PageRank of the drivers inside every session; a session without edges gives no rows."""
     edges = interaction_graph(edge_sets)
-    return pagerank(edge_vertices(edges, ["session_id"]), edges, ["session_id"], **options)
+    return pagerank(None, edges, ["session_id"], **options)
 
 
 def rank_trend(edges: DataFrame, up_to: str, last: int, **options) -> DataFrame:
@@ -172,7 +185,7 @@ def rank_trend(edges: DataFrame, up_to: str, last: int, **options) -> DataFrame:
     prefixes = first.select(
         F.explode(F.sequence(F.col("_first"), F.lit(last))).alias(up_to), "src", "dst"
     )
-    scores = pagerank(edge_vertices(prefixes, [up_to]), prefixes, [up_to], **options)
+    scores = pagerank(None, prefixes, [up_to], **options)
     before = scores.select(
         (F.col(up_to) + 1).alias(up_to), "id", F.col("pagerank_score").alias("_before")
     )

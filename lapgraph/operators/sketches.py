@@ -141,17 +141,20 @@ class BlockedBloom:
 
     def build(self, df: DataFrame, key: str) -> DataFrame:
         positions = F.array(*self._bits(F.col(key)))
-        words = []
-        for w in range(self.WORDS):
-            mine = F.filter(positions, lambda p, w=w: F.floor(p / F.lit(64)) == F.lit(w))
+
+        def word(number: int) -> Column:
+            mine = F.filter(positions, lambda p: F.floor(p / F.lit(64)) == F.lit(number))
+            one = F.lit(1).cast("bigint")
             mask = F.aggregate(
                 mine,
                 F.lit(0).cast("bigint"),
                 lambda acc, p: acc.bitwiseOR(
-                    F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(p, F.lit(64)))
+                    F.call_function("shiftleft", one, F.pmod(p, F.lit(64)))
                 ),
             )
-            words.append(F.bit_or(mask).alias(f"w{w}"))
+            return F.bit_or(mask).alias(f"w{number}")
+
+        words = [word(number) for number in range(self.WORDS)]
         keys = df.filter(F.col(key).isNotNull()).select(key).distinct()
         table = keys.groupBy(self._block(F.col(key)).alias("bloom_block")).agg(*words)
         return table.select("bloom_block", F.array(*[f"w{w}" for w in range(self.WORDS)]).alias("bits"))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["ingest", "aggregates", "detection"]
+MODULES = ["ingest", "aggregates", "detection", "facts", "graphs"]
 
 
 def load() -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lapgraph.operators.graph import interactions_of
-from lapgraph.operators.pagerank import edge_vertices, pagerank, session_pagerank
+from lapgraph.operators.pagerank import pagerank, session_pagerank
 from lapgraph.operators.profiles import driver_identity, session_span
 from lapgraph.operators.selection import with_ids
 from lapgraph.operators.upsert import finish_partials, lap_partials, last_batch, merge_partials
@@ -101,6 +101,4 @@ def warm_pagerank(previous: DataFrame, edges: DataFrame, max_iter: int = 3, **op
     """Incremental update: start from the last scores and run a few rounds on the new graph."""
     keys = [c for c in previous.columns if c not in ("id", "pagerank_score")]
     initial = previous.withColumnRenamed("pagerank_score", "rank")
-    return pagerank(
-        edge_vertices(edges, keys), edges, keys, max_iter=max_iter, initial=initial, **options
-    )
+    return pagerank(None, edges, keys, max_iter=max_iter, initial=initial, **options)
