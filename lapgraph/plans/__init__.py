@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["ingest", "aggregates", "detection", "facts", "graphs"]
+MODULES = ["ingest", "aggregates", "detection", "facts", "graphs", "analytics", "sketching"]
 
 
 def load() -> None:
