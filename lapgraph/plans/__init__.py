@@ -2,7 +2,9 @@
 
 from importlib import import_module
 
-MODULES = ["ingest", "aggregates", "detection", "facts", "graphs", "analytics", "sketching"]
+MODULES = [
+    "ingest", "aggregates", "detection", "facts", "graphs", "analytics", "sketching", "streams",
+]
 
 
 def load() -> None:
