@@ -1,7 +1,7 @@
 """The analytic query library over node and edge tables.
 
 Every top list is ordered by its measure and then by the keys, so it is the same on every
-run. Names are joined to the few rows of a list after it has been cut.
+run.
 """
 
 from __future__ import annotations
@@ -89,39 +89,38 @@ def fastest_laps(laps: DataFrame, drivers: DataFrame, n: int = 10) -> DataFrame:
 
 
 def _both_named(edges: DataFrame, drivers: DataFrame) -> DataFrame:
-    return _named(_named(edges, drivers, "attacker_id", "attacker"), drivers, "defender_id", "defender")
-
-
-def _both_known(edges: DataFrame, drivers: DataFrame) -> DataFrame:
-    return _known(_known(edges, drivers, "attacker_id"), drivers, "defender_id")
+    """Edges whose two drivers are known, with their names."""
+    named = edges
+    for column, name in (("attacker_id", "attacker"), ("defender_id", "defender")):
+        names = drivers.select(F.col("driver_id").alias(column), F.col("driver_name").alias(name))
+        named = salted_join(named, names, [column])
+    return named
 
 
 def recent_overtakes(edges: DataFrame, drivers: DataFrame, n: int = 10) -> DataFrame:
-    newest = top(_both_known(edges, drivers), n, [F.desc("event_ts"), F.asc("event_id")])
-    return _both_named(newest, drivers).select(
-        "attacker_id", "attacker", "defender_id", "defender", "session_id", "lap_number", "event_ts"
+    wanted = edges.select(
+        "attacker_id", "defender_id", "session_id", "lap_number", "event_ts", "event_id"
     )
+    return top(_both_named(wanted, drivers), n, [F.desc("event_ts"), F.asc("event_id")]).drop("event_id")
 
 
 def longest_battles(edges: DataFrame, drivers: DataFrame, n: int = 10) -> DataFrame:
     """Battles of unknown length come first, as missing values do in a descending order."""
-    longest = top(_both_known(edges, drivers), n, [F.desc_nulls_first("lap_count"), F.asc("event_id")])
-    return _both_named(longest, drivers).select(
-        "attacker_id", "attacker", "defender_id", "defender", "session_id", "lap_number", "lap_count"
+    wanted = edges.select(
+        "attacker_id", "defender_id", "session_id", "lap_number", "lap_count", "event_id"
     )
+    order = [F.desc_nulls_first("lap_count"), F.asc("event_id")]
+    return top(_both_named(wanted, drivers), n, order).drop("event_id")
 
 
 def interaction_summary(edges: DataFrame, drivers: DataFrame, n: int = 20) -> DataFrame:
     """Occurrences per ordered pair and type. Over the event table these are all events; over
     the latest-per-pair table every pair counts once."""
     counts = edges.groupBy("rel", "attacker_id", "defender_id").agg(F.count("*").alias("occurrences"))
-    most = top(
-        _both_known(counts, drivers), n,
+    return top(
+        _both_named(counts, drivers), n,
         [F.desc("occurrences"), F.asc("rel"), F.asc("attacker_id"), F.asc("defender_id")],
-    )
-    return _both_named(most, drivers).select(
-        "attacker_id", "attacker", "rel", "defender_id", "defender", "occurrences"
-    )
+    ).select("attacker_id", "attacker", "rel", "defender_id", "defender", "occurrences")
 
 
 def sample_node(nodes: DataFrame, key: str) -> DataFrame:

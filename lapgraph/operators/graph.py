@@ -104,9 +104,11 @@ def completed_by_edges(telemetry: DataFrame) -> DataFrame:
     )
 
 
-def interactions_of(events: DataFrame, relationship: str) -> DataFrame:
-    """Events of one type (any case) with both drivers known after the fallbacks."""
-    return with_endpoints(resolve_interaction(of_type(events, relationship)))
+def interactions_of(events: DataFrame, *relationships: str) -> DataFrame:
+    """Events of the given types (any case) with both drivers known after the fallbacks,
+    and their relation name ``rel``. One pass over the events for all types."""
+    typed = of_type(events, *relationships).withColumn("rel", F.upper("event_type"))
+    return with_endpoints(resolve_interaction(typed))
 
 
 def interaction_edges(events: DataFrame, relationship: str) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapgraph.functions.scalars import (
     content_hash, correlation_id, event_key, millis_between, sampling_weight,
 )
 from lapgraph.operators.ordered import (
-    asof_forward, lower_side_keys, neighbour_row, number_runs, upper_side_keys,
+    asof_forward, block_of, lower_side_keys, number_runs, upper_side_keys,
 )
 from lapgraph.operators.selection import every_nth
 from lapgraph.operators.skew import salted_join
@@ -87,28 +87,43 @@ def pit_stops(laps: DataFrame) -> DataFrame:
 
 
 def position_moves(laps: DataFrame) -> DataFrame:
-    """Laps with a position on this lap and on the lap numbered exactly one less."""
-    placed = laps.filter("position IS NOT NULL")
-    before = placed.select(
-        "session_id",
-        "driver_id",
-        (F.col("lap_number") + 1).alias("lap_number"),
-        F.col("position").alias("prev_position"),
-        F.col("lap_end").alias("prev_lap_end"),
+    """Laps with a position on this lap and on the lap numbered exactly one less.
+
+    Each lap is handed to itself and to the next lap number and the two meet in one
+    grouping, so the laps are read once.
+    """
+    measures = {
+        "position": "position", "lap_end": "lap_end", "lap_time_ms": "lap_time_ms",
+        "prev_position": "position", "prev_lap_end": "lap_end",
+    }
+
+    def role(step: int) -> Column:
+        fields = [(F.col("lap_number") + step).alias("at")]
+        for name, source in measures.items():
+            mine = name.startswith("prev_") == (step == 1)
+            value = F.col(source) if mine else F.lit(None).cast(laps.schema[source].dataType)
+            fields.append(value.alias(name))
+        return F.struct(*fields)
+
+    return (
+        laps.filter("position IS NOT NULL")
+        .select("session_id", "driver_id", F.explode(F.array(role(0), role(1))).alias("r"))
+        .groupBy("session_id", "driver_id", F.col("r.at").alias("lap_number"))
+        .agg(*[F.max(f"r.{name}").alias(name) for name in measures])
+        .filter("position IS NOT NULL AND prev_position IS NOT NULL")
     )
-    return placed.join(before, ["session_id", "driver_id", "lap_number"])
 
 
-def overtaken_pairs(moves: DataFrame) -> DataFrame:
+def overtaken_pairs(laps: DataFrame) -> DataFrame:
     """(attacker, defender) rows: behind on the previous lap, ahead on this one.
 
     Both inequalities become equi keys over blocks of positions, so a task compares drivers
     of one block pair and never all drivers of a lap; for grids within one block this is a
     plain join on (session, lap).
     """
-    highest = moves.agg(F.max(F.greatest("position", "prev_position"))).scalar()
+    highest = laps.agg(F.max("position")).scalar()
     top_block = F.floor(F.coalesce(highest, F.lit(0)) / POSITION_BLOCK)
-    moves = moves.withColumn(
+    moves = position_moves(laps).withColumn(
         "_levels", F.when(top_block > 0, F.length(F.bin(top_block))).otherwise(0)
     )
     levels = F.col("_levels")
@@ -145,7 +160,7 @@ def overtakes(laps: DataFrame, max_gap_ms: int | None = None) -> DataFrame:
     ``max_gap_ms`` adds the strict rule: at the end of the previous lap the two were closer
     than this. Laps without an end time give no event; unknown lap times give NULL deltas.
     """
-    pairs = overtaken_pairs(position_moves(laps)).filter("lap_end IS NOT NULL")
+    pairs = overtaken_pairs(laps).filter("lap_end IS NOT NULL")
     if max_gap_ms is not None:
         gap = F.abs(millis_between(F.col("d_prev_lap_end"), F.col("prev_lap_end")))
         pairs = pairs.filter(gap < max_gap_ms)
@@ -175,19 +190,18 @@ def adjacent_pairs(laps: DataFrame) -> DataFrame:
 
     ``ahead_*``/``behind_*`` follow the track, ``driver_a``/``driver_b`` the alphabet.
     """
-    placed = laps.filter("position IS NOT NULL").select(
-        "session_id", "lap_number", "driver_id", "position", "lap_time_ms", "lap_end"
+    block = block_of(F.col("position"), POSITION_BLOCK)
+    # The first place of a block is also shown to the block before, where it can only follow.
+    shown = F.when(F.col("position") % POSITION_BLOCK == 0, F.array(block, block - 1)).otherwise(
+        F.array(block)
     )
-    with_next = neighbour_row(
-        placed,
-        ["session_id", "lap_number"],
-        "position",
-        ["driver_id", "position", "lap_time_ms", "lap_end"],
-        POSITION_BLOCK,
-        "behind",
-        step=1,
-        tie=["driver_id"],
+    placed = laps.filter("position IS NOT NULL").select(
+        "session_id", "lap_number", "driver_id", "position", "lap_time_ms", "lap_end",
+        block.alias("_own"), F.explode(shown).alias("_block"),
     )
+    order = Window.partitionBy("session_id", "lap_number", "_block").orderBy("position", "driver_id")
+    follower = F.struct("driver_id", "position", "lap_time_ms", "lap_end")
+    with_next = placed.withColumn("behind", F.lead(follower).over(order)).filter("_block = _own")
     return with_next.filter("behind.position - position <= 1").select(
         "session_id",
         "lap_number",

@@ -103,14 +103,45 @@ def number_runs(
 ) -> DataFrame:
     """Number the runs of a group from 1; ``starts_run(previous_row)`` opens a new run.
 
-    The first row of a group always opens one.
+    ``starts_run`` compares the ``carry`` columns of the previous row with those of the row
+    itself. The first row of a group always opens a run. Breaks inside a block are counted
+    there; one row per block (its first row, its last row, its breaks) settles the edges.
     """
-    with_prev = neighbour_row(df, keys, position, carry, width, "_prev")
-    opens = F.when(F.col("_prev").isNull(), F.lit(1)).otherwise(
-        F.coalesce(starts_run(F.col("_prev")).cast("int"), F.lit(0))
+    def opens(previous: Column) -> Column:
+        return F.when(previous.isNull(), F.lit(1)).otherwise(
+            F.coalesce(starts_run(previous).cast("int"), F.lit(0))
+        )
+
+    inside = Window.partitionBy(*keys, "_block").orderBy(position)
+    row, order = F.struct(*carry), F.col(position)
+    blocked = df.withColumn("_block", block_of(order, width)).withColumn(
+        "_prev", F.lag(row).over(inside)
+    )
+    breaks = F.when(F.col("_prev").isNull(), 0).otherwise(opens(F.col("_prev")))
+    local = blocked.withColumn("_breaks", breaks)
+    before = (
+        Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    bases = (
+        local.groupBy(*keys, "_block")
+        .agg(
+            F.min_by(row, order).alias("_first"),
+            F.max_by(row, order).alias("_last"),
+            F.sum("_breaks").alias("_inner"),
+        )
+        .withColumn("_prev", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_block")))
+        .select(*keys, "_block", "_first.*", "_prev", "_inner")
+        .withColumn("_edge", opens(F.col("_prev")))
+        .withColumn("_base", F.sum(F.col("_edge") + F.col("_inner")).over(before) - F.col("_inner"))
+        .select(*keys, "_block", "_base")
+    )
+    running = F.sum("_breaks").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        local.withColumn("_local", running)
+        .join(bases, [*keys, "_block"], "left")
+        .withColumn(out, F.col("_local") + F.col("_base"))
+        .drop("_block", "_prev", "_breaks", "_local", "_base")
     )
-    flagged = with_prev.withColumn("_opens", opens)
-    return running_agg(flagged, keys, position, "_opens", width, out).drop("_prev", "_opens")
 
 
 def asof_forward(

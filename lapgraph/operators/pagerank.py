@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from lapgraph.operators.skew import salted_join
 from lapgraph.session import ensure_checkpoint_dir
 
-EDGES_PER_COPY = 1_000_000
+# A source with more edges than this is a hub; where the graph is so large that there could
+# be more than MAX_HUBS of them, the limit rises with it.
+HUB_EDGES = 1_000_000
+MAX_HUBS = 10_000
 
 
 def edge_vertices(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -45,7 +48,7 @@ def pagerank(
     normalize: bool = False,
     initial: DataFrame | None = None,
     checkpoint_every: int = 1,
-    edges_per_copy: int = EDGES_PER_COPY,
+    hub_edges: int = HUB_EDGES,
 ) -> DataFrame:
     """(keys, id, pagerank_score) after ``max_iter`` rounds of
 
@@ -61,8 +64,10 @@ def pagerank(
     Every ``checkpoint_every`` rounds the ranks (one row per vertex) are written to the
     checkpoint folder, so plans stay short and a lost executor costs one round.
 
-    A source with many edges is copied once per ``edges_per_copy`` edges and its edges are
-    spread over the copies, so no task holds all edges of a hub.
+    The edges are laid out by source once; a round moves ranks and sums per target, never
+    edges.
+    The edges of hubs (sources with more than ``hub_edges`` edges) stay spread over all
+    partitions and get the hubs' ranks, at most MAX_HUBS of them, by broadcast.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -72,20 +77,20 @@ def pagerank(
     given = edges.select(*keys, "src", "dst", *([weight] if weight else [])).persist(
         StorageLevel.MEMORY_AND_DISK
     )
+    hub_edges = max(hub_edges, given.count() // MAX_HUBS)
     out = F.sum(weight) if weight else F.count("*")
     degrees = given.groupBy(*keys, "src").agg(
-        out.cast("double").alias("_out"),
-        F.ceil(F.count("*") / F.lit(edges_per_copy)).alias("_copies"),
+        out.cast("double").alias("_out"), (F.count("*") > hub_edges).alias("_hub")
     )
     share = (F.col(weight).cast("double") if weight else F.lit(1.0)) / F.col("_out")
-    spread = (
-        salted_join(given, degrees, [*keys, "src"])
-        .select(
-            *keys, "src", "dst", share.alias("_share"),
-            F.pmod(F.xxhash64("dst"), F.col("_copies")).alias("_copy"),
-        )
-        .repartition(partitions, *keys, "src", "_copy")
-        .sortWithinPartitions(*keys, "src", "_copy")
+    shares = salted_join(given, degrees, [*keys, "src"]).select(
+        *keys, "src", "dst", share.alias("_share"), "_hub"
+    )
+    local = (
+        shares.filter("NOT _hub")
+        .drop("_hub")
+        .repartition(partitions, *keys, "src")
+        .sortWithinPartitions(*keys, "src")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     ids = edge_vertices(given, keys) if vertices is None else vertices.select(*keys, "id")
@@ -93,59 +98,61 @@ def pagerank(
     sized = salted_join(ids, sizes, keys) if keys else ids.withColumn("_n", sizes.scalar())
     known = (
         sized.join(degrees.withColumnRenamed("src", "id"), [*keys, "id"], "left")
-        .select(*keys, "id", "_n", F.coalesce("_copies", F.lit(0)).alias("_copies"))
+        .select(*keys, "id", "_n", "_hub")
         .repartition(partitions, *keys, "id")
         .sortWithinPartitions(*keys, "id")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    hubs = None
+    if not known.filter("_hub").isEmpty():
+        hubs = shares.filter("_hub").drop("_hub").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ranks = known.withColumn("rank", F.lit(1.0) / F.col("_n"))
         if initial is not None:
-            ranks = (
-                known.join(initial.select(*keys, "id", F.col("rank").alias("_warm")), [*keys, "id"], "left")
-                .withColumn("rank", F.coalesce("_warm", F.lit(1.0) / F.col("_n")))
-                .drop("_warm")
+            warm = initial.select(*keys, "id", F.col("rank").alias("_warm"))
+            ranks = known.join(warm, [*keys, "id"], "left").select(
+                *known.columns, F.coalesce("_warm", F.lit(1.0) / F.col("_n")).alias("rank")
             )
+        # These read the ranks more than once, so they cut the plan in every round.
+        cut_always = dangling or hubs is not None
         for round_no in range(1, max_iter + 1):
-            ranks = _round(ranks, known, spread, keys, reset_prob, dangling)
-            # Spreading lost rank reads the ranks twice, so there they are cut every round.
-            if round_no < max_iter and (dangling or round_no % checkpoint_every == 0):
+            ranks = _round(ranks, known, local, hubs, keys, reset_prob, dangling)
+            if round_no < max_iter and (cut_always or round_no % checkpoint_every == 0):
                 ranks = ranks.checkpoint()
         scores = ranks.select(*keys, "id", F.col("rank").alias("pagerank_score"))
         if normalize:
             scores = _normalized(scores, keys)
         return scores.checkpoint()
     finally:
-        for table in (given, spread, known):
-            table.unpersist()
+        for table in (given, local, known, hubs):
+            if table is not None:
+                table.unpersist()
 
 
 def _round(
-    ranks: DataFrame, known: DataFrame, spread: DataFrame, keys: list[str], reset: float,
-    dangling: bool,
+    ranks: DataFrame, known: DataFrame, local: DataFrame, hubs: DataFrame | None, keys: list[str],
+    reset: float, dangling: bool,
 ) -> DataFrame:
-    senders = ranks.filter("_copies > 0").select(
-        *keys,
-        F.col("id").alias("src"),
-        "rank",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)).alias("_copy"),
-    )
-    received = (
-        spread.join(senders, [*keys, "src", "_copy"])
-        .groupBy(*keys, F.col("dst").alias("id"))
-        .agg(F.sum(F.col("rank") * F.col("_share")).alias("_in"))
+    sent = F.col("rank") * F.col("_share")
+    senders = ranks.select(*keys, F.col("id").alias("src"), "rank", "_hub")
+    shares = local.join(senders.filter("NOT _hub"), [*keys, "src"]).select(
+        *keys, "dst", sent.alias("_sent")
     )
+    if hubs is not None:
+        from_hubs = hubs.join(F.broadcast(senders.filter("_hub")), [*keys, "src"])
+        shares = shares.unionByName(from_hubs.select(*keys, "dst", sent.alias("_sent")))
+    received = shares.groupBy(*keys, F.col("dst").alias("id")).agg(F.sum("_sent").alias("_in"))
     inflow: Column = F.coalesce(F.col("_in"), F.lit(0.0))
     joined = known.join(received, [*keys, "id"], "left")
     if dangling:
-        lost = ranks.filter("_copies = 0").groupBy(*keys).agg(F.sum("rank").alias("_lost"))
+        lost = ranks.filter("_hub IS NULL").groupBy(*keys).agg(F.sum("rank").alias("_lost"))
         if keys:
             joined = salted_join(joined, lost, keys, "left")
         else:
             joined = joined.withColumn("_lost", lost.scalar())
         inflow = inflow + F.coalesce(F.col("_lost"), F.lit(0.0)) / F.col("_n")
     return joined.select(
-        *keys, "id", "_n", "_copies", (F.lit(reset) + F.lit(1 - reset) * inflow).alias("rank")
+        *known.columns, (F.lit(reset) + F.lit(1 - reset) * inflow).alias("rank")
     )
 
 

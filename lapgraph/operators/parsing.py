@@ -64,8 +64,12 @@ def interaction_payload(payload: str = "payload") -> Column:
 
 
 def resolve_interaction(events: DataFrame) -> DataFrame:
-    """Attach attacker, defender, lap and timing, falling back from payload to event fields."""
-    parsed = events.withColumn("_p", interaction_payload())
+    """Attach attacker, defender, lap and timing, falling back from payload to event fields.
+
+    The payload is generated, not projected: filters on its fields stay above it, so the
+    text is parsed once per row.
+    """
+    parsed = events.withColumn("_p", F.explode(F.array(interaction_payload())))
     return parsed.withColumns(
         {
             "attacker_id": F.coalesce("_p.attacker_id", "_p.driver_a_id", "driver_id"),

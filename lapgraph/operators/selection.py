@@ -18,8 +18,9 @@ def valid_laps(df: DataFrame) -> DataFrame:
     return df.filter(F.col("lap_number") >= 0)
 
 
-def of_type(events: DataFrame, event_type: str) -> DataFrame:
-    return events.filter(F.lower("event_type") == event_type.lower())
+def of_type(events: DataFrame, *event_types: str) -> DataFrame:
+    """Rows of the given event types, in any case."""
+    return events.filter(F.lower("event_type").isin(*[t.lower() for t in event_types]))
 
 
 def with_endpoints(interactions: DataFrame) -> DataFrame:

@@ -140,24 +140,19 @@ class BlockedBloom:
         ]
 
     def build(self, df: DataFrame, key: str) -> DataFrame:
-        positions = F.array(*self._bits(F.col(key)))
-
-        def word(number: int) -> Column:
-            mine = F.filter(positions, lambda p: F.floor(p / F.lit(64)) == F.lit(number))
-            one = F.lit(1).cast("bigint")
-            mask = F.aggregate(
-                mine,
-                F.lit(0).cast("bigint"),
-                lambda acc, p: acc.bitwiseOR(
-                    F.call_function("shiftleft", one, F.pmod(p, F.lit(64)))
-                ),
-            )
-            return F.bit_or(mask).alias(f"w{number}")
-
-        words = [word(number) for number in range(self.WORDS)]
-        keys = df.filter(F.col(key).isNotNull()).select(key).distinct()
-        table = keys.groupBy(self._block(F.col(key)).alias("bloom_block")).agg(*words)
-        return table.select("bloom_block", F.array(*[f"w{w}" for w in range(self.WORDS)]).alias("bits"))
+        position = F.explode(F.array(*self._bits(F.col(key)))).alias("_at")
+        bits = df.filter(F.col(key).isNotNull()).select(
+            self._block(F.col(key)).alias("bloom_block"), position
+        )
+        word = F.floor(F.col("_at") / F.lit(64))
+        mask = F.call_function(
+            "shiftleft", F.lit(1).cast("bigint"), F.pmod(F.col("_at"), F.lit(64))
+        )
+        words = [
+            F.bit_or(F.when(word == number, mask).otherwise(F.lit(0).cast("bigint")))
+            for number in range(self.WORDS)
+        ]
+        return bits.groupBy("bloom_block").agg(F.array(*words).alias("bits"))
 
     def probe(self, df: DataFrame, key: str, table: DataFrame) -> DataFrame:
         """Add ``maybe_present``; False is certain."""

@@ -249,9 +249,7 @@ _register_upsert("SNK6_update_only", "update")
 """)
 def edge_upsert(fx):
     columns = ["rel", "src", "dst", "event_id", "event_ts"]
-    over = interactions_of(fx.interactions, "overtake").withColumn("rel", F.lit("OVERTAKE"))
-    fights = interactions_of(fx.interactions, "battle").withColumn("rel", F.lit("BATTLE"))
-    events = over.unionByName(fights).select(
+    events = interactions_of(fx.interactions, "overtake", "battle").select(
         "rel", F.col("attacker_id").alias("src"), F.col("defender_id").alias("dst"),
         "event_id", "event_ts", "lap_number",
     )
@@ -269,9 +267,7 @@ def edge_upsert(fx):
     GROUP BY ALL
 """)
 def endpoints_exist(fx):
-    events = interactions_of(fx.interactions, "overtake").withColumn("rel", F.lit("OVERTAKE")).unionByName(
-        interactions_of(fx.interactions, "battle").withColumn("rel", F.lit("BATTLE"))
-    )
+    events = interactions_of(fx.interactions, "overtake", "battle")
     nodes = fx.drivers.filter("driver_no <> 7").select("driver_id")
     kept = salted_join(events, nodes.withColumnRenamed("driver_id", "attacker_id"), ["attacker_id"], "left_semi")
     kept = salted_join(kept, nodes.withColumnRenamed("driver_id", "defender_id"), ["defender_id"], "left_semi")

@@ -75,7 +75,7 @@ PASSES = f"""
 
 @query("JN6_overtaken_pairs", f"SELECT session_id, lap_number, attacker_id, defender_id FROM ({PASSES}) p")
 def overtaken_pairs(fx):
-    return race.overtaken_pairs(race.position_moves(fx.laps)).select(
+    return race.overtaken_pairs(fx.laps).select(
         "session_id", "lap_number", "attacker_id", "defender_id"
     )
 
@@ -207,12 +207,12 @@ EVENT_CHECKED = [
 
 @query("DET3_race_events", ALL_EVENTS)
 def race_events(fx):
-    return race.race_events(fx.laps, fx.drivers).select(*EVENT_CHECKED)
+    return race.race_events(fx.stored("laps"), fx.drivers).select(*EVENT_CHECKED)
 
 
 @query("SET4_event_counts", f"SELECT event_type, count(*) AS events FROM ({ALL_EVENTS}) e GROUP BY event_type")
 def event_counts(fx):
-    return race.race_events(fx.laps, fx.drivers).groupBy("event_type").agg(F.count("*").alias("events"))
+    return race.race_events(fx.stored("laps"), fx.drivers).groupBy("event_type").agg(F.count("*").alias("events"))
 
 
 # Every third lap is a timing mark, so many samples have to look past a missing lap.

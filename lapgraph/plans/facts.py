@@ -64,7 +64,8 @@ FACT_STINT = f"""
 
 @query("AGG17_fact_stint", FACT_STINT)
 def fact_stint(fx):
-    return facts.fact_stint(facts.with_stints(fx.laps), facts.fact_lap(fx.telemetry, fx.laps))
+    laps = fx.stored("laps")
+    return facts.fact_stint(facts.with_stints(laps), facts.fact_lap(fx.telemetry, laps))
 
 
 DRIVER_SESSION = """
@@ -103,7 +104,7 @@ def team_battles(fx):
     FROM edges GROUP BY session_id, attacker_id, defender_id
 """)
 def interaction_strength(fx):
-    both = interactions_of(fx.interactions, "overtake").unionByName(_battle_edges(fx))
+    both = interactions_of(fx.interactions, "overtake", "battle")
     return facts.interaction_strength(both)
 
 
@@ -130,7 +131,7 @@ def pace_consistency(fx):
     FROM edges GROUP BY ALL
 """)
 def interaction_nodes(fx):
-    both = interactions_of(fx.interactions, "overtake").unionByName(_battle_edges(fx))
+    both = interactions_of(fx.interactions, "overtake", "battle")
     good = F.abs(F.col("unique_interactions") - F.col("interactions")) <= F.greatest(
         F.col("interactions") * 0.15, F.lit(1.0)
     )
@@ -298,9 +299,10 @@ def safety_car_periods(fx):
       ON p.session_id = o.session_id AND p.driver_id = o.defender_id AND p.lap_number = o.lap_number
 """)
 def overtake_tags(fx):
-    laps = fx.laps.withColumn("driver_name", F.lit(None).cast("string"))
+    laps = fx.stored("laps")
+    stops = race.pit_stops(laps.withColumn("driver_name", F.lit(None).cast("string")))
     tagged = facts.overtake_tags(
-        race.overtakes(fx.laps).select(*OVERTAKE_COLUMNS), fx.telemetry, race.pit_stops(laps)
+        race.overtakes(laps).select(*OVERTAKE_COLUMNS), fx.telemetry, stops
     )
     return tagged.select("session_id", "attacker_id", "defender_id", "lap_number", "overtake_type")
 
@@ -313,11 +315,12 @@ def overtake_tags(fx):
 """)
 def fact_tables(fx):
     base = scratch_path(fx.spark, "facts")
-    lap_facts = facts.fact_lap(fx.telemetry, fx.laps)
-    passes = race.overtakes(fx.laps)
+    laps = fx.stored("laps")
+    lap_facts = facts.fact_lap(fx.telemetry, laps)
+    passes = race.overtakes(laps)
     tables = {
         "fact_lap": lap_facts,
-        "fact_stint": facts.fact_stint(facts.with_stints(fx.laps), lap_facts),
+        "fact_stint": facts.fact_stint(facts.with_stints(laps), lap_facts),
         "fact_driver_session": facts.fact_driver_session(passes),
         "fact_overtakes": passes,
     }

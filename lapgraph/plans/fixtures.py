@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lapgraph.session import scratch_path
+
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -35,7 +37,7 @@ VIEWS = {
                      CAST(hour(ts) AS INT) AS micro_sector_id, ts AS event_ts,
                      event_id AS sequence_number,
                      CAST(round(value * 100) AS BIGINT) AS speed_kph,
-                     CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k
+                     CAST(replace(replace(props, '{"k": ', ''), '}', '') AS INT) AS k
               FROM events) e
     """,
     # The same samples with missing ids, missing and negative laps, and negative speeds.
@@ -206,6 +208,12 @@ class Fixtures:
                 getattr(self, view).createOrReplaceTempView(view)
         return self.spark.sql(body)
 
+    def stored(self, name: str) -> DataFrame:
+        """A view written as a table first, for work that reads it several times."""
+        path = scratch_path(self.spark, name)
+        getattr(self, name).write.parquet(path)
+        return self.spark.read.parquet(path)
+
     def kafka_log(self) -> DataFrame:
         """The log under the column names of a Kafka source."""
         return self.log.selectExpr(

@@ -168,11 +168,7 @@ def unique_graph(fx):
 
 def interaction_events(fx) -> DataFrame:
     """Overtake and battle events of the interactions view, one edge per event."""
-    both = [
-        graph.interactions_of(fx.interactions, rel).withColumn("rel", F.lit(rel.upper()))
-        for rel in ("overtake", "battle")
-    ]
-    return both[0].unionByName(both[1])
+    return graph.interactions_of(fx.interactions, "overtake", "battle")
 
 
 @query("GR15_dangling_edges", """
@@ -198,15 +194,15 @@ def distinct_pairs(fx):
 
 @query("SET2_union_distinct", "SELECT DISTINCT session_id, attacker_id AS src, defender_id AS dst FROM edges")
 def union_distinct(fx):
-    return _interaction_graph(fx)
-
-
-def _interaction_graph(fx) -> DataFrame:
     return pr.interaction_graph(
         [graph.interactions_of(fx.interactions, rel) for rel in ("overtake", "battle")]
     )
 
 
+def _interaction_graph(fx) -> DataFrame:
+    return pr.interaction_graph([interaction_events(fx)])
+
+
 @query("SET3_vertices", """
     SELECT DISTINCT session_id, id FROM (SELECT session_id, attacker_id AS id FROM edges
                                          UNION ALL SELECT session_id, defender_id FROM edges) v
@@ -305,9 +301,7 @@ SESSION_GRAPH = "SELECT DISTINCT session_id, attacker_id AS src, defender_id AS
 
 @query("GR10_session_pagerank", pagerank_sql(SESSION_GRAPH, ("session_id",)))
 def session_pagerank(fx):
-    return pr.session_pagerank(
-        [graph.interactions_of(fx.interactions, rel) for rel in ("overtake", "battle")]
-    )
+    return pr.session_pagerank([interaction_events(fx)])
 
 
 JN1 = f"""

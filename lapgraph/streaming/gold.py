@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lapgraph.operators.graph import interactions_of
@@ -40,10 +39,7 @@ class GoldTables:
             return
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            edges = interactions_of(batch, "overtake").withColumn("rel", F.lit("OVERTAKE"))
-            edges = edges.unionByName(
-                interactions_of(batch, "battle").withColumn("rel", F.lit("BATTLE"))
-            )
+            edges = interactions_of(batch, "overtake", "battle")
             tables = {"sessions": session_span(batch), "interactions": edges.drop("payload")}
             if "driver_name" in batch.columns:
                 tables["drivers"] = driver_identity(batch)
