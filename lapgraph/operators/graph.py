@@ -148,17 +148,28 @@ def repeated_ids(nodes: Mapping[str, DataFrame]) -> DataFrame:
 def dangling_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Referential check: per relation, how many edges miss their start or end node.
 
-    ``edges`` is an edge table, ``nodes`` has unique (label, id).
+    ``edges`` is an edge table, ``nodes`` has unique (label, id). Edges are counted per end
+    first, so a node with very many edges is one row when it is looked up.
     """
-    starts = nodes.select(F.col("label").alias("src_label"), F.col("id").alias("src"), F.lit(1).alias("_s"))
-    ends = nodes.select(F.col("label").alias("dst_label"), F.col("id").alias("dst"), F.lit(1).alias("_d"))
-    checked = salted_join(
-        salted_join(edges, starts, ["src_label", "src"], "left"), ends, ["dst_label", "dst"], "left"
-    )
-    return checked.groupBy("rel").agg(
-        F.count("*").alias("edges"),
-        F.count_if(F.col("_s").isNull()).alias("missing_start"),
-        F.count_if(F.col("_d").isNull()).alias("missing_end"),
+    ends = F.array(
+        F.struct(F.lit("start").alias("side"), F.col("src_label").alias("label"), F.col("src").alias("id")),
+        F.struct(F.lit("end").alias("side"), F.col("dst_label").alias("label"), F.col("dst").alias("id")),
+    )
+    counted = (
+        edges.select("rel", F.explode(ends).alias("e"))
+        .groupBy("rel", "e.side", "e.label", "e.id")
+        .agg(F.count("*").alias("n"))
+    )
+    known = nodes.select("label", "id", F.lit(True).alias("_known"))
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    missing = F.col("_known").isNull()
+    return counted.join(known, ["label", "id"], "left").groupBy("rel").agg(
+        total(F.col("side") == "start").alias("edges"),
+        total((F.col("side") == "start") & missing).alias("missing_start"),
+        total((F.col("side") == "end") & missing).alias("missing_end"),
     )
 
 

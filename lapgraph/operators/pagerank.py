@@ -83,14 +83,19 @@ def pagerank(
         out.cast("double").alias("_out"), (F.count("*") > hub_edges).alias("_hub")
     )
     share = (F.col(weight).cast("double") if weight else F.lit(1.0)) / F.col("_out")
-    shares = salted_join(given, degrees, [*keys, "src"]).select(
-        *keys, "src", "dst", share.alias("_share"), "_hub"
-    )
+    source = [*keys, "src"]
+    hub_list = degrees.filter("_hub").select(*source, "_out")
+    hubs, ordinary = None, given
+    if not hub_list.isEmpty():
+        few = F.broadcast(hub_list)  # at most MAX_HUBS rows
+        hubs = given.join(few, source).select(*source, "dst", share.alias("_share"))
+        hubs = hubs.persist(StorageLevel.MEMORY_AND_DISK)
+        ordinary = given.join(few, source, "left_anti")
     local = (
-        shares.filter("NOT _hub")
-        .drop("_hub")
-        .repartition(partitions, *keys, "src")
-        .sortWithinPartitions(*keys, "src")
+        ordinary.repartition(partitions, *source)
+        .join(degrees.filter("NOT _hub").select(*source, "_out"), source)
+        .select(*source, "dst", share.alias("_share"))
+        .sortWithinPartitions(*source)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     ids = edge_vertices(given, keys) if vertices is None else vertices.select(*keys, "id")
@@ -103,9 +108,6 @@ def pagerank(
         .sortWithinPartitions(*keys, "id")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    hubs = None
-    if not known.filter("_hub").isEmpty():
-        hubs = shares.filter("_hub").drop("_hub").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ranks = known.withColumn("rank", F.lit(1.0) / F.col("_n"))
         if initial is not None:

@@ -35,10 +35,14 @@ class Run:
     def path(self, *parts: str) -> str:
         return "/".join([self.base, *parts])
 
-    def feed(self, df: DataFrame, name: str = "in", files: int = 4, files_per_trigger: int = 1) -> DataFrame:
-        """Write ``df`` as files and stream them."""
-        df.repartition(files).write.mode("append").parquet(self.path(name))
-        return stream_table(self.spark, self.path(name), df.schema, files_per_trigger)
+    def feed(self, df: DataFrame, name: str = "in", batches: int = 4) -> DataFrame:
+        """Write ``df`` as files and stream them in that many batches of equally many files.
+
+        There are at least as many files as the cluster has cores.
+        """
+        per_batch = -(-self.spark.sparkContext.defaultParallelism // batches)
+        df.repartition(batches * per_batch).write.mode("append").parquet(self.path(name))
+        return stream_table(self.spark, self.path(name), df.schema, per_batch)
 
     def collected(self, stream: DataFrame, name: str = "out") -> DataFrame:
         """Run an append stream to its end and read its table."""
@@ -50,7 +54,7 @@ class Run:
 
 def _bronze(fx, run: Run, topic: str, schema) -> dict:
     log = fx.kafka_log().filter(F.col("topic") == topic)
-    raw = raw_records(run.feed(log, f"log-{topic}", files_per_trigger=2))
+    raw = raw_records(run.feed(log, f"log-{topic}", batches=2))
     queries = start_bronze(
         raw, topic, schema, run.path("bronze"), run.path("checkpoint"), available_now=True
     )
@@ -100,15 +104,15 @@ def append_streams(fx):
 @query("SRC2_table_stream", "SELECT session_id, count(*) AS samples FROM telemetry GROUP BY session_id")
 def table_stream(fx):
     run = Run(fx, "src2")
-    rows = run.collected(run.feed(fx.telemetry.select("sequence_number", "session_id"), files=6, files_per_trigger=2))
+    rows = run.collected(run.feed(fx.telemetry.select("sequence_number", "session_id"), batches=3))
     return rows.groupBy("session_id").agg(F.count("*").alias("samples"))
 
 
 @query("STR2_admission_control", "SELECT 6::BIGINT AS batches, count(*) AS input_rows FROM events")
 def admission_control(fx):
-    """Six files at one file per trigger are six batches."""
+    """Files capped per trigger: six batches of equally many files."""
     run = Run(fx, "str2")
-    stream = run.feed(fx.telemetry.select("sequence_number"), files=6, files_per_trigger=1)
+    stream = run.feed(fx.telemetry.select("sequence_number"), batches=6)
     started = append_stream(stream, run.path("out"), run.path("checkpoint"), available_now=True)
     started.awaitTermination()
     done = progress_rows(fx.spark, [started]).filter("input_rows > 0")
@@ -202,7 +206,7 @@ CLOSED = "(SELECT max(event_ts) FROM telemetry) - INTERVAL 1 HOUR"
 def tumbling_windows(fx):
     """Append mode emits a window once the watermark has passed its end."""
     run = Run(fx, "str8")
-    stream = run.feed(fx.telemetry.select("session_id", "speed_kph", "event_ts"), files_per_trigger=10)
+    stream = run.feed(fx.telemetry.select("session_id", "speed_kph", "event_ts"), batches=1)
     return run.collected(stateful.windowed_metrics(stream, "event_ts", "1 hour", "1 day"))
 
 
@@ -216,7 +220,7 @@ def tumbling_windows(fx):
 """)
 def sliding_windows(fx):
     run = Run(fx, "str8s")
-    stream = run.feed(fx.telemetry.select("session_id", "speed_kph", "event_ts"), files_per_trigger=10)
+    stream = run.feed(fx.telemetry.select("session_id", "speed_kph", "event_ts"), batches=1)
     return run.collected(stateful.windowed_metrics(stream, "event_ts", "1 hour", "2 days", "1 day"))
 
 
@@ -232,7 +236,7 @@ def sliding_windows(fx):
 """)
 def driver_activity(fx):
     run = Run(fx, "str8d")
-    stream = run.feed(fx.telemetry.select("session_id", "driver_id", "event_ts"), files_per_trigger=10)
+    stream = run.feed(fx.telemetry.select("session_id", "driver_id", "event_ts"), batches=1)
     return run.collected(stateful.driver_activity(stream, "event_ts", "1 hour", "6 hours"))
 
 
@@ -244,10 +248,10 @@ def driver_activity(fx):
 def stream_join(fx):
     run = Run(fx, "jn11")
     samples = run.feed(
-        fx.telemetry.select("session_id", "driver_id", "sequence_number", "event_ts"), "samples", files_per_trigger=10
+        fx.telemetry.select("session_id", "driver_id", "sequence_number", "event_ts"), "samples", batches=1
     )
     events = run.feed(
-        fx.interactions.select("session_id", "driver_id", "event_id", "event_ts"), "events", files_per_trigger=10
+        fx.interactions.select("session_id", "driver_id", "event_id", "event_ts"), "events", batches=1
     )
     return run.collected(stateful.join_streams(samples, events, "1 hour", 7200))
 
@@ -255,7 +259,7 @@ def stream_join(fx):
 def _gold(fx, run: Run) -> GoldTables:
     tables = GoldTables(fx.spark, run.path("gold"))
     telemetry = run.feed(fx.telemetry, "telemetry")
-    events = run.feed(fx.interactions, "events", files_per_trigger=2)
+    events = run.feed(fx.interactions, "events", batches=2)
     await_all([
         start_gold(telemetry, tables.telemetry_batch, run.path("checkpoint", "t"), available_now=True),
         start_gold(events, tables.event_batch, run.path("checkpoint", "e"), available_now=True),
@@ -285,7 +289,7 @@ def stint_tracker(fx):
     laps = fx.laps.select("session_id", "driver_id", "lap_number", "compound", "pit_in")
     for first, last in ((1, 10), (11, 20), (21, 31)):
         part = laps.filter(F.col("lap_number").between(first, last))
-        stream = run.feed(part, files=1)
+        stream = run.feed(part, batches=1)
         start_gold(stream, tracker.process, run.path("checkpoint"), available_now=True).awaitTermination()
     return tracker.laps().drop("pit_in")
 
