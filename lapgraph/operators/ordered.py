@@ -2,7 +2,7 @@
 
 The position axis (lap number, time, rank) is cut into blocks of fixed width. Work inside
 a block is a window over (keys, block); what crosses a block edge travels as one summary
-row per block, so the second, per-key step sees blocks instead of rows.
+row per block, so the second, per-key step sees blocks instead of rows. Keys must not be NULL.
 """
 
 from __future__ import annotations

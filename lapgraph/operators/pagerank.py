@@ -123,7 +123,7 @@ def pagerank(
                 ranks = ranks.checkpoint()
         scores = ranks.select(*keys, "id", F.col("rank").alias("pagerank_score"))
         if normalize:
-            scores = _normalized(scores, keys)
+            scores = _normalized(scores.checkpoint(), keys)
         return scores.checkpoint()
     finally:
         for table in (given, local, known, hubs):

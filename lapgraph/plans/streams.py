@@ -13,7 +13,7 @@ from lapgraph.operators.parsing import parsed_records, raw_records
 from lapgraph.operators.upsert import latest_per_key
 from lapgraph.plans.aggregates import RUNNING
 from lapgraph.plans.facts import STINTS
-from lapgraph.plans.graphs import SESSION_GRAPH, pagerank_sql
+from lapgraph.plans.graphs import SESSION_GRAPH, WIDTHS, pagerank_sql
 from lapgraph.plans.registry import query
 from lapgraph.schemas import TELEMETRY
 from lapgraph.session import scratch_path
@@ -281,6 +281,36 @@ def gold_pagerank(fx):
     return _gold(fx, Run(fx, "snk2p")).pagerank()
 
 
+@query("SNK2_gold_event_nodes", """
+    SELECT 'Driver' AS label, driver_id AS id, min(driver_name) AS name, min(session_id) AS first_session_id
+    FROM interactions WHERE driver_id IS NOT NULL AND driver_name IS NOT NULL GROUP BY driver_id
+    UNION ALL SELECT DISTINCT 'Session', session_id, NULL, NULL FROM interactions
+""")
+def gold_event_nodes(fx):
+    tables = _gold(fx, Run(fx, "snk2n"))
+    drivers = tables.drivers().select(
+        F.lit("Driver").alias("label"), F.col("driver_id").alias("id"),
+        F.col("driver_name").alias("name"), "first_session_id",
+    )
+    sessions = tables.sessions().select(F.lit("Session").alias("label"), F.col("session_id").alias("id"))
+    return drivers.unionByName(sessions, allowMissingColumns=True)
+
+
+@query("SNK2_gold_sample", "SELECT 4::BIGINT AS batches, 200::BIGINT AS sampled, TRUE AS all_known")
+def gold_sample(fx):
+    """Fifty rows of each of the four batches, all of them rows of the telemetry."""
+    run = Run(fx, "snk2s")
+    tables = GoldTables(fx.spark, run.path("gold"), sample_size=50, style_widths=WIDTHS)
+    stream = run.feed(fx.telemetry)
+    start_gold(stream, tables.telemetry_batch, run.path("checkpoint"), available_now=True).awaitTermination()
+    known = fx.telemetry.select("sequence_number", F.lit(1).alias("_known"))
+    return tables.partials("sample").join(known, "sequence_number", "left").agg(
+        F.count_distinct("batch").alias("batches"),
+        F.count("*").alias("sampled"),
+        (F.count("*") == F.count("_known")).alias("all_known"),
+    )
+
+
 @query("STR10_stint_tracker", f"SELECT session_id, driver_id, lap_number, compound, stint_no FROM ({STINTS}) s")
 def stint_tracker(fx):
     """Laps arrive in three parts by lap number; numbers go on where the last part ended."""

@@ -9,29 +9,53 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lapgraph.operators.communities import driver_communities
 from lapgraph.operators.graph import interactions_of
 from lapgraph.operators.pagerank import pagerank, session_pagerank
 from lapgraph.operators.profiles import driver_identity, session_span
+from lapgraph.operators.sampling import uniform_sample
 from lapgraph.operators.selection import with_ids
-from lapgraph.operators.upsert import finish_partials, lap_partials, last_batch, merge_partials
+from lapgraph.operators.upsert import (
+    finish_partials, lap_partials, last_batch, latest_per_key, merge_partials,
+)
 from lapgraph.sources.sinks import GOLD_TRIGGER, trigger_options, write_tables
 
 
 class GoldTables:
-    """The folder of one gold job: what each batch writes and how it is read back."""
+    """The folder of one gold job: what each batch writes and how it is read back.
 
-    def __init__(self, spark: SparkSession, base: str):
+    ``sample_size`` adds a uniform sample of each larger batch, ``style_widths`` (bin width per
+    feature) adds the driving-style communities of each batch.
+    """
+
+    def __init__(
+        self, spark: SparkSession, base: str, sample_size: int | None = None,
+        style_widths: dict[str, float] | None = None,
+    ):
         self.spark = spark
         self.base = base
+        self.sample_size = sample_size
+        self.style_widths = style_widths
 
     def telemetry_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Lap aggregates of the batch; an empty batch writes nothing."""
-        cleaned = with_ids(batch)
+        """Lap aggregates of the batch and the optional tables; an empty batch writes nothing."""
         if batch.isEmpty():
             return
-        write_tables({"laps": lap_partials(cleaned)}, self.base, batch_id)
+        cleaned = with_ids(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            tables = {"laps": lap_partials(cleaned)}
+            if self.sample_size is not None:
+                tables["sample"] = uniform_sample(
+                    cleaned, "sequence_number", self.sample_size, seed=batch_id
+                )
+            if self.style_widths is not None:
+                tables["communities"] = driver_communities(cleaned, self.style_widths).drop("hashes")
+            write_tables(tables, self.base, batch_id)
+        finally:
+            cleaned.unpersist()
 
     def event_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Driver names, session spans, and all interaction events of the batch."""
@@ -63,6 +87,27 @@ class GoldTables:
             partials = last_batch(partials, keys)
         return finish_partials(merge_partials(partials, keys))
 
+    def sessions(self) -> DataFrame:
+        """Event span per session over all batches."""
+        return self.partials("sessions").groupBy("session_id").agg(
+            F.min("first_event_ts").alias("first_event_ts"),
+            F.max("last_event_ts").alias("last_event_ts"),
+        )
+
+    def drivers(self) -> DataFrame:
+        """Name and session range per driver over all batches."""
+        return self.partials("drivers").groupBy("driver_id").agg(
+            F.min("driver_name").alias("driver_name"),
+            F.min("first_session_id").alias("first_session_id"),
+            F.max("latest_session_id").alias("latest_session_id"),
+        )
+
+    def communities(self) -> DataFrame:
+        """The newest community of each driver session."""
+        return latest_per_key(
+            self.partials("communities"), ["driver_id", "session_id"], ["batch"]
+        ).drop("batch")
+
     def pagerank(self, **options) -> DataFrame:
         edges = self.partials("interactions")
         return session_pagerank([edges], **options)
