@@ -15,6 +15,9 @@ from lapgraph.session import ensure_checkpoint_dir
 # be more than MAX_HUBS of them, the limit rises with it.
 HUB_EDGES = 1_000_000
 MAX_HUBS = 10_000
+# Partition size limits: small graphs get few tasks, huge ones partitions that fit in memory.
+MIN_PARTITION_EDGES = 50_000
+MAX_PARTITION_EDGES = 5_000_000
 
 
 def edge_vertices(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -71,13 +74,16 @@ def pagerank(
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    # A fixed partition count, so that every round joins on this layout without moving it.
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(keys)
     given = edges.select(*keys, "src", "dst", *([weight] if weight else [])).persist(
         StorageLevel.MEMORY_AND_DISK
     )
-    hub_edges = max(hub_edges, given.count() // MAX_HUBS)
+    total = given.count()
+    hub_edges = max(hub_edges, total // MAX_HUBS)
+    # A fixed partition count, so that every round joins on this layout without moving it.
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    largest = max(configured, -(-total // MAX_PARTITION_EDGES))
+    partitions = max(1, min(largest, -(-total // MIN_PARTITION_EDGES)))
     out = F.sum(weight) if weight else F.count("*")
     degrees = given.groupBy(*keys, "src").agg(
         out.cast("double").alias("_out"), (F.count("*") > hub_edges).alias("_hub")
