@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lapgraph.llm import bpe, wordpiece
+from lapgraph.llm import bpe, language, shards, wordpiece
 from lapgraph.llm.common import table
 
 
@@ -31,9 +32,31 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.count_pieces(table(spark, sf_dir, "documents"), starts, inners)
 
 
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def id_remainder(divisor: int):
+    """crc32 of the id's decimal digits modulo ``divisor``; a null id counts as no digits."""
+    digits = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.crc32(digits.cast("binary")) % divisor
+
+
+def language_model(docs: DataFrame) -> language.PPM:
+    return language.train(docs.where(id_remainder(4) != 2))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language_model(docs))
+    return found.withColumn("held_out", id_remainder(4) == 2)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op7_token_counts": op7_token_counts,
+    "op9_shards": op9_shards,
+    "op10_language": op10_language,
 }
 #: Checks that SQL can express.
 ORACLES: dict[str, str] = {}
