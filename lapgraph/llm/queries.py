@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapgraph.llm import bpe, language, shards, wordpiece
+from lapgraph.llm import bpe, language, secrets, shards, wordpiece
 from lapgraph.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, ranks_path(), pretoken_pattern(), ids=False)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document is a repository, its source the owner."""
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(ranks_path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
         starts, inners = wordpiece.pieces_of_ranks(bpe.read_ranks(file.read()))
@@ -54,6 +59,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_secrets": op3_secrets,
     "op7_token_counts": op7_token_counts,
     "op9_shards": op9_shards,
     "op10_language": op10_language,
