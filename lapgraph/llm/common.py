@@ -63,3 +63,49 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def key_bitmap(keys: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of ``bits`` bits over the low bits of one column of hashes.
+
+    Its size does not depend on the number of keys; with many it lets more through, but it
+    never misses one. At most ``bits`` / 8 small rows reach the driver.
+    """
+    slots = bits >> 3
+
+    def run(batches):
+        bitmap = np.zeros(slots, np.uint8)
+        for batch in batches:
+            place = batch.column(0).to_numpy(zero_copy_only=False) & (bits - 1)
+            np.bitwise_or.at(bitmap, place >> 3, (1 << (place & 7)).astype(np.uint8))
+        used = np.flatnonzero(bitmap)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int64()), pa.array(bitmap[used].astype(np.int32))], ["slot", "bits"]
+        )
+
+    found = keys.mapInArrow(run, "slot long, bits int").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toPandas()
+    bitmap = np.zeros(slots, np.uint8)
+    bitmap[found["slot"].to_numpy(np.int64)] = found["bits"].to_numpy(np.uint8)
+    return bitmap
+
+
+def in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each signed 64-bit key may be among those of the bitmap."""
+    place = keys & (len(bitmap) * 8 - 1)
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def maybe_among(df: DataFrame, column: str, bitmap: np.ndarray, among: bool = True) -> DataFrame:
+    """Rows of ``df`` whose ``column`` the bitmap may hold, or with ``among`` off all others.
+
+    A semi-join before the shuffle: what the bitmap does not hold needs no join.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(bitmap)
+    at = df.columns.index(column)
+
+    def run(batches):
+        for batch in batches:
+            keys = batch.column(at).to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(in_bitmap(shared.value, keys) == among))
+
+    return df.mapInArrow(run, df.schema)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.llm.common import LOWER_AZ, NULL_ID, list_column, stored
+from lapgraph.llm.common import LOWER_AZ, NULL_ID, in_bitmap, key_bitmap, list_column, stored
 from lapgraph.llm.words import WordHashes, run_hashes
 
 #: Fixed values of the contract.
@@ -69,27 +69,7 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int,
 
 def shingle_filter(windows: DataFrame) -> np.ndarray:
     """A bitmap of FILTER_BITS over the hashes of all shingles, whatever their number."""
-    slots = FILTER_BITS >> 3
-
-    def run(batches):
-        bitmap = np.zeros(slots, np.uint8)
-        for batch in batches:
-            place = batch.column(0).to_numpy(zero_copy_only=False) & (FILTER_BITS - 1)
-            np.bitwise_or.at(bitmap, place >> 3, (1 << (place & 7)).astype(np.uint8))
-        used = np.flatnonzero(bitmap)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int64()), pa.array(bitmap[used].astype(np.int32))], ["slot", "bits"]
-        )
-
-    found = (
-        windows.select(F.explode("shingles").alias("shingle")).distinct()
-        .mapInArrow(run, "slot long, bits int")
-        .groupBy("slot").agg(F.bit_or("bits").alias("bits"))
-        .toPandas()
-    )
-    bitmap = np.zeros(slots, np.uint8)
-    bitmap[found["slot"].to_numpy(np.int64)] = found["bits"].to_numpy(np.uint8)
-    return bitmap
+    return key_bitmap(windows.select(F.explode("shingles").alias("shingle")).distinct(), FILTER_BITS)
 
 
 def shingle_places(
@@ -114,8 +94,7 @@ def shingle_places(
                 before = sum(map(len, places))
                 for size in sizes:
                     shingles = run_hashes(words, size).astype(np.int64)
-                    slot = shingles & (FILTER_BITS - 1)
-                    at = np.flatnonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+                    at = np.flatnonzero(in_bitmap(bits, shingles))
                     places.append(at)
                     values.append(shingles[at])
                 lengths.append(sum(map(len, places)) - before)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapgraph.llm import bpe, decontaminate, language, secrets, shards, wordpiece
+from lapgraph.llm import bpe, decontaminate, language, secrets, shards, substrings, wordpiece
 from lapgraph.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(ranks_path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
         starts, inners = wordpiece.pieces_of_ranks(bpe.read_ranks(file.read()))
@@ -65,6 +69,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_secrets": op3_secrets,
     "op4_decontaminate": op4_decontaminate,
+    "op6_substrings": op6_substrings,
     "op7_token_counts": op7_token_counts,
     "op9_shards": op9_shards,
     "op10_language": op10_language,

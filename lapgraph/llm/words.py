@@ -53,14 +53,27 @@ def _powers(base: int, n: int) -> np.ndarray:
 _POWERS = {"up": _powers(BASE, 1 << 12), "down": _powers(INVERSE, 1 << 12)}
 
 
-def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
-    """Hash of each run of ``length`` words; entry i belongs to the run that starts at i."""
+def _sums(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of words times powers of BASE, and the powers of its inverse."""
     n = len(words)
-    if n < length:
-        return np.zeros(0, np.uint64)
     if len(_POWERS["up"]) <= n:
         size = 1 << int(n).bit_length()
         _POWERS["up"], _POWERS["down"] = _powers(BASE, size), _powers(INVERSE, size)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(words * _POWERS["up"][:n], out=sums[1:])
-    return mix64((sums[length:] - sums[:-length]) * _POWERS["down"][: n - length + 1] + np.uint64(length))
+    return sums, _POWERS["down"]
+
+
+def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
+    """Hash of each run of ``length`` words; entry i belongs to the run that starts at i."""
+    if len(words) < length:
+        return np.zeros(0, np.uint64)
+    sums, down = _sums(words)
+    n = len(words) - length + 1
+    return mix64((sums[length:] - sums[:-length]) * down[:n] + np.uint64(length))
+
+
+def span_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run [start, end) of words, of any lengths."""
+    sums, down = _sums(words)
+    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
