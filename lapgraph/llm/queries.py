@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapgraph.llm import bpe, decontaminate, language, secrets, shards, substrings, wordpiece
+from lapgraph.llm import (
+    bpe, decontaminate, language, secrets, setsketch, shards, substrings, wordpiece,
+)
 from lapgraph.llm.common import table
 
 
@@ -45,6 +47,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.count_pieces(table(spark, sf_dir, "documents"), starts, inners)
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -71,6 +77,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op6_substrings": op6_substrings,
     "op7_token_counts": op7_token_counts,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_shards": op9_shards,
     "op10_language": op10_language,
 }
