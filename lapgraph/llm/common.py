@@ -14,6 +14,8 @@ from lapgraph.session import scratch_path
 #: The id that stands for a null one inside joins; it sorts before all others.
 NULL_ID = -(2**63)
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Upper-case ASCII letters as lower-case ones, in UTF-8.
+LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 LOWER_AZ = {upper: upper + 32 for upper in range(65, 91)}
 
 
@@ -35,6 +37,12 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def space_words(text: str | None, lower: bool = False) -> list[bytes]:
+    """Words between ASCII white space (0x20, 0x09 to 0x0D) as UTF-8; null has none."""
+    data = (text or "").encode()
+    return (data.translate(LOWER_BYTES) if lower else data).split()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, f"llm-{name}")

@@ -51,7 +51,7 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int,
                 size = min(shingle, n)
                 if not n:
                     continue
-                values = hashes.of(words)
+                values = hashes.of([w.encode() for w in words])
                 whole = run_hashes(values, n).astype(np.int64).tolist()
                 parts = run_hashes(values, size).astype(np.int64)
                 for start, name in enumerate(whole):
@@ -89,7 +89,7 @@ def shingle_places(
         for batch in batches:
             counts, places, values, lengths = [], [], [], []
             for text in batch.column(3).to_pylist():
-                words = hashes.of(words_of(text))
+                words = hashes.of([w.encode() for w in words_of(text)])
                 counts.append(len(words))
                 before = sum(map(len, places))
                 for size in sizes:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapgraph.llm import (
-    bpe, decontaminate, language, secrets, setsketch, shards, substrings, wordpiece,
+    bpe, decontaminate, language, mixing, secrets, setsketch, shards, substrings, wordpiece,
 )
 from lapgraph.llm.common import table
 
@@ -28,6 +28,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, ranks_path(), pretoken_pattern(), ids=False)
 
 
+def id_remainder(divisor: int):
+    """crc32 of the id's decimal digits modulo ``divisor``; a null id counts as no digits."""
+    digits = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.crc32(digits.cast("binary")) % divisor
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remainder 0 is held out, 1 fits the mixing weights, the others fill the tables."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.score_documents(docs, id_remainder(10) == 0, id_remainder(10) == 1)
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document is a repository, its source the owner."""
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
@@ -55,12 +67,6 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
 
 
-def id_remainder(divisor: int):
-    """crc32 of the id's decimal digits modulo ``divisor``; a null id counts as no digits."""
-    digits = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    return F.crc32(digits.cast("binary")) % divisor
-
-
 def language_model(docs: DataFrame) -> language.PPM:
     return language.train(docs.where(id_remainder(4) != 2))
 
@@ -73,6 +79,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
     "op4_decontaminate": op4_decontaminate,
     "op6_substrings": op6_substrings,

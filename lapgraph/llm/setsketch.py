@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapgraph.llm.common import (
-    LOWER_AZ, NULL_ID, SPACE_WORD, key_bitmap, maybe_among, mix64, parallelism, stored,
+    NULL_ID, key_bitmap, maybe_among, mix64, parallelism, space_words, stored,
 )
 from lapgraph.llm.components import components
 from lapgraph.llm.words import WordHashes, run_hashes, span_hashes
@@ -52,7 +52,7 @@ _FACTORS, _SHIFTS = _SEEDS[:REGISTERS] | np.uint64(1), _SEEDS[REGISTERS:]
 
 def shingle_set(text: str | None, hashes: WordHashes, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; a shorter text is one shingle."""
-    words = hashes.of(SPACE_WORD.findall(text.translate(LOWER_AZ))) if text else np.zeros(0, np.uint64)
+    words = hashes.of(space_words(text, lower=True))
     if 0 < len(words) < shingle:
         return span_hashes(words, np.array([0]), np.array([len(words)]))
     return np.unique(run_hashes(words, shingle))

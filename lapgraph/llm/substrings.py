@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapgraph.llm.common import (
-    NULL_ID, SPACE_WORD, key_bitmap, list_column, maybe_among, parallelism, stored,
+    NULL_ID, key_bitmap, list_column, maybe_among, parallelism, space_words, stored,
 )
 from lapgraph.llm.words import WordHashes, run_hashes, span_hashes
 
@@ -105,7 +105,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int) -
         for batch in batches:
             found, lengths = [], []
             for text in batch.column(2).to_pylist():
-                runs = runs_of(hashes.of(SPACE_WORD.findall(text)), window, gram)
+                runs = runs_of(hashes.of(space_words(text)), window, gram)
                 found.append(runs)
                 lengths.append(len(runs[0]))
             prefix, run_, start, count = (np.concatenate(x) for x in zip(*found))
@@ -139,7 +139,7 @@ def _run_words(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
         hashes = WordHashes()
         for batch in batches:
             for k, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                words = hashes.of(SPACE_WORD.findall(text)).astype(np.int64)
+                words = hashes.of(space_words(text)).astype(np.int64)
                 parts = [words[w["start"] : w["start"] + w["suffixes"] + window - 1] for w in wanted]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -309,7 +309,7 @@ def remove_repeats(
             counts, removed, hashes, kept_texts = [], [], [], []
             spans = batch.column(2).to_pylist()
             for text, own in zip(batch.column(1).to_pylist(), spans):
-                words = SPACE_WORD.findall(text)
+                words = space_words(text)
                 kept = words
                 if own:
                     edges = np.zeros(len(words) + 1, np.int64)
@@ -319,10 +319,10 @@ def remove_repeats(
                     kept = [words[i] for i in np.flatnonzero(stays)]
                 counts.append(len(words))
                 removed.append(len(words) - len(kept))
-                joined = " ".join(kept)
-                hashes.append(hashlib.sha256(joined.encode()).hexdigest())
+                joined = b" ".join(kept)
+                hashes.append(hashlib.sha256(joined).hexdigest())
                 if texts:
-                    kept_texts.append(joined)
+                    kept_texts.append(joined.decode())
             columns = [
                 batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
                 pa.array(hashes, pa.string()),

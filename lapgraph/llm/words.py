@@ -17,9 +17,9 @@ class WordHashes:
     """64-bit hashes of words, from their UTF-8 bytes alone: the same in every process."""
 
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
 
-    def of(self, words: list[str]) -> np.ndarray:
+    def of(self, words: list[bytes]) -> np.ndarray:
         found = list(map(self.known.get, words))
         if None in found:
             fresh = list({w for w, x in zip(words, found) if x is None})
@@ -32,11 +32,10 @@ class WordHashes:
         return np.array(found, np.uint64)
 
 
-def hash_strings(words: list[str]) -> np.ndarray:
-    """Hash of each string's UTF-8 bytes, for all of them at once."""
-    parts = [w.encode() for w in words]
-    lengths = np.array([len(p) for p in parts], np.int64)
-    data = np.frombuffer(b"".join(parts), np.uint8)
+def hash_strings(words: list[bytes]) -> np.ndarray:
+    """Hash of each word's bytes, for all of them at once."""
+    lengths = np.array([len(w) for w in words], np.int64)
+    data = np.frombuffer(b"".join(words), np.uint8)
     starts = np.concatenate([[0], np.cumsum(lengths)])
     place = np.arange(len(data)) - np.repeat(starts[:-1], lengths)
     values = mix64((place.astype(np.uint64) << np.uint64(8)) + data.astype(np.uint64) + np.uint64(1))
