@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapgraph.llm import (
-    bpe, decontaminate, language, mixing, secrets, setsketch, shards, substrings, wordpiece,
+    bpe, decontaminate, hamming, language, mixing, secrets, setsketch, shards, substrings, wordpiece,
 )
 from lapgraph.llm.common import table
 
@@ -49,6 +49,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hamming.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
     "op4_decontaminate": op4_decontaminate,
+    "op5_top_k": op5_top_k,
     "op6_substrings": op6_substrings,
     "op7_token_counts": op7_token_counts,
     "op8_near_duplicates": op8_near_duplicates,
@@ -89,4 +95,18 @@ QUERIES = {
     "op10_language": op10_language,
 }
 #: Checks that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_top_k": """
+        WITH codes AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits
+            FROM embeddings WHERE len(embedding) > 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, r.vec_id, list_sum(list_transform(
+                list_zip(q.bits, r.bits), lambda t: CASE WHEN t[1] <> t[2] THEN 1 ELSE 0 END))::INT AS distance
+            FROM codes q JOIN codes r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id
+        )
+        SELECT query_id, rank::INT AS rank, vec_id, distance FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs
+        ) WHERE rank <= 10
+    """,
+}
