@@ -1,20 +1,55 @@
-"""Training-data pipeline over ``documents``: each stage reads what the one before it kept."""
+"""Training-data pipeline over ``documents``: each stage reads what the one before it kept.
+
+All stages but the last return the columns of ``documents``; the last one the tokens. SQL
+cannot express code lengths, likelihoods or byte pair merges, so there is no check in SQL;
+the tests compare each stage with a brute-force version.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lapgraph.llm import bpe, decontaminate, language, secrets, setsketch
+from lapgraph.llm.common import drop_documents, stored, table
+from lapgraph.llm.queries import language_model, pretoken_pattern, ranks_path
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the context trees know."""
+    return language.keep_identified(docs, language_model(docs))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id, once."""
+    found = stored(setsketch.near_duplicates(docs), "near")
+    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    return drop_documents(docs, found.where("NOT kept"), repeated)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark windows make up less than a twentieth."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return drop_documents(docs, stored(found.where("contaminated").select("doc_id"), "contaminated"))
+
 
-from lapgraph.llm import bpe
-from lapgraph.llm.common import stored, table
-from lapgraph.llm.queries import pretoken_pattern, ranks_path
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, live-looking credentials replaced; examples that many copy stay."""
+    return secrets.redact(docs, stored(secrets.judge(secrets.scan(docs)), "judged"))
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left."""
     return bpe.encode_documents(docs, ranks_path(), pretoken_pattern())
 
 
-STAGES = [("bpe", encode)]
+STAGES = [
+    ("language_id", identified),
+    ("near_dedup", without_near_duplicates),
+    ("decontamination", decontaminated),
+    ("secrets", without_secrets),
+    ("bpe", encoded),
+]
 ORACLE_SQL = None
 
 

@@ -117,3 +117,21 @@ def maybe_among(df: DataFrame, column: str, bitmap: np.ndarray, among: bool = Tr
             yield batch.filter(pa.array(in_bitmap(shared.value, keys) == among))
 
     return df.mapInArrow(run, df.schema)
+
+
+def drop_documents(docs: DataFrame, gone: DataFrame, once: DataFrame | None = None, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the ids in ``gone``; of the ids in ``once`` one row stays. Null ids match.
+
+    Rows that a fixed-size filter knows to be untouched pass by without a shuffle.
+    """
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID))
+    named = lambda df: df.select(key.alias("_key"))
+    gone = named(gone).distinct()
+    once = named(once if once is not None else docs.limit(0)).distinct()
+    bitmap = key_bitmap(gone.union(once).select(F.xxhash64("_key")), 1 << 25)
+    marked = docs.withColumn("_hash", F.xxhash64(key))
+    same = maybe_among(marked, "_hash", bitmap, among=False).select(docs.columns)
+    touched = maybe_among(marked, "_hash", bitmap).withColumn("_key", key).join(gone, "_key", "left_anti")
+    repeated = touched.join(once, "_key", "left_semi").dropDuplicates(["_key"])
+    others = touched.join(once, "_key", "left_anti")
+    return same.unionByName(others.select(docs.columns)).unionByName(repeated.select(docs.columns))

@@ -23,6 +23,8 @@ SAMPLE = 400
 #: Positions worked on at once.
 BLOCK = 1 << 20
 UNDETERMINED = "und"
+#: Bits per byte above which no known language is plausible; bytes drawn at random cost more.
+MOST_BITS = 6.5
 
 _LETTER = regex.compile(r"\p{L}")
 _SPACE = 32
@@ -265,3 +267,26 @@ def identify(
             )
 
     return source.mapInArrow(run, f"`{id_col}` {id_type}, lang_pred string, score double, bits_per_byte double")
+
+
+def keep_identified(
+    docs: DataFrame, model: PPM, text_col: str = "text", most_bits: float = MOST_BITS
+) -> DataFrame:
+    """Rows of ``docs``, all columns, whose language is determined and plausible.
+
+    Null and empty texts, texts without a letter, and texts that cost the best language more
+    than ``most_bits`` per byte go.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        ppm = shared.value
+        for batch in batches:
+            texts = [text or "" for text in batch.column(at).to_pylist()]
+            bits, used = ppm.bits(texts)
+            least = bits.min(axis=1) if ppm.languages else np.full(len(texts), np.inf)
+            keep = (least <= most_bits * used) & np.array([bool(_LETTER.search(t)) for t in texts], bool)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
