@@ -25,6 +25,8 @@ BLOCK = 1 << 20
 UNDETERMINED = "und"
 #: Bits per byte above which no known language is plausible; bytes drawn at random cost more.
 MOST_BITS = 6.5
+#: Bytes below which a text says too little to be implausible.
+LEAST_BYTES = 100
 
 _LETTER = regex.compile(r"\p{L}")
 _SPACE = 32
@@ -274,8 +276,8 @@ def keep_identified(
 ) -> DataFrame:
     """Rows of ``docs``, all columns, whose language is determined and plausible.
 
-    Null and empty texts, texts without a letter, and texts that cost the best language more
-    than ``most_bits`` per byte go.
+    Null and empty texts and texts without a letter go, and so do texts of LEAST_BYTES or more
+    that cost the best language more than ``most_bits`` per byte.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
@@ -286,7 +288,8 @@ def keep_identified(
             texts = [text or "" for text in batch.column(at).to_pylist()]
             bits, used = ppm.bits(texts)
             least = bits.min(axis=1) if ppm.languages else np.full(len(texts), np.inf)
-            keep = (least <= most_bits * used) & np.array([bool(_LETTER.search(t)) for t in texts], bool)
+            plausible = (least <= most_bits * used) | (used < LEAST_BYTES)
+            keep = plausible & np.array([bool(ppm.languages and _LETTER.search(t)) for t in texts], bool)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

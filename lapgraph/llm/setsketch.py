@@ -98,17 +98,38 @@ def estimate(above, below, size_a, size_b) -> np.ndarray:
     return (low + high) / 2
 
 
+def surely_below(above, below, size_a, size_b, bound: float) -> np.ndarray:
+    """Whether the maximum-likelihood estimate lies below ``bound``.
+
+    The likelihood has one peak, so the sign of its slope at the bound tells.
+    """
+    u = size_a / (size_a + size_b)
+    v = 1 - u
+    x, y = (np.maximum(z, 1e-12) * (B - 1) / B for z in (u - v * bound, v - u * bound))
+    p, q = -np.log1p(-x) / np.log(B), -np.log1p(-y) / np.log(B)
+    dp, dq = ((B - 1) / B / np.log(B) / (1 - z) for z in (x, y))
+    equal = REGISTERS - above - below
+    slope = equal * (v * dp + u * dq) / np.maximum(1 - p - q, 1e-12) - above * v * dp / p - below * u * dq / q
+    return slope < 0
+
+
 def possible(one: np.ndarray, size_one, others: np.ndarray, sizes: np.ndarray, similar: float) -> np.ndarray:
     """Which of ``others`` may be linked with ``one``, by set sizes and joint likelihood."""
     ok = np.minimum(sizes, size_one) >= similar * np.maximum(sizes, size_one)
     at = np.flatnonzero(ok)
     if len(at):
-        above = (one > others[at]).sum(axis=1)
-        below = (one < others[at]).sum(axis=1)
-        ok[at] = estimate(above, below, np.broadcast_to(size_one, sizes.shape)[at], sizes[at]) >= similar - MARGIN
+        above = np.count_nonzero(one > others[at], axis=1)
+        below = np.count_nonzero(one < others[at], axis=1)
+        ok[at] = ~surely_below(above, below, size_one, sizes[at], similar - MARGIN)
     return ok
 
 
+def linked(one: np.ndarray, other: np.ndarray, similar: int) -> bool:
+    """The exact test on two full sets."""
+    both = len(np.intersect1d(one, other, assume_unique=True))
+    return 100 * both >= similar * (len(one) + len(other) - both)
+
+
 def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, k, h, n, c1, c2, sketch), stored; (c1, c2) names the set, null where it is empty."""
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
@@ -146,7 +167,7 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def _bands(vertices: DataFrame) -> DataFrame:
-    """(bucket, v) for every band of every sketch."""
+    """(bucket, band, v) for every band of every sketch."""
 
     def run(batches):
         for batch in batches:
@@ -156,71 +177,84 @@ def _bands(vertices: DataFrame) -> DataFrame:
             for row in range(ROWS):
                 names = mix64(names * np.uint64(0x9E3779B97F4A7C15) + table[:, :, row] + np.uint64(1))
             own = pa.array(np.repeat(np.arange(len(sketches)), BANDS))
+            bands = np.tile(np.arange(BANDS, dtype=np.int32), len(sketches))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names.reshape(-1).view(np.int64)), batch.column(0).take(own)], ["bucket", "v"]
+                [pa.array(names.reshape(-1).view(np.int64)), pa.array(bands), batch.column(0).take(own)],
+                ["bucket", "band", "v"],
             )
 
-    return vertices.select("v", "sketch").mapInArrow(run, "bucket long, v long")
+    return vertices.select("v", "sketch").mapInArrow(run, "bucket long, band int, v long")
 
 
 def _hub_pairs(members: DataFrame, seed: int) -> DataFrame:
-    """(a, b): each member with one hub of its buckets, chosen by a hash order."""
+    """(a, b): each member with the hub of each of its buckets, chosen by a hash order."""
     order = F.struct(F.xxhash64("v", F.lit(seed)).alias("by"), F.col("v").alias("hub"), F.col("comp").alias("hub_comp"))
     hubs = members.groupBy("bucket").agg(F.min(order).alias("hub"))
     met = members.join(hubs, "bucket").where("comp <> hub.hub_comp")
-    return met.groupBy("v").agg(F.min("hub").alias("hub")).select(
-        F.greatest("v", "hub.hub").alias("a"), F.least("v", "hub.hub").alias("b")
-    ).distinct()
+    return met.select(F.greatest("v", "hub.hub").alias("a"), F.least("v", "hub.hub").alias("b")).distinct()
+
 
+def _block_links(members: DataFrame, vertices: DataFrame, texts: DataFrame, similar: int) -> DataFrame:
+    """(a, b): links between different components, found and confirmed in blocks inside tasks.
 
-def _block_pairs(members: DataFrame, vertices: DataFrame, similar: float) -> DataFrame:
-    """(a, b): likely pairs of different components in a bucket, found in blocks inside tasks."""
+    A pair is looked at in the first band that it shares. Links that the block already implies
+    are not looked for, so what leaves a block is a forest.
+    """
     sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     own = F.pmod(F.xxhash64("v", F.lit(3)), F.col("blocks")).cast("int")
     met = (
-        members.join(vertices.select("v", "n", "sketch"), "v").join(sizes, "bucket")
+        members.join(vertices.select("v", "n", "sketch").join(texts, "v"), "v").join(sizes, "bucket")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
         .select(
             "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-            "own", "v", "comp", "n", "sketch",
+            "own", "band", "v", "comp", "n", "sketch", "text",
         )
     )
 
-    def solve(rows):
-        v, comp, n = (np.array([r[i] for r in rows], np.int64) for i in (4, 5, 6))
-        own = np.array([r[3] for r in rows])
-        table = np.frombuffer(b"".join(r[7] for r in rows), np.uint16).reshape(-1, REGISTERS)
-        one_block = rows[0][1] == rows[0][2]
+    def solve(rows, hashes):
+        own, _, v, comp, n = (np.array([r[i] for r in rows], np.int64) for i in range(3, 8))
+        _, low, high, _, band = rows[0][:5]
+        table = np.frombuffer(b"".join(r[8] for r in rows), np.uint16).reshape(-1, REGISTERS)
+        bands = table.reshape(-1, BANDS, ROWS)
+        sets: dict[int, np.ndarray] = {}
         out = []
-        for i in range(len(rows)):
-            if not one_block and own[i] != rows[0][1]:
-                continue
-            other = np.arange(i + 1, len(rows)) if one_block else np.flatnonzero(own == rows[0][2])
+
+        def set_of(i):
+            if i not in sets:
+                sets[i] = shingle_set(rows[i][9], hashes)
+            return sets[i]
+
+        for i in np.flatnonzero(own == low):
+            other = np.arange(i + 1, len(rows)) if low == high else np.flatnonzero(own == high)
             other = other[comp[other] != comp[i]]
             if not len(other):
                 continue
-            other = other[possible(table[i], n[i], table[other], n[other], similar)]
-            if len(other):
-                out.append(np.stack([np.maximum(v[i], v[other]), np.minimum(v[i], v[other])]))
+            other = other[possible(table[i], n[i], table[other], n[other], similar / 100)]
+            if band and len(other):
+                earlier = (bands[other, :band] == bands[i, :band]).all(axis=2).any(axis=1)
+                other = other[~earlier]
+            for j in other:
+                if comp[i] != comp[j] and linked(set_of(i), set_of(j), similar):
+                    out.append((max(v[i], v[j]), min(v[i], v[j])))
+                    comp[comp == comp[j]] = comp[i]
         return out
 
     def run(batches):
-        held, name = [], None
+        hashes, held, name = WordHashes(), [], None
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[:3] != name:
                     if held:
-                        yield from emit(solve(held))
+                        yield emit(solve(held, hashes))
                     held, name = [], row[:3]
                 held.append(row)
         if held:
-            yield from emit(solve(held))
+            yield emit(solve(held, hashes))
 
     def emit(found):
-        if found:
-            pairs = np.concatenate(found, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+        a, b = zip(*found) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     key = ["bucket", "low", "high"]
     n = parallelism(members.sparkSession)
@@ -241,39 +275,36 @@ def _likely(pairs: DataFrame, vertices: DataFrame, similar: float) -> DataFrame:
             ]
             a, b = (batch.column(i).to_numpy() for i in (2, 3))
             good = np.minimum(a, b) >= similar * np.maximum(a, b)
-            found = estimate(
-                (tables[0] > tables[1]).sum(axis=1), (tables[0] < tables[1]).sum(axis=1), a, b
-            )
-            keep = pa.array(good & (found >= similar - MARGIN))
+            above, below = (np.count_nonzero(c, axis=1) for c in (tables[0] > tables[1], tables[0] < tables[1]))
+            keep = pa.array(good & ~surely_below(above, below, a, b, similar - MARGIN))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
     return joined.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, id_col: str, text_col: str, similar: int) -> DataFrame:
-    """The pairs whose full sets are similar enough, stored."""
+def _texts(docs: DataFrame, vertices: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(v, text) of the wanted vertices, stored."""
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-    keys = vertices.join(ends, "v", "left_semi").select("v", "k", "h")
+    keys = vertices.join(wanted.distinct(), "v", "left_semi").select("v", "k", "h")
     texts = docs.select(
         F.coalesce(key.cast("long"), F.lit(NULL_ID)).alias("k"), F.xxhash64(text).alias("h"), text.alias("text")
     ).withColumn("key", F.xxhash64("k", "h"))
-    bitmap = key_bitmap(keys.select(F.xxhash64("k", "h")), FILTER_BITS)
-    texts = stored(
-        maybe_among(texts, "key", bitmap).join(keys, ["k", "h"]).select("v", "text").dropDuplicates(["v"]), "pair-texts"
-    )
+    texts = maybe_among(texts, "key", key_bitmap(keys.select(F.xxhash64("k", "h")), FILTER_BITS))
+    return stored(texts.join(keys, ["k", "h"]).select("v", "text").dropDuplicates(["v"]), "texts")
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, similar: int) -> DataFrame:
+    """The pairs whose full sets are similar enough, stored."""
 
     def run(batches):
         hashes = WordHashes()
         shingles = lru_cache(maxsize=64)(lambda text: shingle_set(text, hashes))
         for batch in batches:
-            keep = []
-            for one, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                a, b = shingles(one), shingles(other)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= similar * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            texts = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            keep = [linked(shingles(one), shingles(other), similar) for one, other in texts]
+            pairs = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"])
+            yield pairs.filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(texts.select(F.col("v").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("v").alias("b"), F.col("text").alias("text_b")), "b"
@@ -303,26 +334,19 @@ def near_duplicates(
     members = stored(
         bands.join(full.select("bucket"), "bucket", "left_semi").withColumn("comp", F.col("v")), "members"
     )
-    spark = docs.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    tested, labels = links, links
-    for seed in range(ROUNDS + 1):
-        if seed < ROUNDS:
-            pairs = _hub_pairs(members, seed)
-        else:
-            pairs = _block_pairs(members, vertices, similar / 100)
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        likely = pairs if seed == ROUNDS else stored(_likely(pairs, vertices, similar / 100), "likely")
-        links = links.unionAll(_confirmed(likely, docs, vertices, id_col, text_col, similar))
-        tested = tested.unionAll(pairs)
-        labels = components(links)
-        if seed < ROUNDS:
-            known = labels.select(F.col("a").alias("v"), F.col("b").alias("label"))
-            members = members.drop("comp").join(known, "v", "left").select(
-                "bucket", "v", F.coalesce("label", "v").alias("comp")
-            )
-            mixed = members.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
-            members = stored(members.join(mixed.select("bucket"), "bucket", "left_semi"), "members")
+    # A vertex may need its text in any round: they are fetched once, for all that met another.
+    texts = _texts(docs, vertices, members.select("v"), id_col, text_col)
+    links = docs.sparkSession.createDataFrame([], "a long, b long")
+    for seed in range(ROUNDS):
+        likely = _likely(_hub_pairs(members, seed), vertices, similar / 100)
+        links = links.unionAll(_confirmed(stored(likely, "likely"), texts, similar))
+        known = components(links).select(F.col("a").alias("v"), F.col("b").alias("label"))
+        members = members.drop("comp").join(known, "v", "left").select(
+            "bucket", "band", "v", F.coalesce("label", "v").alias("comp")
+        )
+        mixed = members.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
+        members = stored(members.join(mixed.select("bucket"), "bucket", "left_semi"), "members")
+    labels = components(links.unionAll(stored(_block_links(members, vertices, texts, similar), "links")))
     known = labels.select(F.col("a").alias("v"), F.col("b").alias("label"))
     classes = vertices.select("c1", "c2", "v").join(known, "v", "left").select(
         "c1", "c2", F.coalesce("label", "v").alias("label")
