@@ -16,7 +16,6 @@ NULL_ID = -(2**63)
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Upper-case ASCII letters as lower-case ones, in UTF-8.
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-LOWER_AZ = {upper: upper + 32 for upper in range(65, 91)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,10 +36,9 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def space_words(text: str | None, lower: bool = False) -> list[bytes]:
-    """Words between ASCII white space (0x20, 0x09 to 0x0D) as UTF-8; null has none."""
-    data = (text or "").encode()
-    return (data.translate(LOWER_BYTES) if lower else data).split()
+def lowered(text: str | None) -> bytes:
+    """The text in UTF-8 with A-Z in lower case; null is empty."""
+    return (text or "").encode().translate(LOWER_BYTES)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -9,18 +9,15 @@ word by word.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.llm.common import LOWER_AZ, NULL_ID, in_bitmap, key_bitmap, list_column, stored
-from lapgraph.llm.words import WordHashes, run_hashes
+from lapgraph.llm.common import NULL_ID, in_bitmap, key_bitmap, list_column, stored
+from lapgraph.llm.words import run_hashes, word_hashes
 
 #: Fixed values of the contract.
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 13
 SHARE = 20
 #: Words of a shingle.
@@ -29,9 +26,15 @@ SHINGLE = 4
 FILTER_BITS = 1 << 24
 
 
-def words_of(text: str | None) -> list[str]:
-    """Words after lower-casing A-Z; null has none."""
-    return WORD.findall(text.translate(LOWER_AZ)) if text else []
+#: A-Z in lower case; every ASCII byte but letters and digits ends a word.
+_FOLD = bytes(
+    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
+)
+
+
+def folded(text: str | None) -> bytes:
+    """Words after lower-casing A-Z, with white space around them; null has none."""
+    return (text or "").encode().translate(_FOLD)
 
 
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, shingle: int) -> DataFrame:
@@ -42,16 +45,16 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int,
     schema = "item string, window long, n int, words string, shingles array<long>"
 
     def run(batches):
-        hashes = WordHashes()
         for batch in batches:
             out = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = words_of(text)
+                words = folded(text).decode().split(" ")
+                words = [w for w in words if w]
                 n = min(window, len(words))
                 size = min(shingle, n)
                 if not n:
                     continue
-                values = hashes.of([w.encode() for w in words])
+                values = word_hashes(folded(text))
                 whole = run_hashes(values, n).astype(np.int64).tolist()
                 parts = run_hashes(values, size).astype(np.int64)
                 for start, name in enumerate(whole):
@@ -85,11 +88,11 @@ def shingle_places(
     id_type = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        hashes, bits = WordHashes(), shared.value
+        bits = shared.value
         for batch in batches:
             counts, places, values, lengths = [], [], [], []
             for text in batch.column(3).to_pylist():
-                words = hashes.of([w.encode() for w in words_of(text)])
+                words = word_hashes(folded(text))
                 counts.append(len(words))
                 before = sum(map(len, places))
                 for size in sizes:
@@ -172,12 +175,12 @@ def _verified(batches):
     for batch in batches:
         counts, windows = [], []
         for text, tries in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            words = words_of(text)
+            words = folded(text).split()
             edges = np.zeros(len(words) + 1, np.int64)
             true = set()
             for one in tries:
                 start, n = one["start"], one["n"]
-                if " ".join(words[start : start + n]) == one["words"]:
+                if b" ".join(words[start : start + n]).decode() == one["words"]:
                     edges[start] += 1
                     edges[start + n] -= 1
                     true.add((one["window"], one["words"]))

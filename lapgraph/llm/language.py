@@ -164,13 +164,20 @@ def gram_keys(data: np.ndarray, begin: int, stop: int, order: int = ORDER) -> tu
 
 
 def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
-    """The ids with the smallest hashes of each language."""
+    """(id, label): the ids with the smallest hashes of each language.
+
+    A hash bound from the language's row count lets about twice as many through, so what is
+    ranked, and later broadcast, does not grow with the table.
+    """
+    by = F.xxhash64("id", F.lit(10))
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("rows"))
+    near = labelled.select("id", "lang", by.alias("by")).join(F.broadcast(counts), "lang")
+    near = near.where(F.col("by") / 2.0**64 + 0.5 <= 2.0 * per_language / F.col("rows"))
     order = Window.partitionBy("lang").orderBy("by", "id")
     return (
-        labelled.select("id", "lang", F.xxhash64("id", F.lit(10)).alias("by"))
-        .withColumn("n", F.row_number().over(order))
+        near.withColumn("n", F.row_number().over(order))
         .where(F.col("n") <= per_language)
-        .select("id", F.col("lang").alias("label"))
+        .select("id", F.col("lang").alias("label")).distinct()
     )
 
 
@@ -187,7 +194,7 @@ def train(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")
     ).where("lang IS NOT NULL AND text IS NOT NULL")
     chosen = _sample(labelled, per_language)
-    texts = labelled.join(chosen, labelled["id"].eqNullSafe(chosen["id"]) & (F.col("lang") == F.col("label")))
+    texts = labelled.join(F.broadcast(chosen), labelled["id"].eqNullSafe(chosen["id"]) & (F.col("lang") == F.col("label")))
 
     def grams(batches):
         for batch in batches:

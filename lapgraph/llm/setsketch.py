@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapgraph.llm.common import (
-    NULL_ID, key_bitmap, maybe_among, mix64, parallelism, space_words, stored,
+    NULL_ID, key_bitmap, lowered, maybe_among, mix64, parallelism, stored,
 )
 from lapgraph.llm.components import components
-from lapgraph.llm.words import WordHashes, run_hashes, span_hashes
+from lapgraph.llm.words import run_hashes, span_hashes, word_hashes
 
 #: Fixed values of the contract.
 SHINGLE = 3
@@ -50,9 +50,9 @@ _SEEDS = mix64(np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64))
 _FACTORS, _SHIFTS = _SEEDS[:REGISTERS] | np.uint64(1), _SEEDS[REGISTERS:]
 
 
-def shingle_set(text: str | None, hashes: WordHashes, shingle: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; a shorter text is one shingle."""
-    words = hashes.of(space_words(text, lower=True))
+    words = word_hashes(lowered(text))
     if 0 < len(words) < shingle:
         return span_hashes(words, np.array([0]), np.array([len(words)]))
     return np.unique(run_hashes(words, shingle))
@@ -139,11 +139,10 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
     def run(batches):
-        hashes = WordHashes()
         for batch in batches:
             sizes, names, least = [], [], []
             for text in batch.column(3).to_pylist():
-                shingles = shingle_set(text, hashes)
+                shingles = shingle_set(text)
                 sizes.append(len(shingles))
                 names.append((int(shingles.sum(dtype=np.uint64)), int(mix64(shingles).sum(dtype=np.uint64))))
                 least.append(minima(shingles))
@@ -212,7 +211,7 @@ def _block_links(members: DataFrame, vertices: DataFrame, texts: DataFrame, simi
         )
     )
 
-    def solve(rows, hashes):
+    def solve(rows):
         own, _, v, comp, n = (np.array([r[i] for r in rows], np.int64) for i in range(3, 8))
         _, low, high, _, band = rows[0][:5]
         table = np.frombuffer(b"".join(r[8] for r in rows), np.uint16).reshape(-1, REGISTERS)
@@ -222,7 +221,7 @@ def _block_links(members: DataFrame, vertices: DataFrame, texts: DataFrame, simi
 
         def set_of(i):
             if i not in sets:
-                sets[i] = shingle_set(rows[i][9], hashes)
+                sets[i] = shingle_set(rows[i][9])
             return sets[i]
 
         for i in np.flatnonzero(own == low):
@@ -241,16 +240,16 @@ def _block_links(members: DataFrame, vertices: DataFrame, texts: DataFrame, simi
         return out
 
     def run(batches):
-        hashes, held, name = WordHashes(), [], None
+        held, name = [], None
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[:3] != name:
                     if held:
-                        yield emit(solve(held, hashes))
+                        yield emit(solve(held))
                     held, name = [], row[:3]
                 held.append(row)
         if held:
-            yield emit(solve(held, hashes))
+            yield emit(solve(held))
 
     def emit(found):
         a, b = zip(*found) if found else ((), ())
@@ -298,8 +297,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, similar: int) -> DataFrame:
     """The pairs whose full sets are similar enough, stored."""
 
     def run(batches):
-        hashes = WordHashes()
-        shingles = lru_cache(maxsize=64)(lambda text: shingle_set(text, hashes))
+        shingles = lru_cache(maxsize=64)(shingle_set)
         for batch in batches:
             texts = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             keep = [linked(shingles(one), shingles(other), similar) for one, other in texts]

@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapgraph.llm.common import (
-    NULL_ID, key_bitmap, list_column, maybe_among, parallelism, space_words, stored,
+    NULL_ID, key_bitmap, list_column, maybe_among, parallelism, stored,
 )
-from lapgraph.llm.words import WordHashes, run_hashes, span_hashes
+from lapgraph.llm.words import run_hashes, span_hashes, word_hashes
 
 #: Fixed value of the contract.
 WINDOW = 50
@@ -101,11 +101,10 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int) -
     """(prefix, run, k, h, start, suffixes): the runs of all rows."""
 
     def run(batches):
-        hashes = WordHashes()
         for batch in batches:
             found, lengths = [], []
             for text in batch.column(2).to_pylist():
-                runs = runs_of(hashes.of(space_words(text)), window, gram)
+                runs = runs_of(word_hashes((text or "").encode()), window, gram)
                 found.append(runs)
                 lengths.append(len(runs[0]))
             prefix, run_, start, count = (np.concatenate(x) for x in zip(*found))
@@ -136,10 +135,9 @@ def _run_words(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
     ).drop("key").dropDuplicates(["k", "h"])
 
     def run(batches):
-        hashes = WordHashes()
         for batch in batches:
             for k, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                words = hashes.of(space_words(text)).astype(np.int64)
+                words = word_hashes((text or "").encode()).astype(np.int64)
                 parts = [words[w["start"] : w["start"] + w["suffixes"] + window - 1] for w in wanted]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -309,7 +307,7 @@ def remove_repeats(
             counts, removed, hashes, kept_texts = [], [], [], []
             spans = batch.column(2).to_pylist()
             for text, own in zip(batch.column(1).to_pylist(), spans):
-                words = space_words(text)
+                words = text.encode().split()
                 kept = words
                 if own:
                     edges = np.zeros(len(words) + 1, np.int64)

@@ -9,38 +9,48 @@ from lapgraph.llm.common import mix64
 #: An odd base and its inverse modulo 2**64 for running sums of word hashes.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2**64)
-#: Words remembered per worker.
-CACHED_WORDS = 1_000_000
-
-
-class WordHashes:
-    """64-bit hashes of words, from their UTF-8 bytes alone: the same in every process."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        found = list(map(self.known.get, words))
-        if None in found:
-            fresh = list({w for w, x in zip(words, found) if x is None})
-            hashes = dict(zip(fresh, hash_strings(fresh).tolist()))
-            if len(self.known) + len(hashes) > CACHED_WORDS:
-                self.known.clear()
-            found = [hashes[w] if x is None else x for w, x in zip(words, found)]
-            if len(hashes) <= CACHED_WORDS:
-                self.known.update((w, x) for w, x in hashes.items() if len(w) <= 64)
-        return np.array(found, np.uint64)
-
-
-def hash_strings(words: list[bytes]) -> np.ndarray:
-    """Hash of each word's bytes, for all of them at once."""
-    lengths = np.array([len(w) for w in words], np.int64)
-    data = np.frombuffer(b"".join(words), np.uint8)
-    starts = np.concatenate([[0], np.cumsum(lengths)])
-    place = np.arange(len(data)) - np.repeat(starts[:-1], lengths)
-    values = mix64((place.astype(np.uint64) << np.uint64(8)) + data.astype(np.uint64) + np.uint64(1))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-    return mix64(sums[starts[1:]] - sums[starts[:-1]] + lengths.astype(np.uint64))
+#: Bytes hashed at once, but for a longer word.
+PIECE = 1 << 22
+
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[32, *range(9, 14)]] = True
+_BYTE_AT = mix64(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hash of each word of a text in UTF-8, words being cut at ASCII white space.
+
+    A hash depends on the bytes of the word alone, so it is the same in every process.
+    """
+    if len(data) <= PIECE:
+        return _hashes(data)
+    out, begin = [], 0
+    while begin < len(data):
+        end = begin + PIECE
+        while end < len(data) and not _IS_SPACE[data[end]]:
+            end += 1
+        out.append(_hashes(data[begin:end]))
+        begin = end
+    return np.concatenate(out)
+
+
+def _hashes(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    edge = np.ones(len(raw) + 2, bool)
+    np.take(_IS_SPACE, raw, out=edge[1:-1])
+    turns = np.flatnonzero(edge[1:] != edge[:-1])
+    starts, lengths = turns[::2], turns[1::2] - turns[::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    ends = np.cumsum(lengths)
+    place = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
+    own = raw[~edge[1:-1]]
+    values = np.take(_BYTE_AT, (place & 255) << 8 | own)
+    if lengths.max() > 256:
+        values *= mix64((place >> 8).astype(np.uint64)) | np.uint64(1)
+    sums = np.zeros(len(own) + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
+    return mix64(sums[ends] - sums[ends - lengths] + lengths.astype(np.uint64))
 
 
 def _powers(base: int, n: int) -> np.ndarray:

@@ -6,11 +6,9 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lapgraph.llm import components, decontaminate, hamming, secrets, setsketch, shards, substrings
-from lapgraph.llm.common import LOWER_AZ
 from tests.llm.fixtures import LOWER, SPACE, by_id, documents, frame, result, words
 
 
@@ -393,4 +391,3 @@ def test_stages_bear_empty_tables(spark):
         assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0
     assert secrets.find_secrets(docs).count() == 0
     assert substrings.remove_repeats(docs).count() == 0
-    assert F is not None and LOWER_AZ == LOWER

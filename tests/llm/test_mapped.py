@@ -178,7 +178,7 @@ def test_scores_are_probabilities():
     texts = [" ".join("".join(rng.choice("abc") for _ in range(3)) for _ in range(30)) for _ in range(20)]
     paths = mixing.Paths(np.bincount(np.frombuffer("".join(texts).encode(), np.uint8), minlength=256))
     tables = np.zeros((mixing.PREDICTORS, 1 << mixing.SLOT_BITS), np.int8)
-    for slots in mixing.table_places(paths, [mixing.canonical(mixing.words_of(t)) for t in texts]):
+    for slots in mixing.table_places(paths, [mixing.canonical(t) for t in texts]):
         pass
     rng_ = np.random.default_rng(1)
     tables[:] = rng_.integers(-60, 60, tables.shape, dtype=np.int8)
