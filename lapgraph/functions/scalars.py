@@ -85,11 +85,6 @@ def sampling_weight(sequence: Column) -> Column:
     return F.lit(1.0) / (sequence + F.lit(1))
 
 
-def quality_score(seed: int | None = None) -> Column:
-    """Simulated sensor quality, uniform in [0.85, 1.0)."""
-    return F.lit(0.85) + F.lit(0.15) * F.rand(seed)
-
-
 def display_name(*candidates: Column) -> Column:
     return F.coalesce(*candidates)
 

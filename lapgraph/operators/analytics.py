@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapgraph.operators.communities import community_members
-from lapgraph.operators.skew import salted_join
+from lapgraph.operators.skew import skew_join
 
 
 def label_counts(nodes: Mapping[str, DataFrame]) -> DataFrame:
@@ -55,7 +55,7 @@ def _named(df: DataFrame, drivers: DataFrame, column: str, name: str) -> DataFra
 
 
 def _known(edges: DataFrame, drivers: DataFrame, column: str) -> DataFrame:
-    return salted_join(edges, drivers.select(F.col("driver_id").alias(column)), [column], "left_semi")
+    return skew_join(edges, drivers.select(F.col("driver_id").alias(column)), [column], "left_semi")
 
 
 def lap_statistics(laps: DataFrame, drivers: DataFrame, n: int = 10) -> DataFrame:
@@ -88,20 +88,28 @@ def fastest_laps(laps: DataFrame, drivers: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def _both_named(edges: DataFrame, drivers: DataFrame) -> DataFrame:
-    """Edges whose two drivers are known, with their names."""
-    named = edges
+def _both_known(edges: DataFrame, drivers: DataFrame) -> DataFrame:
+    """Edges whose two drivers are known."""
+    for column in ("attacker_id", "defender_id"):
+        ids = drivers.select(F.col("driver_id").alias(column))
+        edges = skew_join(edges, ids, [column], "left_semi")
+    return edges
+
+
+def _both_named(few: DataFrame, drivers: DataFrame) -> DataFrame:
+    """The names of both drivers beside few edges."""
     for column, name in (("attacker_id", "attacker"), ("defender_id", "defender")):
         names = drivers.select(F.col("driver_id").alias(column), F.col("driver_name").alias(name))
-        named = salted_join(named, names, [column])
-    return named
+        few = skew_join(few, names, [column])
+    return few
 
 
 def recent_overtakes(edges: DataFrame, drivers: DataFrame, n: int = 10) -> DataFrame:
     wanted = edges.select(
         "attacker_id", "defender_id", "session_id", "lap_number", "event_ts", "event_id"
     )
-    return top(_both_named(wanted, drivers), n, [F.desc("event_ts"), F.asc("event_id")]).drop("event_id")
+    best = top(_both_known(wanted, drivers), n, [F.desc("event_ts"), F.asc("event_id")])
+    return _both_named(best, drivers).drop("event_id")
 
 
 def longest_battles(edges: DataFrame, drivers: DataFrame, n: int = 10) -> DataFrame:
@@ -110,17 +118,18 @@ def longest_battles(edges: DataFrame, drivers: DataFrame, n: int = 10) -> DataFr
         "attacker_id", "defender_id", "session_id", "lap_number", "lap_count", "event_id"
     )
     order = [F.desc_nulls_first("lap_count"), F.asc("event_id")]
-    return top(_both_named(wanted, drivers), n, order).drop("event_id")
+    return _both_named(top(_both_known(wanted, drivers), n, order), drivers).drop("event_id")
 
 
 def interaction_summary(edges: DataFrame, drivers: DataFrame, n: int = 20) -> DataFrame:
     """Occurrences per ordered pair and type. Over the event table these are all events; over
     the latest-per-pair table every pair counts once."""
     counts = edges.groupBy("rel", "attacker_id", "defender_id").agg(F.count("*").alias("occurrences"))
-    return top(
-        _both_named(counts, drivers), n,
+    best = top(
+        _both_known(counts, drivers), n,
         [F.desc("occurrences"), F.asc("rel"), F.asc("attacker_id"), F.asc("defender_id")],
-    ).select("attacker_id", "attacker", "rel", "defender_id", "defender", "occurrences")
+    )
+    return _both_named(best, drivers).select("attacker_id", "attacker", "rel", "defender_id", "defender", "occurrences")
 
 
 def sample_node(nodes: DataFrame, key: str) -> DataFrame:
@@ -147,7 +156,7 @@ def community_profiles(communities: DataFrame, drivers: DataFrame) -> DataFrame:
     totals = speeds.groupBy("community_id").agg(
         F.count("*").alias("member_count"), F.avg("avg_speed_kph").alias("avg_speed")
     )
-    return salted_join(speeds.drop("avg_speed_kph"), totals, ["community_id"]).orderBy(
+    return skew_join(speeds.drop("avg_speed_kph"), totals, ["community_id"]).orderBy(
         F.desc("member_count"), "community_id", "driver_id"
     )
 
@@ -157,7 +166,7 @@ def similar_drivers(communities: DataFrame, ranks: DataFrame, drivers: DataFrame
     members = communities.select("community_id", "driver_id").distinct()
     own = members.filter(F.col("driver_id") == driver_id).select("community_id")
     others = (
-        salted_join(members, own, ["community_id"], "left_semi")
+        skew_join(members, own, ["community_id"], "left_semi")
         .filter(F.col("driver_id") != driver_id)
         .select("driver_id")
         .distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapgraph.operators.profiles import FEATURES, driver_features
-from lapgraph.operators.skew import salted_join
+from lapgraph.operators.skew import skew_join
 
 # Fixed value: fallback bucket count when no feature vector is hashed.
 FALLBACK_BUCKETS = 10
@@ -45,14 +45,35 @@ def lsh_communities(features: DataFrame, widths: Mapping[str, float], tables: in
     )
 
 
+def feature_partials(telemetry: DataFrame) -> DataFrame:
+    """Mergeable sums behind the features, per (driver, session) of one batch."""
+    sums = [
+        aggregate
+        for metric in ("speed_kph", "throttle_pct", "brake_pressure_bar")
+        for aggregate in (F.sum(metric).alias(f"sum_{metric}"), F.count(metric).alias(f"n_{metric}"))
+    ]
+    return telemetry.groupBy("driver_id", "session_id").agg(*sums, F.max("engine_rpm").alias("max_rpm"))
+
+
+def merged_features(partials: DataFrame) -> DataFrame:
+    """Features over all batches; incomplete rows are dropped."""
+    names = {"avg_speed": "speed_kph", "avg_throttle": "throttle_pct", "avg_brake": "brake_pressure_bar"}
+    return partials.groupBy("driver_id", "session_id").agg(
+        *[F.try_divide(F.sum(f"sum_{m}"), F.sum(f"n_{m}")).alias(name) for name, m in names.items()],
+        F.max("max_rpm").alias("max_rpm"),
+    ).dropna(subset=FEATURES)
+
+
 def driver_communities(telemetry: DataFrame, widths: Mapping[str, float], tables: int = 5) -> DataFrame:
     """Communities straight from telemetry; drivers with incomplete features are left out."""
     return lsh_communities(driver_features(telemetry), widths, tables)
 
 
 def hashed_communities(features: DataFrame, column: str = "features") -> DataFrame:
-    """Fallback: a fixed number of buckets by the hash of the whole feature vector."""
-    bucket = F.pmod(F.xxhash64(column), F.lit(FALLBACK_BUCKETS)).cast("string")
+    """Fallback: a fixed number of buckets by the md5 of the whole feature vector, in thousandths."""
+    parts = F.transform(column, lambda x: F.floor(x * 1000).cast("string"))
+    digits = F.substring(F.md5(F.concat_ws("_", parts)), 1, 8)
+    bucket = (F.conv(digits, 16, 10).cast("bigint") % FALLBACK_BUCKETS).cast("string")
     return features.select("driver_id", F.concat(F.lit("comm_"), bucket).alias("community_id"))
 
 
@@ -87,4 +108,4 @@ def community_members(communities: DataFrame) -> DataFrame:
     """
     members = communities.select("community_id", "driver_id").distinct()
     sizes = members.groupBy("community_id").agg(F.count("*").alias("member_count"))
-    return salted_join(members, sizes, ["community_id"])
+    return skew_join(members, sizes, ["community_id"])

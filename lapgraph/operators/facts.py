@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapgraph.functions.scalars import composite_key
-from lapgraph.operators.ordered import interval_join, neighbour_row, number_runs, running_agg, time_block
-from lapgraph.operators.skew import salted_join
+from lapgraph.operators.ordered import interval_join, neighbour_row, number_runs, overlap_join, running_agg, time_block
+from lapgraph.operators.skew import skew_join
 
 LAP = ["session_id", "driver_id", "lap_number"]
 LAP_BLOCK = 256
@@ -109,8 +109,8 @@ def with_teams(edges: DataFrame, drivers: DataFrame) -> DataFrame:
     team = drivers.select("driver_id", "team_id")
     left = team.withColumnsRenamed({"driver_id": "attacker_id", "team_id": "attacker_team"})
     right = team.withColumnsRenamed({"driver_id": "defender_id", "team_id": "defender_team"})
-    return salted_join(
-        salted_join(edges, left, ["attacker_id"], "left"), right, ["defender_id"], "left"
+    return skew_join(
+        skew_join(edges, left, ["attacker_id"], "left"), right, ["defender_id"], "left"
     )
 
 
@@ -214,8 +214,8 @@ def pace_deltas(laps: DataFrame) -> DataFrame:
     )
     timed = laps.select(*LAP, "lap_time_ms")
     return (
-        salted_join(
-            salted_join(timed, best, ["session_id"], "left"),
+        skew_join(
+            skew_join(timed, best, ["session_id"], "left"),
             leader, ["session_id", "lap_number"], "left",
         )
         .withColumn("delta_vs_best_ms", F.col("lap_time_ms") - F.col("best_ms"))
@@ -232,7 +232,7 @@ def zscores(telemetry: DataFrame, metric: str, keys: list[str], limit: float) ->
     rows = telemetry.select("sequence_number", *keys, metric)
     score = F.try_divide(F.col(metric) - F.col("_mean"), F.col("_sd"))
     return (
-        salted_join(rows, stats, keys, spread=["sequence_number"])
+        skew_join(rows, stats, keys)
         .withColumn("zscore", score)
         .withColumn("is_anomaly", F.coalesce(F.abs("zscore") > limit, F.lit(False)))
         .drop("_mean", "_sd")
@@ -243,7 +243,7 @@ def enrich_with_dimensions(facts: DataFrame, drivers: DataFrame, teams: DataFram
     """Driver name and team of every fact row (star join)."""
     team = teams.select("team_id", F.col("name").alias("team_name"), "engine_supplier")
     people = drivers.select("driver_id", "driver_name", "team_id").join(team, "team_id", "left")
-    return salted_join(facts, people, ["driver_id"], "left")
+    return skew_join(facts, people, ["driver_id"], "left")
 
 
 def events_in_laps(laps: DataFrame, events: DataFrame, seconds: int = 3600) -> DataFrame:
@@ -255,45 +255,41 @@ def events_in_laps(laps: DataFrame, events: DataFrame, seconds: int = 3600) -> D
     )
 
 
-def _steps(start: str, end: str, seconds: int) -> Column:
-    """Numbers of the grid steps of ``seconds`` that a span touches."""
-    return F.sequence(time_block(F.col(start), seconds), time_block(F.col(end), seconds))
+def _micros(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
 def merge_periods(periods: DataFrame, seconds: int) -> DataFrame:
-    """Union of overlapping (period_start, period_end) spans per session.
+    """(session_id, period_start, period_end): the union of the given periods per session.
 
-    Steps of ``seconds`` are the grid: a period covers the steps it touches, and runs of
-    covered steps become one period.
+    A period joins those before it if it starts no later than the latest end so far. Periods
+    that end before they start cover nothing. ``seconds`` is the width of the time blocks.
     """
-    steps = periods.select(
-        "session_id",
-        F.explode(_steps("period_start", "period_end", seconds)).alias("step"),
+    width, keys, tie = seconds * 1_000_000, ["session_id"], ["period_end"]
+    given = periods.filter("period_start <= period_end").select(
+        "session_id", "period_start", "period_end", _micros("period_start").alias("_at")
     ).distinct()
-    runs = number_runs(
-        steps, ["session_id"], "step", ["step"],
-        lambda prev: F.col("step") != prev["step"] + 1, SAMPLE_BLOCK, "period_no",
-    )
-    return runs.groupBy("session_id", "period_no").agg(
-        F.min("step").alias("first_step"), F.max("step").alias("last_step")
+    reached = running_agg(given, keys, "_at", "period_end", width, "_reach", F.max, tie)
+    before = neighbour_row(reached, keys, "_at", ["_reach"], width, "_prev", tie=tie)
+    opens = F.coalesce(F.col("period_start") > F.col("_prev._reach"), F.lit(True)).cast("int")
+    numbered = running_agg(
+        before.withColumn("_opens", opens), keys, "_at", "_opens", width, "_period", tie=tie
     )
+    return numbered.groupBy("session_id", "_period").agg(
+        F.min("period_start").alias("period_start"), F.max("period_end").alias("period_end")
+    ).drop("_period")
 
 
 def laps_under_safety_car(laps: DataFrame, periods: DataFrame, seconds: int) -> DataFrame:
-    """Seconds of each lap spent in safety-car steps (interval overlap on a step grid)."""
-    spans = laps.filter("lap_end IS NOT NULL").select(
-        *LAP,
-        F.explode(_steps("lap_start", "lap_end", seconds)).alias("step"),
-    )
-    covered = periods.select(
-        "session_id",
-        F.explode(_steps("period_start", "period_end", seconds)).alias("step"),
-    ).distinct()
-    return (
-        spans.join(covered, ["session_id", "step"])
-        .groupBy(*LAP)
-        .agg((F.count("*") * F.lit(seconds)).alias("safety_car_seconds"))
+    """Seconds of each lap inside safety-car periods; laps without any are left out."""
+    spans = laps.filter("lap_end IS NOT NULL").select(*LAP, "lap_start", "lap_end")
+    both = overlap_join(
+        spans, merge_periods(periods, seconds), ["session_id"],
+        ("lap_start", "lap_end"), ("period_start", "period_end"), seconds,
     )
+    end = F.least(_micros("lap_end"), _micros("period_end"))
+    start = F.greatest(_micros("lap_start"), _micros("period_start"))
+    return both.groupBy(*LAP).agg((F.sum(end - start) / 1e6).alias("safety_car_seconds"))
 
 
 def interaction_nodes(edges: DataFrame) -> DataFrame:
@@ -318,7 +314,7 @@ def sector_comparisons(telemetry: DataFrame) -> DataFrame:
     )
     field = own.groupBy(*sector).agg(F.sum("_s").alias("_fs"), F.sum("_n").alias("_fn"))
     delta = ratio(F.col("_s"), F.col("_n")) - ratio(F.col("_fs"), F.col("_fn"))
-    return salted_join(own, field, sector).select(
+    return skew_join(own, field, sector).select(
         *sector,
         "driver_id",
         delta.alias("avg_delta"),
@@ -376,7 +372,7 @@ def acceleration_times(telemetry: DataFrame, low: float, high: float) -> DataFra
         F.col("slow_ts").cast("timestamp")
     )
     return (
-        salted_join(slow, first_fast, LAP)
+        skew_join(slow, first_fast, LAP)
         .filter("event_ts < fast_ts")
         .groupBy(*LAP)
         .agg(F.max("event_ts").alias("slow_ts"), F.first("fast_ts").alias("fast_ts"))
@@ -393,12 +389,12 @@ def pit_efficiency(stops: DataFrame) -> DataFrame:
     total = counted.groupBy("session_id").agg(F.sum("_n").alias("_total"))
     ranked = running_agg(counted, ["session_id"], "pit_duration_ms", "_n", 1000, "_upto")
     median = (
-        salted_join(ranked, total, ["session_id"])
+        skew_join(ranked, total, ["session_id"])
         .filter(F.col("_upto") >= F.floor((F.col("_total") - 1) / 2) + 1)
         .groupBy("session_id")
         .agg(F.min("pit_duration_ms").alias("median_ms"))
     )
-    return salted_join(stops, median, ["session_id"], spread=["event_id"]).withColumn(
+    return skew_join(stops, median, ["session_id"]).withColumn(
         "pit_ratio", ratio(F.col("pit_duration_ms"), F.col("median_ms"))
     )
 

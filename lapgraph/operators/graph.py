@@ -15,7 +15,7 @@ from lapgraph.operators.profiles import (
     driver_profile, driver_session_span, lap_stats, session_summary,
 )
 from lapgraph.operators.selection import of_type, with_endpoints
-from lapgraph.operators.skew import salted_join
+from lapgraph.operators.skew import skew_join
 
 # Property lists and identifying keys of the graph messages.
 DRIVER_PROPS = [
@@ -200,7 +200,7 @@ def same_community_edges(communities: DataFrame) -> DataFrame:
     """Each member to its community's first member (by id): linear in members, and two
     drivers share a community exactly when they share the hub."""
     hubs = communities.groupBy("community_id").agg(F.min("driver_id").alias("hub"))
-    return salted_join(communities, hubs, ["community_id"]).select(
+    return skew_join(communities, hubs, ["community_id"]).select(
         F.col("driver_id").alias("src"), F.col("hub").alias("dst"), "community_id"
     )
 
@@ -215,6 +215,6 @@ def influenced_by_edges(edges: DataFrame, ranks: DataFrame, keys: Sequence[str]
         .join(degree, src)
         .select(*src, (F.col("pagerank_score") / F.col("_deg")).alias("influence_weight"))
     )
-    return salted_join(edges, share, src).select(
+    return skew_join(edges, share, src).select(
         *keys, F.col("dst").alias("src"), F.col("src").alias("dst"), "influence_weight"
     )

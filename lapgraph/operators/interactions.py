@@ -12,7 +12,7 @@ from lapgraph.operators.ordered import (
     asof_forward, block_of, lower_side_keys, number_runs, upper_side_keys,
 )
 from lapgraph.operators.selection import every_nth
-from lapgraph.operators.skew import salted_join
+from lapgraph.operators.skew import skew_join
 
 # How strongly each event type counts as an interaction.
 LAP_STRENGTH = 1.0
@@ -328,7 +328,7 @@ EVENT_COLUMNS = [
 def with_driver_names(events: DataFrame, drivers: DataFrame) -> DataFrame:
     """Display name: the dimension's abbreviation, then its full name, then the id."""
     names = drivers.select("driver_id", F.coalesce("abbreviation", "full_name").alias("_name"))
-    return salted_join(events.drop("driver_name"), names, ["driver_id"], "left").withColumn(
+    return skew_join(events.drop("driver_name"), names, ["driver_id"], "left").withColumn(
         "driver_name", F.coalesce("_name", "driver_id")
     ).drop("_name")
 
@@ -382,9 +382,8 @@ def telemetry_records(
     """Samples with lap, tyre, weather, hash, weight and correlation id."""
     timed = every_nth(samples.filter("event_ts IS NOT NULL"), sample_rate)
     placed = with_laps(timed, laps, payload)
-    weathered = salted_join(
-        placed, latest_weather(weather, weather_columns), ["session_id"], "left",
-        spread=["driver_id", "sequence_number"],
+    weathered = skew_join(
+        placed, latest_weather(weather, weather_columns), ["session_id"], "left"
     )
     return weathered.withColumns(
         {

@@ -66,7 +66,10 @@ def running_agg(
     agg: Callable[[str], Column] = F.sum,
     tie: Sequence[str] = (),
 ) -> DataFrame:
-    """Add ``out``, the sum (or max, min) of ``value`` up to and including the row."""
+    """Add ``out``, the sum (or max, min) of ``value`` up to and including the row.
+
+    NULL values count for nothing; the result is NULL only until the first value.
+    """
     combine = {F.sum: lambda a, b: a + b, F.max: F.greatest, F.min: F.least}[agg]
     blocked = df.withColumn("_block", block_of(F.col(position), width))
     inside = (
@@ -83,11 +86,11 @@ def running_agg(
         .withColumn("_base", agg("_total").over(before))
         .select(*keys, "_block", "_base")
     )
-    local = F.col("_local")
+    base, local = F.col("_base"), F.col("_local")
     return (
         blocked.withColumn("_local", agg(value).over(inside))
         .join(bases, [*keys, "_block"], "left")
-        .withColumn(out, F.coalesce(combine(F.col("_base"), local), local))
+        .withColumn(out, F.coalesce(combine(base, local), local, base))
         .drop("_block", "_local", "_base")
     )
 
@@ -100,11 +103,13 @@ def number_runs(
     starts_run: Callable[[Column], Column],
     width: int,
     out: str,
+    tie: Sequence[str] = (),
 ) -> DataFrame:
     """Number the runs of a group from 1; ``starts_run(previous_row)`` opens a new run.
 
     ``starts_run`` compares the ``carry`` columns of the previous row with those of the row
-    itself. The first row of a group always opens a run. Breaks inside a block are counted
+    itself; a comparison that gives NULL opens none, so columns with NULLs need a null-safe
+    one. Rows are ordered by (position, *tie). The first row of a group always opens a run. Breaks inside a block are counted
     there; one row per block (its first row, its last row, its breaks) settles the edges.
     """
     def opens(previous: Column) -> Column:
@@ -112,9 +117,9 @@ def number_runs(
             F.coalesce(starts_run(previous).cast("int"), F.lit(0))
         )
 
-    inside = Window.partitionBy(*keys, "_block").orderBy(position)
-    row, order = F.struct(*carry), F.col(position)
-    blocked = df.withColumn("_block", block_of(order, width)).withColumn(
+    inside = Window.partitionBy(*keys, "_block").orderBy(position, *tie)
+    row, order = F.struct(*carry), F.struct(position, *tie)
+    blocked = df.withColumn("_block", block_of(F.col(position), width)).withColumn(
         "_prev", F.lag(row).over(inside)
     )
     breaks = F.when(F.col("_prev").isNull(), 0).otherwise(opens(F.col("_prev")))
@@ -226,6 +231,33 @@ def interval_join(
     )
 
 
+def overlap_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_span: tuple[str, str],
+    right_span: tuple[str, str],
+    seconds: int,
+) -> DataFrame:
+    """Pair spans of the same keys that overlap (more than an end point in common).
+
+    Equi join on (keys, time block); of the blocks that both spans touch, only the first
+    pairs them. Spans that end before they start overlap with nothing.
+    """
+    def listed(df: DataFrame, span: tuple[str, str], first: str) -> DataFrame:
+        begin, end = time_block(F.col(span[0]), seconds), time_block(F.col(span[1]), seconds)
+        return df.filter(F.col(span[0]) <= F.col(span[1])).withColumn(first, begin).withColumn(
+            "_block", F.explode(F.sequence(begin, end))
+        )
+
+    pairs = listed(left, left_span, "_left").join(listed(right, right_span, "_right"), [*keys, "_block"])
+    return pairs.filter(
+        (F.col("_block") == F.greatest("_left", "_right"))
+        & (F.col(left_span[0]) < F.col(right_span[1]))
+        & (F.col(right_span[0]) < F.col(left_span[1]))
+    ).drop("_block", "_left", "_right")
+
+
 def lower_side_keys(value: Column, width: int, levels: Column) -> Column:
     """Join keys of the smaller value in ``smaller < larger``; see ``upper_side_keys``."""
     return _side_keys(value, width, levels, 0)

@@ -8,16 +8,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.operators.skew import salted_join
+from lapgraph.operators.skew import skew_join
 from lapgraph.session import ensure_checkpoint_dir
 
-# A source with more edges than this is a hub; where the graph is so large that there could
-# be more than MAX_HUBS of them, the limit rises with it.
-HUB_EDGES = 1_000_000
-MAX_HUBS = 10_000
-# Partition size limits: small graphs get few tasks, huge ones partitions that fit in memory.
-MIN_PARTITION_EDGES = 50_000
-MAX_PARTITION_EDGES = 5_000_000
+# Edges of one source that one task joins; a source with more has as many splits as it needs.
+EDGES_PER_SPLIT = 100_000
 
 
 def edge_vertices(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -51,7 +46,7 @@ def pagerank(
     normalize: bool = False,
     initial: DataFrame | None = None,
     checkpoint_every: int = 1,
-    hub_edges: int = HUB_EDGES,
+    edges_per_split: int = EDGES_PER_SPLIT,
 ) -> DataFrame:
     """(keys, id, pagerank_score) after ``max_iter`` rounds of
 
@@ -68,48 +63,36 @@ def pagerank(
     checkpoint folder, so plans stay short and a lost executor costs one round.
 
     The edges are laid out by source once; a round moves ranks and sums per target, never
-    edges.
-    The edges of hubs (sources with more than ``hub_edges`` edges) stay spread over all
-    partitions and get the hubs' ranks, at most MAX_HUBS of them, by broadcast.
+    edges. A source has one split for every ``edges_per_split`` of its edges and sends its rank
+    once to each, so no task gets more of one source, however many edges that has.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     keys = list(keys)
-    given = edges.select(*keys, "src", "dst", *([weight] if weight else [])).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    total = given.count()
-    hub_edges = max(hub_edges, total // MAX_HUBS)
+    given = edges.select(*keys, "src", "dst", *([weight] if weight else []))
     # A fixed partition count, so that every round joins on this layout without moving it.
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    largest = max(configured, -(-total // MAX_PARTITION_EDGES))
-    partitions = max(1, min(largest, -(-total // MIN_PARTITION_EDGES)))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = F.sum(weight) if weight else F.count("*")
     degrees = given.groupBy(*keys, "src").agg(
-        out.cast("double").alias("_out"), (F.count("*") > hub_edges).alias("_hub")
+        out.cast("double").alias("_out"),
+        F.ceil(F.count("*") / edges_per_split).cast("int").alias("_splits"),
     )
     share = (F.col(weight).cast("double") if weight else F.lit(1.0)) / F.col("_out")
     source = [*keys, "src"]
-    hub_list = degrees.filter("_hub").select(*source, "_out")
-    hubs, ordinary = None, given
-    if not hub_list.isEmpty():
-        few = F.broadcast(hub_list)  # at most MAX_HUBS rows
-        hubs = given.join(few, source).select(*source, "dst", share.alias("_share"))
-        hubs = hubs.persist(StorageLevel.MEMORY_AND_DISK)
-        ordinary = given.join(few, source, "left_anti")
+    split = F.pmod(F.xxhash64("dst"), F.col("_splits")).cast("int").alias("_split")
     local = (
-        ordinary.repartition(partitions, *source)
-        .join(degrees.filter("NOT _hub").select(*source, "_out"), source)
-        .select(*source, "dst", share.alias("_share"))
-        .sortWithinPartitions(*source)
+        skew_join(given, degrees, source)
+        .select(*source, split, "dst", share.alias("_share"))
+        .repartition(partitions, *source, "_split")
+        .sortWithinPartitions(*source, "_split")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     ids = edge_vertices(given, keys) if vertices is None else vertices.select(*keys, "id")
     sizes = ids.groupBy(*keys).agg(F.count("*").alias("_n"))
-    sized = salted_join(ids, sizes, keys) if keys else ids.withColumn("_n", sizes.scalar())
+    sized = skew_join(ids, sizes, keys) if keys else ids.withColumn("_n", sizes.scalar())
     known = (
         sized.join(degrees.withColumnRenamed("src", "id"), [*keys, "id"], "left")
-        .select(*keys, "id", "_n", "_hub")
+        .select(*keys, "id", "_n", "_splits")
         .repartition(partitions, *keys, "id")
         .sortWithinPartitions(*keys, "id")
         .persist(StorageLevel.MEMORY_AND_DISK)
@@ -121,41 +104,37 @@ def pagerank(
             ranks = known.join(warm, [*keys, "id"], "left").select(
                 *known.columns, F.coalesce("_warm", F.lit(1.0) / F.col("_n")).alias("rank")
             )
-        # These read the ranks more than once, so they cut the plan in every round.
-        cut_always = dangling or hubs is not None
         for round_no in range(1, max_iter + 1):
-            ranks = _round(ranks, known, local, hubs, keys, reset_prob, dangling)
-            if round_no < max_iter and (cut_always or round_no % checkpoint_every == 0):
+            ranks = _round(ranks, known, local, keys, reset_prob, dangling)
+            # With dangling ranks a round reads them twice, so the plan is cut every time.
+            if round_no < max_iter and (dangling or round_no % checkpoint_every == 0):
                 ranks = ranks.checkpoint()
         scores = ranks.select(*keys, "id", F.col("rank").alias("pagerank_score"))
         if normalize:
             scores = _normalized(scores.checkpoint(), keys)
         return scores.checkpoint()
     finally:
-        for table in (given, local, known, hubs):
-            if table is not None:
-                table.unpersist()
+        for table in (local, known):
+            table.unpersist()
 
 
 def _round(
-    ranks: DataFrame, known: DataFrame, local: DataFrame, hubs: DataFrame | None, keys: list[str],
-    reset: float, dangling: bool,
+    ranks: DataFrame, known: DataFrame, local: DataFrame, keys: list[str], reset: float, dangling: bool
 ) -> DataFrame:
-    sent = F.col("rank") * F.col("_share")
-    senders = ranks.select(*keys, F.col("id").alias("src"), "rank", "_hub")
-    shares = local.join(senders.filter("NOT _hub"), [*keys, "src"]).select(
-        *keys, "dst", sent.alias("_sent")
+    senders = ranks.filter("_splits IS NOT NULL").select(
+        *keys, F.col("id").alias("src"), "rank",
+        F.explode(F.sequence(F.lit(0), F.col("_splits") - 1)).alias("_split"),
+    )
+    shares = local.join(senders, [*keys, "src", "_split"]).select(
+        *keys, "dst", (F.col("rank") * F.col("_share")).alias("_sent")
     )
-    if hubs is not None:
-        from_hubs = hubs.join(F.broadcast(senders.filter("_hub")), [*keys, "src"])
-        shares = shares.unionByName(from_hubs.select(*keys, "dst", sent.alias("_sent")))
     received = shares.groupBy(*keys, F.col("dst").alias("id")).agg(F.sum("_sent").alias("_in"))
     inflow: Column = F.coalesce(F.col("_in"), F.lit(0.0))
     joined = known.join(received, [*keys, "id"], "left")
     if dangling:
-        lost = ranks.filter("_hub IS NULL").groupBy(*keys).agg(F.sum("rank").alias("_lost"))
+        lost = ranks.filter("_splits IS NULL").groupBy(*keys).agg(F.sum("rank").alias("_lost"))
         if keys:
-            joined = salted_join(joined, lost, keys, "left")
+            joined = skew_join(joined, lost, keys, "left")
         else:
             joined = joined.withColumn("_lost", lost.scalar())
         inflow = inflow + F.coalesce(F.col("_lost"), F.lit(0.0)) / F.col("_n")
@@ -166,7 +145,7 @@ def _round(
 
 def _normalized(scores: DataFrame, keys: list[str]) -> DataFrame:
     totals = scores.groupBy(*keys).agg(F.sum("pagerank_score").alias("_total"))
-    joined = salted_join(scores, totals, keys) if keys else scores.withColumn("_total", totals.scalar())
+    joined = skew_join(scores, totals, keys) if keys else scores.withColumn("_total", totals.scalar())
     return joined.withColumn(
         "pagerank_score", F.col("pagerank_score") / F.col("_total")
     ).drop("_total")
@@ -191,14 +170,18 @@ def session_pagerank(edge_sets: Sequence[DataFrame], **options) -> DataFrame:
     return pagerank(None, edges, ["session_id"], **options)
 
 
-def rank_trend(edges: DataFrame, up_to: str, last: int, **options) -> DataFrame:
+def rank_trend(edges: DataFrame, up_to: str, last: int | None = None, **options) -> DataFrame:
     """PageRank of the graph up to each value of ``up_to`` and its change per step.
 
-    ``edges`` holds (src, dst, up_to); an edge counts from its first appearance on.
+    ``edges`` holds (src, dst, up_to); an edge counts from its first appearance on. The steps
+    end with the largest in the data, or with ``last``; edges first seen later do not count.
     """
     first = edges.groupBy("src", "dst").agg(F.min(up_to).alias("_first"))
-    prefixes = first.select(
-        F.explode(F.sequence(F.col("_first"), F.lit(last))).alias(up_to), "src", "dst"
+    if last is None:
+        last = edges.agg(F.max(up_to)).first()[0]
+    prefixes = first.where(F.col("_first") <= F.lit(last)).select(
+        F.explode(F.sequence(F.col("_first"), F.lit(last).cast(first.schema["_first"].dataType))).alias(up_to),
+        "src", "dst",
     )
     scores = pagerank(None, prefixes, [up_to], **options)
     before = scores.select(

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.operators.skew import salted_join
+from lapgraph.operators.skew import skew_join
 
 # Fixed value: 13 hex digits of md5 give 52 bits, exact in a double.
 HEX_DIGITS = 13
@@ -50,7 +50,7 @@ def adaptive_sample(
     rates = df.groupBy(*keys).agg(
         F.least(F.lit(1.0), F.lit(float(target)) / F.count("*")).alias("sampling_rate")
     )
-    return salted_join(df, rates, list(keys), spread=[ident]).filter(
+    return skew_join(df, rates, list(keys)).filter(
         unit_random(seed, ident) < F.col("sampling_rate")
     )
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.operators.skew import mark_repeats, salted_join
+from lapgraph.operators.skew import mark_repeats, skew_join
 
 # Arrival-order columns, first available wins.
 ARRIVAL_COLUMNS = ["sequence_number", "kafka_timestamp", "ingested_at", "offset"]
@@ -73,7 +73,7 @@ def quantile_report(
         F.percentile_approx(value, [float(p) for p in probabilities], accuracy).alias("_q"),
         F.count(value).alias("rows"),
     )
-    ranks = salted_join(df.select(*keys, value), quantiles, keys).groupBy(*keys, "rows").agg(
+    ranks = skew_join(df.select(*keys, value), quantiles, keys).groupBy(*keys, "rows").agg(
         *[
             F.struct(
                 F.lit(float(p)).alias("probability"),
@@ -88,83 +88,12 @@ def quantile_report(
     return ranks.select(*keys, "rows", F.explode(packed).alias("_p")).select(*keys, "rows", "_p.*")
 
 
-def count_min_table(df: DataFrame, item: str, depth: int = 5, width: int = 2048) -> DataFrame:
-    """Count-Min counters as a table (row, cell, hits): depth * width rows at most."""
-    rows = F.explode(F.sequence(F.lit(0), F.lit(depth - 1)))
-    counted = df.groupBy(item).agg(F.count("*").alias("_n"))
-    return (
-        counted.withColumn("row", rows)
-        .groupBy("row", F.pmod(F.xxhash64(item, "row"), F.lit(width)).alias("cell"))
-        .agg(F.sum("_n").alias("hits"))
-    )
-
-
-def count_min_estimates(
-    items: DataFrame, item: str, table: DataFrame, depth: int = 5, width: int = 2048
-) -> DataFrame:
-    """Never below the true count; the smallest of an item's counters."""
-    return (
-        items.select(item)
-        .distinct()
-        .withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(depth - 1))))
-        .withColumn("cell", F.pmod(F.xxhash64(item, "row"), F.lit(width)))
-        .join(table, ["row", "cell"])
-        .groupBy(item)
-        .agg(F.min("hits").alias("estimated_count"))
-    )
-
+def frequent_items(df: DataFrame, item: str, n: int, tracked: int = 100_000) -> DataFrame:
+    """The ``n`` most frequent items with their estimated counts, from the engine's own sketch.
 
-class BlockedBloom:
-    """Bloom filter as a table: one row per 512-bit block, eight 64-bit words.
-
-    All bits of a key lie in one block, so a probe is one equi join on the block number.
-    Sized for ``expected`` keys at ``fpp``, with half as much again because blocks fill
-    unevenly.
+    Counts are exact while there are fewer different items than three quarters of ``tracked``.
     """
-
-    WORDS = 8
-    BITS = 64 * WORDS
-
-    def __init__(self, expected: int, fpp: float = 0.01):
-        per_key = -math.log(fpp) / math.log(2) ** 2
-        self.hashes = max(1, math.ceil(per_key * math.log(2)))
-        self.blocks = max(1, math.ceil(1.5 * per_key * max(1, expected) / self.BITS))
-
-    def _block(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(self.blocks))
-
-    def _bits(self, key: Column) -> list[Column]:
-        return [
-            F.pmod(F.xxhash64(key, F.lit(i)), F.lit(self.BITS)).cast("int")
-            for i in range(self.hashes)
-        ]
-
-    def build(self, df: DataFrame, key: str) -> DataFrame:
-        position = F.explode(F.array(*self._bits(F.col(key)))).alias("_at")
-        bits = df.filter(F.col(key).isNotNull()).select(
-            self._block(F.col(key)).alias("bloom_block"), position
-        )
-        word = F.floor(F.col("_at") / F.lit(64))
-        mask = F.call_function(
-            "shiftleft", F.lit(1).cast("bigint"), F.pmod(F.col("_at"), F.lit(64))
-        )
-        words = [
-            F.bit_or(F.when(word == number, mask).otherwise(F.lit(0).cast("bigint")))
-            for number in range(self.WORDS)
-        ]
-        return bits.groupBy("bloom_block").agg(F.array(*words).alias("bits"))
-
-    def probe(self, df: DataFrame, key: str, table: DataFrame) -> DataFrame:
-        """Add ``maybe_present``; False is certain."""
-        present = F.lit(True)
-        for position in self._bits(F.col(key)):
-            word = F.element_at("bits", (F.floor(position / F.lit(64)) + 1).cast("int"))
-            bit = F.call_function("shiftright", word, F.pmod(position, F.lit(64))).bitwiseAND(
-                F.lit(1)
-            )
-            present = present & (bit == 1)
-        blocked = df.withColumn("bloom_block", self._block(F.col(key)))
-        joined = salted_join(blocked, table, ["bloom_block"], "left", spread=df.columns)
-        return joined.withColumn(
-            "maybe_present", F.coalesce(F.col("bits").isNotNull() & present, F.lit(False))
-        ).drop("bloom_block", "bits")
+    found = df.agg(F.expr(f"approx_top_k(`{item}`, {int(n)}, {int(tracked)})").alias("_top"))
+    return found.select(F.inline("_top")).select(
+        F.col("item").alias(item), F.col("count").alias("estimated_count")
+    )

@@ -1,41 +1,27 @@
-"""Spreading hot keys.
+"""Hot keys.
 
 One key may hold a large share of all rows. Aggregates are safe (Spark combines on the
-map side); joins and windows on such a key are not, so they go through these helpers.
+map side). Joins are left to adaptive execution, which splits the partitions of a hot key by
+their measured size; windows on a hot key are split here, by its measured row count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 16
+ROWS_PER_HEAT = 100_000
 
 
-def content_salt(columns: Sequence[str], salts: int = SALTS) -> Column:
-    """A salt that depends only on the row, so a recomputed task gets the same one."""
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join ``left``, whose keys may be hot, with a right side that has each key once.
 
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    salts: int = SALTS,
-    spread: Sequence[str] | None = None,
-) -> DataFrame:
-    """Join ``left``, whose keys may be hot, with a right side much smaller than it.
-
-    Each left key is spread over ``salts`` partitions and the right side is copied once
-    per salt. Works for inner, left, left_semi and left_anti. A right side under the
-    session's broadcast threshold is broadcast by Spark itself, after it has seen its size.
+    The hot side stands on the left, where Spark can split its partitions for inner, left,
+    left_semi and left_anti joins; neither side is copied beyond what the measured skew asks.
     """
-    left_salted = left.withColumn("_salt", content_salt(spread or left.columns, salts))
-    right_copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left_salted.join(right_copies, [*on, "_salt"], how).drop("_salt")
+    return left.join(right, list(on), how)
 
 
 def mark_repeats(
@@ -43,16 +29,21 @@ def mark_repeats(
     keys: Sequence[str],
     order: Sequence[str],
     flag: str = "is_duplicate",
-    salts: int = SALTS,
+    rows_per_heat: int = ROWS_PER_HEAT,
 ) -> DataFrame:
     """Flag every row of a key except the first by ``order``.
 
-    Heats and a final: rows of a key compete inside one of ``salts`` heats, and only the
-    heat winners (at most ``salts`` per key) meet in the second window.
+    Heats and a final: a key has as many heats as its row count asks for, its rows compete
+    inside them, and only the heat winners meet in the second window.
     """
-    salted = df.withColumn("_salt", content_salt(df.columns, salts))
+    heats = (
+        df.groupBy(*keys).agg(F.ceil(F.count("*") / rows_per_heat).alias("_heats"))
+        .filter("_heats > 1")
+    )
+    own = F.pmod(F.xxhash64(*df.columns), F.coalesce("_heats", F.lit(1)))
+    spread = skew_join(df, heats, keys, "left").withColumn("_salt", own).drop("_heats")
     heat = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    ranked = salted.withColumn("_heat", F.row_number().over(heat))
+    ranked = spread.withColumn("_heat", F.row_number().over(heat))
     beaten = ranked.filter("_heat > 1").withColumn(flag, F.lit(True))
     final = Window.partitionBy(*keys).orderBy(*order, "_salt")
     winners = ranked.filter("_heat = 1").withColumn(flag, F.row_number().over(final) > 1)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.operators.skew import salted_join
+from lapgraph.operators.skew import skew_join
 
 MODES = ("set", "merge", "keep", "update")
 
@@ -61,8 +61,8 @@ def upsert_edges(
     """
     keys = ["rel", "src", "dst"]
     latest = latest_per_key(new, keys, order)
-    anchored = salted_join(latest, nodes.select(F.col("id").alias("src")), ["src"], "left_semi")
-    anchored = salted_join(anchored, nodes.select(F.col("id").alias("dst")), ["dst"], "left_semi")
+    anchored = skew_join(latest, nodes.select(F.col("id").alias("src")), ["src"], "left_semi")
+    anchored = skew_join(anchored, nodes.select(F.col("id").alias("dst")), ["dst"], "left_semi")
     return upsert(old, anchored, keys, "merge")
 
 

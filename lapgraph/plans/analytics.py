@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lapgraph.operators import analytics, facts, graph, pagerank as pr, profiles
 from lapgraph.operators.interactions import overtakes
-from lapgraph.operators.skew import salted_join
+from lapgraph.operators.skew import skew_join
 from lapgraph.operators.upsert import upsert_edges
 from lapgraph.plans.aggregates import LAP_STATS, SESSION
 from lapgraph.plans.detection import OVERTAKES
@@ -239,7 +239,7 @@ def pattern_matches(fx):
     """Lap to driver to team, and lap to session."""
     g = Graph(fx)
     people = fx.drivers.join(fx.teams.select("team_id", F.col("name").alias("team_name")), "team_id")
-    matched = salted_join(g.laps, people.select("driver_id", "team_name"), ["driver_id"]).join(
+    matched = skew_join(g.laps, people.select("driver_id", "team_name"), ["driver_id"]).join(
         g.sessions.select("session_id"), "session_id"
     )
     return matched.groupBy("session_id", "driver_id").agg(

@@ -215,8 +215,7 @@ def event_counts(fx):
     return race.race_events(fx.stored("laps"), fx.drivers).groupBy("event_type").agg(F.count("*").alias("events"))
 
 
-# Every third lap is a timing mark, so many samples have to look past a missing lap.
-MARKS = "SELECT * FROM laps WHERE lap_number % 3 = 0 AND lap_end IS NOT NULL"
+MARKS = "SELECT * FROM laps WHERE lap_end IS NOT NULL"
 PLACED = f"""
     SELECT t.sequence_number, t.session_id, t.driver_id, coalesce(m.lap_number, 0) AS lap_number,
            m.compound, m.tyre_life
@@ -228,8 +227,7 @@ PLACED = f"""
 @query("JN4_asof_lap", PLACED)
 def asof_lap(fx):
     samples = fx.telemetry.select("sequence_number", "session_id", "driver_id", "event_ts")
-    marks = fx.laps.filter("lap_number % 3 = 0")
-    return race.with_laps(samples, marks, ["compound", "tyre_life"]).drop("event_ts")
+    return race.with_laps(samples, fx.laps, ["compound", "tyre_life"]).drop("event_ts")
 
 
 WEATHER = "SELECT session_id, arg_max(row(air_temp, wind_speed), event_ts) AS w FROM weather GROUP BY session_id"
@@ -252,7 +250,7 @@ def latest_weather(fx):
 def telemetry_records(fx):
     samples = fx.telemetry.select("sequence_number", "session_id", "driver_id", "event_ts")
     return race.telemetry_records(
-        samples, fx.laps.filter("lap_number % 3 = 0"), fx.weather,
+        samples, fx.laps, fx.weather,
         ["compound", "tyre_life"], ["air_temp", "wind_speed"],
     ).drop("session_id", "driver_id", "event_ts")
 
@@ -267,5 +265,5 @@ def compound_runs(fx):
     laps = fx.laps.select("session_id", "driver_id", "lap_number", "compound")
     return number_runs(
         laps, ["session_id", "driver_id"], "lap_number", ["compound"],
-        lambda prev: prev["compound"] != F.col("compound"), race.LAP_BLOCK, "run_no",
+        lambda prev: ~prev["compound"].eqNullSafe(F.col("compound")), race.LAP_BLOCK, "run_no",
     ).drop("compound")

@@ -258,33 +258,34 @@ def _periods(fx):
     )
 
 
-COVERED = f"""
-    SELECT DISTINCT session_id, unnest(range(CAST(floor(epoch(period_start) / {STEP}) AS BIGINT),
-                                             CAST(floor(epoch(period_end) / {STEP}) AS BIGINT) + 1)) AS step
-    FROM ({PERIODS}) p
+MERGED = f"""
+    SELECT session_id, min(period_start) AS period_start, max(period_end) AS period_end
+    FROM (SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY period_start, period_end
+                                     ROWS UNBOUNDED PRECEDING) AS period_no
+          FROM (SELECT *, CASE WHEN period_start <= max(period_end) OVER (
+                              PARTITION BY session_id ORDER BY period_start, period_end
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens
+                FROM (SELECT DISTINCT * FROM ({PERIODS}) p) d) o) n
+    GROUP BY session_id, period_no
 """
 
 
 @query("JN10_safety_car_laps", f"""
-    SELECT l.session_id, l.driver_id, l.lap_number, count(*) * {STEP} AS safety_car_seconds
-    FROM (SELECT session_id, driver_id, lap_number,
-                 unnest(range(CAST(floor(epoch(lap_start) / {STEP}) AS BIGINT),
-                              CAST(floor(epoch(lap_end) / {STEP}) AS BIGINT) + 1)) AS step
-          FROM laps WHERE lap_end IS NOT NULL) l
-    JOIN ({COVERED}) c ON c.session_id = l.session_id AND c.step = l.step
+    SELECT l.session_id, l.driver_id, l.lap_number,
+           sum(epoch_us(least(l.lap_end, m.period_end)) - epoch_us(greatest(l.lap_start, m.period_start))) / 1e6
+               AS safety_car_seconds
+    FROM laps l JOIN ({MERGED}) m ON m.session_id = l.session_id
+         AND l.lap_start < m.period_end AND m.period_start < l.lap_end
+    WHERE l.lap_start <= l.lap_end
     GROUP BY l.session_id, l.driver_id, l.lap_number
 """)
 def safety_car_laps(fx):
     return facts.laps_under_safety_car(fx.laps, _periods(fx), STEP)
 
 
-@query("JN10_safety_car_periods", f"""
-    SELECT session_id, min(step) AS first_step, max(step) AS last_step
-    FROM (SELECT *, step - row_number() OVER (PARTITION BY session_id ORDER BY step) AS island FROM ({COVERED}) c) i
-    GROUP BY session_id, island
-""")
+@query("JN10_safety_car_periods", MERGED)
 def safety_car_periods(fx):
-    return facts.merge_periods(_periods(fx), STEP).drop("period_no")
+    return facts.merge_periods(_periods(fx), STEP)
 
 
 @query("DET6_overtake_tags", f"""

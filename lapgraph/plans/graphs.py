@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapgraph.operators import communities, graph, pagerank as pr, profiles
-from lapgraph.operators.skew import salted_join
+from lapgraph.operators.skew import skew_join
 from lapgraph.plans.aggregates import LAP_STATS, SESSION
 from lapgraph.plans.registry import query
 from lapgraph.session import scratch_path
@@ -129,11 +129,12 @@ def battle_edges(fx):
 def message_counts(fx):
     path = scratch_path(fx.spark, "messages")
     events = fx.interactions.withColumn("event_ts_utc", F.col("event_ts").cast("string"))
-    for messages in (
+    sets = (
         graph.driver_nodes(fx.telemetry), graph.lap_nodes(fx.telemetry),
         graph.interaction_edges(events, "overtake"), graph.interaction_edges(events, "battle"),
-    ):
-        write_messages(messages, path)
+    )
+    for batch_id, messages in [*enumerate(sets), (0, sets[0])]:  # the first batch is replayed
+        write_messages(messages, path, batch_id=batch_id)
     sent = fx.spark.read.schema("key string, value string").json(path)
     kind = F.coalesce(
         F.get_json_object("value", "$.node_type"), F.get_json_object("value", "$.relationship_type")
@@ -342,7 +343,7 @@ def contributions(fx):
     edges = fx.graph_big
     degree = edges.groupBy("src").agg(F.count("*").alias("deg"))
     return (
-        salted_join(edges, degree, ["src"])
+        skew_join(edges, degree, ["src"])
         .groupBy(F.col("dst").alias("id"))
         .agg(F.sum(F.lit(1.0) / F.col("deg")).alias("total"))
     )
@@ -359,7 +360,7 @@ def incremental_pagerank(fx):
 TREND_EDGES = """
     SELECT DISTINCT p.lap AS lap_number, f.src, f.dst FROM
       (SELECT attacker_id AS src, defender_id AS dst, min(lap_number) AS first_lap FROM edges GROUP BY ALL) f
-    JOIN (SELECT unnest(range(1, 32)) AS lap) p ON p.lap >= f.first_lap
+    JOIN (SELECT unnest(range(1, (SELECT max(lap_number) FROM edges) + 1)) AS lap) p ON p.lap >= f.first_lap
 """
 
 
@@ -373,7 +374,7 @@ def rank_trend(fx):
         F.col("attacker_id").alias("src"), F.col("defender_id").alias("dst"),
         F.col("lap_number").cast("bigint").alias("lap_number"),
     )
-    return pr.rank_trend(edges, "lap_number", 31, max_iter=5)
+    return pr.rank_trend(edges, "lap_number", max_iter=5)
 
 
 WIDTHS = {"avg_speed": 500.0, "avg_throttle": 10.0, "avg_brake": 5.0, "max_rpm": 10.0}
@@ -405,7 +406,13 @@ def minhash_communities(fx):
     return hashed.withColumn("last_hash", F.element_at("hashes", 5)).drop("hashes")
 
 
-@query("GR11_hashed_fallback")
+@query("GR11_hashed_fallback", f"""
+    SELECT driver_id, concat('comm_', CAST(CAST('0x' || substr(md5(concat_ws('_',
+        CAST(CAST(floor(avg_speed * 1000) AS BIGINT) AS STRING), CAST(CAST(floor(avg_throttle * 1000) AS BIGINT) AS STRING),
+        CAST(CAST(floor(avg_brake * 1000) AS BIGINT) AS STRING), CAST(CAST(max_rpm AS BIGINT) * 1000 AS STRING))), 1, 8) AS BIGINT)
+        % 10 AS STRING)) AS community_id
+    FROM ({FEATURE_SQL}) f
+""")
 def hashed_fallback(fx):
     return communities.hashed_communities(profiles.driver_features(fx.telemetry))
 
@@ -415,9 +422,18 @@ def driver_community_table(fx):
     return driver_communities(fx).drop("hashes")
 
 
-@query("GR12_projection_communities")
+@query("GR12_projection_communities", f"SELECT driver_id, session_id, TRUE AS consistent FROM ({FEATURE_SQL}) f")
 def projection_communities(fx):
-    return communities.vector_communities(profiles.driver_features(fx.telemetry), 500.0)
+    """Random projections differ from engine to engine; what must hold is that every driver
+    session with the same features is in one community."""
+    features = profiles.driver_features(fx.telemetry)
+    found = communities.vector_communities(features, 500.0).join(
+        features.select("driver_id", "session_id", "features"), ["driver_id", "session_id"]
+    )
+    per_vector = found.groupBy("features").agg(F.count_distinct("community_id").alias("n"))
+    return found.join(per_vector, "features").select(
+        "driver_id", "session_id", (F.col("n") == 1).alias("consistent")
+    )
 
 
 @query("AGG24_community_sizes", f"""

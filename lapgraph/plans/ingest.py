@@ -10,7 +10,7 @@ from lapgraph.operators.facts import enrich_with_dimensions
 from lapgraph.operators.interactions import with_driver_names
 from lapgraph.plans.registry import query
 from lapgraph.schemas import RACE_EVENT, TELEMETRY
-from lapgraph.session import scratch_path
+from lapgraph.session import get_spark, scratch_path
 from lapgraph.sources import sinks, tables
 
 
@@ -37,10 +37,12 @@ def table_probe(fx):
     return fx.spark.createDataFrame(list(states.items()), "table_name string, state string")
 
 
-@query("SRC5_session")
+@query("SRC5_session", "SELECT count(*) AS events, 'true' AS adaptive, 'UTC' AS time_zone FROM events")
 def session(fx):
-    conf = fx.spark.conf
-    return fx.events.agg(F.count("*").alias("events")).select(
+    """The session that the factory returns, with its settings; the running one is reused."""
+    spark = get_spark("lapgraph", log_level="ERROR")
+    conf = spark.conf
+    return spark.read.parquet(f"{fx.sf_dir}/events.parquet").agg(F.count("*").alias("events")).select(
         "events",
         F.lit(conf.get("spark.sql.adaptive.enabled")).alias("adaptive"),
         F.lit(conf.get("spark.sql.session.timeZone")).alias("time_zone"),
@@ -251,11 +253,6 @@ def sampling_weight(fx):
     )
 
 
-@query("PRJ14_quality_score")
-def quality_score(fx):
-    return fx.telemetry.select("sequence_number", scalars.quality_score(7).alias("sensor_quality_score"))
-
-
 @query("PRJ17_display_name", """
     SELECT sequence_number, driver_id,
            CASE WHEN driver_no % 3 <> 0 THEN concat('X', driver_id)
@@ -413,33 +410,46 @@ def partition_by_date(fx):
     )
 
 
+REQUIRED = {
+    "telemetry.raw": (TELEMETRY, ["session_id", "driver_id", "timestamp_utc"]),
+    "race.events": (RACE_EVENT, ["session_id", "event_id", "event_ts_utc", "event_type"]),
+}
+
+
 @query("SNK11_quarantine", """
     SELECT offset_id AS "offset", topic, log_value AS kafka_value, 'missing required field' AS reason, FALSE AS is_good FROM log
-    WHERE topic = 'telemetry.raw' AND k % 7 = 0
+    WHERE k % 7 = 0
     UNION ALL
-    SELECT offset_id, topic, log_value, NULL, TRUE FROM log WHERE topic = 'telemetry.raw' AND k % 7 <> 0
+    SELECT offset_id, topic, log_value, NULL, TRUE FROM log WHERE k % 7 <> 0
 """)
 def quarantine(fx):
-    raw = parsing.raw_records(fx.kafka_log().filter("topic = 'telemetry.raw'"))
-    good_path, bad_path = scratch_path(fx.spark, "good"), scratch_path(fx.spark, "bad")
-    sinks.write_with_quarantine(
-        raw, TELEMETRY, ["session_id", "driver_id", "timestamp_utc"], good_path, bad_path, 0
-    )
-    good = fx.spark.read.parquet(good_path).select(
-        "offset", "topic", "kafka_value", F.lit(None).cast("string").alias("reason"), F.lit(True).alias("is_good")
-    )
-    bad = fx.spark.read.parquet(bad_path).select(
-        "offset", "topic", "kafka_value", "reason", F.lit(False).alias("is_good")
-    )
-    return good.unionByName(bad)
+    """Both topics; the good table of each has its own columns."""
+    found = None
+    for topic, (schema, required) in REQUIRED.items():
+        raw = parsing.raw_records(fx.kafka_log().filter(F.col("topic") == topic))
+        good_path, bad_path = scratch_path(fx.spark, "good"), scratch_path(fx.spark, "bad")
+        sinks.write_with_quarantine(raw, schema, required, good_path, bad_path, 0)
+        good = fx.spark.read.parquet(good_path).select(
+            "offset", "topic", "kafka_value", F.lit(None).cast("string").alias("reason"), F.lit(True).alias("is_good")
+        )
+        bad = fx.spark.read.parquet(bad_path).select(
+            "offset", "topic", "kafka_value", "reason", F.lit(False).alias("is_good")
+        )
+        both = good.unionByName(bad)
+        found = both if found is None else found.unionByName(both)
+    return found
 
 
 @query("JN12_unparsed_offsets", """
-    SELECT topic, partition_id AS partition, offset_id AS "offset" FROM log WHERE topic = 'telemetry.raw' AND k % 7 = 0
+    SELECT topic, partition_id AS partition, offset_id AS "offset" FROM log WHERE k % 7 = 0
 """)
 def unparsed_offsets(fx):
-    raw = parsing.raw_records(fx.kafka_log().filter("topic = 'telemetry.raw'"))
-    parsed = parsing.parsed_records(raw, TELEMETRY, "telemetry.raw").filter("session_id IS NOT NULL")
+    raw = parsing.raw_records(fx.kafka_log())
+    parsed = None
+    for topic, (schema, _) in REQUIRED.items():
+        own = parsing.parsed_records(raw.filter(F.col("topic") == topic), schema, topic)
+        own = own.filter("session_id IS NOT NULL").select(*quality.POSITION)
+        parsed = own if parsed is None else parsed.unionByName(own)
     return quality.unparsed_offsets(raw, parsed).select("topic", "partition", "offset")
 
 
@@ -495,16 +505,21 @@ def late_rate(fx):
 
 
 @query("STR12_reconciliation", """
-    SELECT topic, count(*) AS available, count(*) AS consumed, count(*) FILTER (WHERE k % 7 <> 0) AS written,
-           count(*) FILTER (WHERE k % 7 <> 0) < 4000 AS data_loss,
-           count(*) FILTER (WHERE k % 7 = 0) AS unwritten
+    SELECT topic, count(*) AS available, count(*) FILTER (WHERE k % 5 <> 0) AS consumed,
+           count(*) FILTER (WHERE k % 5 <> 0 AND k % 7 <> 0) AS written,
+           count(*) FILTER (WHERE k % 5 <> 0) >= count(*) - 10000
+               AND count(*) FILTER (WHERE k % 5 <> 0 AND k % 7 <> 0) < 4000 AS data_loss,
+           count(*) FILTER (WHERE k % 5 <> 0 AND k % 7 = 0) AS unwritten
     FROM log GROUP BY topic
 """)
 def reconciliation(fx):
-    log = parsing.raw_records(fx.kafka_log())
-    telemetry = parsing.parsed_records(log, TELEMETRY, F.col("topic"))
+    """A fifth of the log is not consumed yet, and malformed records are not written."""
+    available = parsing.raw_records(fx.kafka_log())
+    waiting = fx.log.filter("k % 5 = 0").select("topic", F.col("offset_id").alias("offset"))
+    consumed = available.join(waiting, ["topic", "offset"], "left_anti").select(*available.columns)
+    written = parsing.parsed_records(consumed, TELEMETRY, F.col("topic"))
     return quality.reconcile(
-        log, log, telemetry.filter("session_id IS NOT NULL"), backlog=10_000, min_written=4_000
+        available, consumed, written.filter("session_id IS NOT NULL"), backlog=10_000, min_written=4_000
     )
 
 

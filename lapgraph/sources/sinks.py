@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -74,9 +75,11 @@ def with_ingest_date(df: DataFrame) -> DataFrame:
     return df.withColumn("date", F.to_date("ingested_at"))
 
 
-def write_by_date(df: DataFrame, path: str, table_type: str = "parquet") -> None:
-    """Append, partitioned by ingestion date."""
-    with_ingest_date(df).write.format(table_type).mode("append").partitionBy("date").save(path)
+def write_by_date(df: DataFrame, path: str, table_type: str = "parquet", batch_id: int = 0) -> None:
+    """One batch, partitioned by ingestion date; a replay overwrites the same folder."""
+    with_ingest_date(df).write.format(table_type).mode("overwrite").partitionBy("date").save(
+        f"{path}/batch={batch_id}"
+    )
 
 
 def write_tables(tables: Mapping[str, DataFrame], base: str, batch_id: int) -> None:
@@ -85,14 +88,17 @@ def write_tables(tables: Mapping[str, DataFrame], base: str, batch_id: int) -> N
         table.write.mode("overwrite").parquet(f"{base}/{name}/batch={batch_id}")
 
 
-def write_messages(messages: DataFrame, path: str | None = None, kafka: Mapping[str, str] | None = None) -> None:
-    """Send ``{key, value}`` rows to a topic, or append them to a JSON table."""
+def write_messages(
+    messages: DataFrame, path: str | None = None, kafka: Mapping[str, str] | None = None, batch_id: int = 0
+) -> None:
+    """Send ``{key, value}`` rows to a topic, or write them as one batch of a JSON table, which a
+    replay overwrites."""
     if kafka is not None:
         messages.selectExpr("CAST(key AS STRING) AS key", "value").write.format("kafka").options(
             **kafka
         ).save()
     elif path is not None:
-        messages.write.mode("append").json(path)
+        messages.write.mode("overwrite").json(f"{path}/batch={batch_id}")
     else:
         raise ValueError("give a path or kafka options")
 
@@ -101,6 +107,10 @@ def write_with_quarantine(
     raw: DataFrame, schema: StructType, required: list[str], good_path: str, bad_path: str, batch_id: int
 ) -> None:
     """Typed rows to one table, unusable records with their reason to another."""
-    good, bad = split_unparseable(raw, schema, required)
-    good.write.mode("overwrite").parquet(f"{good_path}/batch={batch_id}")
-    bad.write.mode("overwrite").parquet(f"{bad_path}/batch={batch_id}")
+    kept = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        good, bad = split_unparseable(kept, schema, required)
+        good.write.mode("overwrite").parquet(f"{good_path}/batch={batch_id}")
+        bad.write.mode("overwrite").parquet(f"{bad_path}/batch={batch_id}")
+    finally:
+        kept.unpersist()

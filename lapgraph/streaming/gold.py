@@ -1,8 +1,9 @@
 """Micro-batch graph building.
 
 Every batch writes only its own aggregates under ``batch=<id>``; a replayed batch writes
-the same folder again. Running results are merges of those partials, so no batch rewrites
-earlier state.
+the same folder again. Running results are merges of those partials; every few batches the
+lap partials so far are merged into a version of their own, so a read merges few of them.
+Nodes and edges are derived from the merged partials and upserted into versioned tables.
 """
 
 from __future__ import annotations
@@ -12,57 +13,69 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lapgraph.operators.communities import driver_communities
+from lapgraph.functions.scalars import composite_key
+from lapgraph.operators.communities import feature_partials, lsh_communities, merged_features
 from lapgraph.operators.graph import interactions_of
 from lapgraph.operators.pagerank import pagerank, session_pagerank
 from lapgraph.operators.profiles import driver_identity, session_span
 from lapgraph.operators.sampling import uniform_sample
 from lapgraph.operators.selection import with_ids
 from lapgraph.operators.upsert import (
-    finish_partials, lap_partials, last_batch, latest_per_key, merge_partials,
+    LAP, finish_partials, lap_partials, last_batch, merge_partials,
 )
 from lapgraph.sources.sinks import GOLD_TRIGGER, trigger_options, write_tables
+from lapgraph.sources.tables import table_state
+from lapgraph.streaming.state import VersionedTable
 
 
 class GoldTables:
     """The folder of one gold job: what each batch writes and how it is read back.
 
     ``sample_size`` adds a uniform sample of each larger batch, ``style_widths`` (bin width per
-    feature) adds the driving-style communities of each batch.
+    feature) adds the driving-style communities of the drivers.
     """
 
+    NODES = {"Driver": ["driver_id"], "Session": ["session_id"]}
+    EDGES = {"DROVE_IN": ["driver_id", "session_id"], "COMPLETED_BY": ["lap_id", "driver_id"]}
+
     def __init__(
         self, spark: SparkSession, base: str, sample_size: int | None = None,
-        style_widths: dict[str, float] | None = None,
+        style_widths: dict[str, float] | None = None, compact_every: int = 8,
     ):
         self.spark = spark
         self.base = base
         self.sample_size = sample_size
         self.style_widths = style_widths
+        self.compact_every = compact_every
+        self.merged_laps = VersionedTable(spark, f"{base}/merged-laps")
 
     def telemetry_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Lap aggregates of the batch and the optional tables; an empty batch writes nothing."""
-        if batch.isEmpty():
-            return
+        """Aggregates of the batch and the optional tables; an empty batch writes nothing."""
         cleaned = with_ids(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            tables = {"laps": lap_partials(cleaned)}
+            if cleaned.isEmpty():
+                return
+            tables = {"laps": lap_partials(cleaned, sketch_of=None)}
+            if "driver_name" in batch.columns:
+                tables["names"] = driver_identity(cleaned)
             if self.sample_size is not None:
                 tables["sample"] = uniform_sample(
                     cleaned, "sequence_number", self.sample_size, seed=batch_id
                 )
             if self.style_widths is not None:
-                tables["communities"] = driver_communities(cleaned, self.style_widths).drop("hashes")
+                tables["features"] = feature_partials(cleaned)
             write_tables(tables, self.base, batch_id)
+            if (batch_id + 1) % self.compact_every == 0:
+                self.merged_laps.write(merge_partials(self._lap_partials(batch_id)), batch_id)
         finally:
             cleaned.unpersist()
 
     def event_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Driver names, session spans, and all interaction events of the batch."""
-        if batch.isEmpty():
-            return
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if batch.isEmpty():
+                return
             edges = interactions_of(batch, "overtake", "battle")
             tables = {"sessions": session_span(batch), "interactions": edges.drop("payload")}
             if "driver_name" in batch.columns:
@@ -74,17 +87,28 @@ class GoldTables:
     def partials(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.base}/{name}")
 
+    def _lap_partials(self, up_to: int | None = None) -> DataFrame:
+        """The newest merged version and the partials after it (up to a batch)."""
+        version = (self.merged_laps.versions(up_to) or [-1])[-1]
+        partials = self.partials("laps").filter(F.col("batch") > version)
+        if up_to is not None:
+            partials = partials.filter(F.col("batch") <= up_to)
+        merged = self.merged_laps.read(before=up_to)
+        fresh = partials.drop("batch")
+        return fresh if merged is None else merged.unionByName(fresh)
+
     def laps(self, mode: str = "running") -> DataFrame:
-        return self.rollup(["session_id", "driver_id", "lap_number"], mode)
+        return self.rollup(LAP, mode)
 
     def rollup(self, keys: list[str], mode: str = "running") -> DataFrame:
         """Aggregates at any level above the lap.
 
         running: over all batches. last_batch: each key shows its newest batch only.
         """
-        partials = self.partials("laps")
         if mode == "last_batch":
-            partials = last_batch(partials, keys)
+            partials = last_batch(self.partials("laps"), keys)
+        else:
+            partials = self._lap_partials()
         return finish_partials(merge_partials(partials, keys))
 
     def sessions(self) -> DataFrame:
@@ -103,10 +127,80 @@ class GoldTables:
         )
 
     def communities(self) -> DataFrame:
-        """The newest community of each driver session."""
-        return latest_per_key(
-            self.partials("communities"), ["driver_id", "session_id"], ["batch"]
-        ).drop("batch")
+        """The driving-style community of each driver session over all batches."""
+        return lsh_communities(merged_features(self.partials("features")), self.style_widths).drop("hashes")
+
+    def driver_nodes(self) -> DataFrame:
+        """Every driver: name and session range from samples and events, roll-up of the laps,
+        PageRank over all interactions, community of the latest session."""
+        named = None
+        for name in ("names", "drivers"):
+            if table_state(self.spark, f"{self.base}/{name}") == "ready":
+                part = self.partials(name).drop("batch")
+                named = part if named is None else named.unionByName(part)
+        nodes = self.rollup(["driver_id"]).select(
+            "driver_id", "samples", "avg_speed_kph", "max_speed_kph", "avg_battery_pct", "avg_fuel_mass_kg"
+        )
+        if named is not None:
+            nodes = nodes.join(named.groupBy("driver_id").agg(
+                F.min("driver_name").alias("driver_name"),
+                F.min("first_session_id").alias("first_session_id"),
+                F.max("latest_session_id").alias("latest_session_id"),
+            ), "driver_id", "left")
+        if table_state(self.spark, f"{self.base}/interactions") == "ready":
+            edges = self.partials("interactions").select(
+                F.col("attacker_id").alias("src"), F.col("defender_id").alias("dst")
+            ).distinct()
+            nodes = nodes.join(pagerank(None, edges).withColumnRenamed("id", "driver_id"), "driver_id", "left")
+        if self.style_widths is not None:
+            newest = self.communities().groupBy("driver_id").agg(
+                F.max_by("community_id", "session_id").alias("community_id")
+            )
+            nodes = nodes.join(newest, "driver_id", "left")
+        return nodes
+
+    def session_nodes(self) -> DataFrame:
+        """Every session: drivers and laps from the merged laps, time span from samples and events."""
+        merged = merge_partials(self._lap_partials())
+        own = merged.groupBy("session_id").agg(
+            F.count_distinct("driver_id").alias("driver_count"),
+            F.count_distinct("lap_number").alias("lap_count"),
+            F.min("first_event_ts").alias("first_event_ts"), F.max("last_event_ts").alias("last_event_ts"),
+        )
+        if table_state(self.spark, f"{self.base}/sessions") != "ready":
+            return own
+        events = self.sessions().withColumnsRenamed({"first_event_ts": "_first", "last_event_ts": "_last"})
+        return own.join(events, "session_id", "full").select(
+            "session_id", "driver_count", "lap_count",
+            F.least("first_event_ts", "_first").alias("first_event_ts"),
+            F.greatest("last_event_ts", "_last").alias("last_event_ts"),
+        )
+
+    def drove_in(self) -> DataFrame:
+        """Driver to session with the range of laps and times."""
+        return merge_partials(self._lap_partials()).groupBy("driver_id", "session_id").agg(
+            F.min("lap_number").alias("first_lap"), F.max("lap_number").alias("last_lap"),
+            F.min("first_event_ts").alias("first_event_ts"), F.max("last_event_ts").alias("last_event_ts"),
+        )
+
+    def completed_by(self) -> DataFrame:
+        """Lap to driver."""
+        return merge_partials(self._lap_partials()).filter("lap_number >= 0").select(
+            composite_key(*LAP).alias("lap_id"), "driver_id"
+        )
+
+    def table(self, name: str) -> VersionedTable:
+        """The versioned table of a node label or edge type."""
+        return VersionedTable(self.spark, f"{self.base}/graph/{name}")
+
+    def publish(self, version: int) -> None:
+        """Upsert the nodes and edges known by now; the same version again changes nothing."""
+        rows = {
+            "Driver": self.driver_nodes(), "Session": self.session_nodes(),
+            "DROVE_IN": self.drove_in(), "COMPLETED_BY": self.completed_by(),
+        }
+        for name, keys in {**self.NODES, **self.EDGES}.items():
+            self.table(name).upsert(rows[name], keys, "keep", version)
 
     def pagerank(self, **options) -> DataFrame:
         edges = self.partials("interactions")

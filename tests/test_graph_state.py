@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lapgraph.operators import communities, sampling, sketches
-from lapgraph.operators.pagerank import compute_pagerank, pagerank
+from lapgraph.operators.pagerank import compute_pagerank, pagerank, rank_trend
 from lapgraph.operators.upsert import (
     finish_partials, lap_partials, last_batch, merge_partials, upsert, upsert_edges,
 )
@@ -64,7 +64,7 @@ def brute_pagerank(edges, rounds=10, reset=0.15, dangling=False):
 EDGES = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "a"), ("d", "d"), ("e", "a"), ("c", "z")]
 
 
-@pytest.mark.parametrize("options", [{}, {"dangling": True}, {"hub_edges": 1}, {"checkpoint_every": 4}])
+@pytest.mark.parametrize("options", [{}, {"dangling": True}, {"edges_per_split": 2}, {"checkpoint_every": 4}])
 def test_pagerank_brute_force(spark, options):
     edges = spark.createDataFrame(EDGES, "src string, dst string")
     got = {r.id: r.pagerank_score for r in pagerank(None, edges, **options).collect()}
@@ -106,15 +106,6 @@ def test_duplicates_with_null_keys_and_ties(spark):
     assert marked.filter("NOT is_duplicate").count() == 2
 
 
-def test_bloom_filter_has_no_false_negatives(spark):
-    members = spark.range(0, 20000).select(F.col("id").cast("string").alias("key"))
-    strangers = spark.range(20000, 40000).select(F.col("id").cast("string").alias("key"))
-    bloom = sketches.BlockedBloom(20000, 0.01)
-    bits = bloom.build(members, "key")
-    assert bloom.probe(members, "key", bits).filter("NOT maybe_present").isEmpty()
-    assert bloom.probe(strangers, "key", bits).filter("maybe_present").count() <= 400
-
-
 def test_hll_error_bound(spark):
     estimate = sketches.hll_cardinality(spark.range(50000), "id", 12).first()[0]
     assert abs(estimate - 50000) <= 3 * sketches.hll_error(12) * 50000
@@ -156,3 +147,19 @@ def test_partials_merge_in_any_split(spark):
         lap_partials(df.filter("id >= 100")).withColumn("batch", F.lit(1)))
     newest = merge_partials(last_batch(numbered, ["session_id"]), ["session_id"])
     assert newest.first().samples == 200
+
+
+def test_trend_ends_with_the_data(spark):
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "c", 4)], "src string, dst string, lap int")
+    steps = {r.lap for r in rank_trend(edges, "lap", max_iter=2).collect()}
+    assert steps == {1, 2, 3, 4}
+    early = {(r.lap, r.id) for r in rank_trend(edges, "lap", 3, max_iter=2).collect()}
+    assert early == {(lap, v) for lap in (1, 2, 3) for v in "ab"}
+
+
+def test_a_source_with_most_edges_is_split(spark):
+    edges = [("hub", f"v{i}") for i in range(900)] + [(f"v{i}", f"v{i + 1}") for i in range(100)]
+    table = spark.createDataFrame(edges, "src string, dst string")
+    got = {r.id: r.pagerank_score for r in pagerank(None, table, max_iter=3, edges_per_split=50).collect()}
+    whole = {r.id: r.pagerank_score for r in pagerank(None, table, max_iter=3).collect()}
+    assert got.keys() == whole.keys() and all(math.isclose(got[v], whole[v], rel_tol=1e-9) for v in got)

@@ -8,12 +8,13 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lapgraph.operators import facts
 from lapgraph.operators.interactions import overtaken_pairs
 from lapgraph.operators.ordered import (
     asof_forward, interval_join, lower_side_keys, neighbour_row, number_runs, running_agg,
     upper_side_keys,
 )
-from lapgraph.operators.skew import mark_repeats, salted_join
+from lapgraph.operators.skew import mark_repeats, skew_join
 
 
 def rows(spark, n=400, keys=3, seed=1):
@@ -138,12 +139,12 @@ def test_overtakes_on_a_grid_larger_than_a_block(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_salted_join_keeps_rows_of_a_hot_key(spark):
+def test_skew_join_keeps_rows_of_a_hot_key(spark):
     left = spark.range(1000).withColumn("k", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")))
     right = spark.createDataFrame([("hot", 1), ("7", 2)], "k string, v int")
     for how in ("inner", "left", "left_semi", "left_anti"):
         want = left.join(right, ["k"], how)
-        got = salted_join(left, right, ["k"], how)
+        got = skew_join(left, right, ["k"], how)
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
@@ -162,3 +163,34 @@ def test_mark_repeats_one_first_row_per_key(spark):
 def test_mark_repeats_counts_identical_rows(spark):
     df = spark.range(100).select(F.lit("k").alias("k"), F.lit(1).alias("t"))
     assert mark_repeats(df, ["k"], ["t"]).filter("NOT is_duplicate").count() == 1
+
+
+def test_running_sum_skips_missing_values(spark):
+    rows = [("a", 0, 5), ("a", 1, 7), ("a", 10, None), ("a", 11, 3), ("b", 0, None), ("b", 12, 4)]
+    df = spark.createDataFrame(rows, "k string, p int, v int")
+    got = [r.total for r in running_agg(df, ["k"], "p", "v", 10, "total").orderBy("k", "p").collect()]
+    assert got == [5, 12, 12, 15, None, 4]
+
+
+def _ts(minutes):
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minutes)
+
+
+def test_periods_merge_only_where_they_touch(spark):
+    spans = [(0, 20), (10, 30), (30, 40), (41, 50), (300, 290), (0, 5), (100, 200), (110, 120), (150, 210)]
+    periods = spark.createDataFrame([("s", _ts(a), _ts(b)) for a, b in spans], "session_id string, period_start timestamp, period_end timestamp")
+    got = sorted((r.period_start, r.period_end) for r in facts.merge_periods(periods, 1800).collect())
+    assert got == [(_ts(0), _ts(40)), (_ts(41), _ts(50)), (_ts(100), _ts(210))]
+    laps = spark.createDataFrame(
+        [("s", "d", 1, _ts(35), _ts(45)), ("s", "d", 2, _ts(50), _ts(51)), ("s", "d", 3, _ts(90), _ts(400)), ("t", "d", 1, _ts(0), _ts(9))],
+        "session_id string, driver_id string, lap_number int, lap_start timestamp, lap_end timestamp",
+    )
+    seconds = {r.lap_number: r.safety_car_seconds for r in facts.laps_under_safety_car(laps, periods, 1800).collect()}
+    assert seconds == {1: 540.0, 3: 6600.0}
+
+
+def test_runs_open_at_a_change_to_null(spark):
+    rows = [("a", i, c) for i, c in enumerate(["x", "x", None, None, "y", "x"])]
+    df = spark.createDataFrame(rows, "k string, p int, c string")
+    numbered = number_runs(df, ["k"], "p", ["c"], lambda prev: ~prev["c"].eqNullSafe(F.col("c")), 2, "run")
+    assert [r.run for r in numbered.orderBy("p").collect()] == [1, 1, 2, 2, 3, 4]

@@ -11,7 +11,8 @@ from lapgraph.operators.ordered import time_block
 from lapgraph.session import scratch_path
 from lapgraph.sources.tables import stream_table
 from lapgraph.streaming.gold import GoldTables, start_gold
-from lapgraph.streaming.stateful import StintTracker, dedup_stream
+from lapgraph.streaming.state import VersionedTable
+from lapgraph.streaming.stateful import KeyHistory, StintTracker, dedup_stream
 
 
 def telemetry(spark, first, last):
@@ -70,6 +71,43 @@ def test_stint_numbers_go_on_over_batches(spark):
     assert got == whole and whole["A", 12] == 3
 
 
+def test_late_laps_renumber_their_session(spark):
+    hard = {3}
+    rows = [("s", "A", lap, "HARD" if lap in hard else "SOFT", None) for lap in range(1, 9)]
+    laps = spark.createDataFrame(rows, "session_id string, driver_id string, lap_number int, compound string, pit_in timestamp")
+    tracker = StintTracker(spark, scratch_path(spark, "t-late"))
+    tracker.process(laps.filter("lap_number IN (1, 2, 4, 5)"), 0)
+    tracker.process(laps.filter("lap_number IN (3, 6, 7, 8)"), 1)
+    tracker.process(laps.filter("lap_number IN (3, 6, 7, 8)"), 1)
+    got = [r.stint_no for r in tracker.laps().orderBy("lap_number").collect()]
+    assert got == [1, 1, 2, 3, 3, 3, 3, 3]
+
+
+def test_versioned_table(spark):
+    table = VersionedTable(spark, scratch_path(spark, "t-versions"))
+    rows = lambda *x: spark.createDataFrame(list(x), "id int, a string, b int")
+    assert table.read() is None
+    table.upsert(rows((1, "x", 1), (2, "y", 2)), ["id"], "keep", 0)
+    for _ in range(2):
+        table.upsert(rows((2, None, 5), (3, "z", 3)), ["id"], "keep", 1)
+        assert sorted(map(tuple, table.read().collect())) == [(1, "x", 1), (2, "y", 5), (3, "z", 3)]
+    for version in (2, 3):
+        table.upsert(rows((1, "w", 9)), ["id"], "update", version)
+    assert table.versions() == [2, 3]
+
+
+def test_compacted_laps_equal_the_partials(spark):
+    gold = GoldTables(spark, scratch_path(spark, "t-compact"), compact_every=2)
+    plain = GoldTables(spark, scratch_path(spark, "t-plain"), compact_every=100)
+    for tables in (gold, plain):
+        for batch in range(5):
+            tables.telemetry_batch(telemetry(spark, 40 * batch, 40 * batch + 40), batch)
+        tables.telemetry_batch(telemetry(spark, 160, 200), 4)
+    assert gold.merged_laps.versions() == [1, 3]
+    got, want = (sorted(map(str, t.laps().collect())) for t in (gold, plain))
+    assert got == want and len(want) > 0
+
+
 def test_dedup_over_batches(spark):
     base = scratch_path(spark, "t-dedup")
     rows = spark.range(60).select((F.col("id") % 20).alias("key"), F.timestamp_seconds("id").alias("ts"))
@@ -81,6 +119,14 @@ def test_dedup_over_batches(spark):
     assert spark.read.parquet(f"{base}/out").count() == 20
 
 
+def test_key_history_keeps_the_first_row(spark):
+    history = KeyHistory(spark, scratch_path(spark, "t-history"), ["key"], ["ts"])
+    rows = spark.range(60).select((F.col("id") % 20).alias("key"), F.col("id").alias("ts"))
+    for batch_id, part in ((0, "ts < 25"), (1, "ts >= 25"), (1, "ts >= 25")):
+        history.process(rows.filter(part), batch_id)
+    assert sorted(r.ts for r in history.rows().collect()) == list(range(20))
+
+
 def test_time_block_handles_both_timestamp_types(spark):
     row = spark.range(1).select(
         time_block(F.lit("1970-01-01 00:02:00").cast("timestamp"), 60).alias("a"),
