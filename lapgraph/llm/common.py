@@ -48,6 +48,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str, name: str) -> DataFrame:
+    """Join ``left``, whose keys may be hot, with a stored ``right`` that has each key once.
+
+    Grouping the right side by the same keys would pin the left rows of a key to one task;
+    read from a table, it leaves Spark free to split them.
+    """
+    return left.join(stored(right, name), on, how)
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions of the session's shuffles."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.llm.common import stored
+from lapgraph.llm.common import split_join, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -25,11 +25,11 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = split_join(both, least, ["a"], "inner", "least").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.where("a <> b").distinct(), "large")
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a")
+        small = split_join(down, least, ["a"], "inner", "least")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
         edges = stored(small.where("a <> b").distinct(), "edges")
         before, state = state, _state(edges)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.llm.common import NULL_ID, stored
+from lapgraph.llm.common import NULL_ID, split_join, stored
 
 #: Fixed values of the contract, in its order.
 KINDS = ("assign", "access", "hex")
@@ -157,7 +157,7 @@ def judge(
     live = (F.col("owners") <= live_owners) & (F.col("repositories") <= live_repositories)
     verdicts = ownership(scanned).select("value", live.alias("live"))
     rank = F.array_position(F.array(*map(F.lit, (*KINDS, "blob"))), F.col("kind")).cast("int")
-    judged = spans.join(verdicts, "value").where((F.col("kind") != "blob") | F.col("live"))
+    judged = split_join(spans, verdicts, ["value"], "inner", "verdicts").where((F.col("kind") != "blob") | F.col("live"))
     one = F.struct("start", rank.alias("rank"), "end", "kind", "live")
     return judged.groupBy("k", "h").agg(F.array_sort(F.collect_set(one)).alias("found"))
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapgraph.llm.common import (
-    NULL_ID, key_bitmap, lowered, maybe_among, mix64, parallelism, stored,
+    NULL_ID, key_bitmap, lowered, maybe_among, mix64, parallelism, split_join, stored,
 )
 from lapgraph.llm.components import components
 from lapgraph.llm.words import run_hashes, span_hashes, word_hashes
@@ -189,7 +189,7 @@ def _hub_pairs(members: DataFrame, seed: int) -> DataFrame:
     """(a, b): each member with the hub of each of its buckets, chosen by a hash order."""
     order = F.struct(F.xxhash64("v", F.lit(seed)).alias("by"), F.col("v").alias("hub"), F.col("comp").alias("hub_comp"))
     hubs = members.groupBy("bucket").agg(F.min(order).alias("hub"))
-    met = members.join(hubs, "bucket").where("comp <> hub.hub_comp")
+    met = split_join(members, hubs, ["bucket"], "inner", "hubs").where("comp <> hub.hub_comp")
     return met.select(F.greatest("v", "hub.hub").alias("a"), F.least("v", "hub.hub").alias("b")).distinct()
 
 
@@ -330,7 +330,8 @@ def near_duplicates(
     bands = _bands(vertices)
     full = bands.groupBy("bucket").agg(F.min("v").alias("least"), F.max("v").alias("most")).where("least < most")
     members = stored(
-        bands.join(full.select("bucket"), "bucket", "left_semi").withColumn("comp", F.col("v")), "members"
+        split_join(bands, full.select("bucket"), ["bucket"], "left_semi", "full").withColumn("comp", F.col("v")),
+        "members",
     )
     # A vertex may need its text in any round: they are fetched once, for all that met another.
     texts = _texts(docs, vertices, members.select("v"), id_col, text_col)
@@ -343,7 +344,7 @@ def near_duplicates(
             "bucket", "band", "v", F.coalesce("label", "v").alias("comp")
         )
         mixed = members.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
-        members = stored(members.join(mixed.select("bucket"), "bucket", "left_semi"), "members")
+        members = stored(split_join(members, mixed.select("bucket"), ["bucket"], "left_semi", "mixed"), "members")
     labels = components(links.unionAll(stored(_block_links(members, vertices, texts, similar), "links")))
     known = labels.select(F.col("a").alias("v"), F.col("b").alias("label"))
     classes = vertices.select("c1", "c2", "v").join(known, "v", "left").select(
@@ -351,7 +352,7 @@ def near_duplicates(
     )
     component = F.coalesce("label", "k")
     shown = F.when(component != NULL_ID, component)
-    return rows.drop("sketch").join(classes, ["c1", "c2"], "left").select(
+    return split_join(rows.drop("sketch"), classes, ["c1", "c2"], "left", "classes").select(
         F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
         shown.alias("component_id"), F.col("doc_id").eqNullSafe(shown).alias("kept"),
     )

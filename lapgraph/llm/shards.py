@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lapgraph.llm.common import parallelism, stored
+from lapgraph.llm.common import parallelism, split_join, stored
 
 #: Parcels to a shard, of which the smallest units (SAND of the bytes) make finer ones.
 COARSE, FINE, SAND = 512, 32768, 0.05
@@ -152,7 +152,7 @@ def shard_documents(
         .where("cuts > 1")
     )
     # The hot keys stand on the left, whose partitions Spark can split.
-    cut_rows = rows.join(large, "text_key", "left").select(
+    cut_rows = split_join(rows, large, ["text_key"], "left", "large").select(
         id_col, "size", "text_crc32", "text_key",
         F.when(F.col("cuts").isNull(), 0)
         .otherwise(F.pmod(F.xxhash64(id_col, F.lit(9)), F.col("cuts")))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapgraph.llm.common import (
-    NULL_ID, key_bitmap, list_column, maybe_among, parallelism, stored,
+    NULL_ID, key_bitmap, list_column, maybe_among, parallelism, split_join, stored,
 )
 from lapgraph.llm.words import run_hashes, span_hashes, word_hashes
 
@@ -229,7 +229,7 @@ def _extended(runs: DataFrame, window: int) -> DataFrame:
 
     suffixes = runs.mapInArrow(split, "prefix long, run long, k long, suffix long, place int")
     least = suffixes.groupBy("prefix", "suffix").agg(F.min("k").alias("least"))
-    hit = suffixes.join(least, ["prefix", "suffix"]).where("least < k")
+    hit = split_join(suffixes, least, ["prefix", "suffix"], "inner", "least").where("least < k")
     one = F.transform("places", lambda p: p)
     return hit.groupBy("prefix", "run").agg(F.collect_set("place").alias("places")).select(
         "prefix", "run", one.alias("first"), one.alias("last")
@@ -246,7 +246,7 @@ def repeated_spans(
         runs.groupBy("prefix").agg(F.min("k").alias("least"), F.max("k").alias("most"))
         .where("least < most").select("prefix")
     )
-    runs = stored(runs.join(shared, "prefix", "left_semi"), "runs")
+    runs = stored(split_join(runs, shared, ["prefix"], "left_semi", "shared"), "runs")
     leaves = stored(
         runs.groupBy("prefix", "run").agg(
             F.min(F.struct("k", "h", "start")).alias("at"), F.max("k").alias("most"),
@@ -255,7 +255,7 @@ def repeated_spans(
         "leaves",
     )
     branching = leaves.groupBy("prefix").agg(F.count("*").alias("runs")).where("runs > 1")
-    wanted = leaves.join(branching, "prefix").select(
+    wanted = split_join(leaves, branching, ["prefix"], "inner", "branching").select(
         "at.k", "at.h", "at.start", "prefix", "run", "suffixes", "runs"
     )
     words = stored(_run_words(docs, stored(wanted, "wanted"), id_col, text_col, window), "words")
@@ -271,7 +271,7 @@ def repeated_spans(
         .where("most > at.k OR first IS NOT NULL")
         .select("prefix", "run", F.col("at.k").alias("least"), "first", "last")
     )
-    hits = runs.join(known, ["prefix", "run"]).where("k > least OR first IS NOT NULL")
+    hits = split_join(runs, known, ["prefix", "run"], "inner", "known").where("k > least OR first IS NOT NULL")
     whole = F.array(F.struct(F.col("start").alias("b"), (F.col("start") + F.col("suffixes") + (window - 1)).alias("e")))
     partly = F.transform(
         F.arrays_zip("first", "last"),
