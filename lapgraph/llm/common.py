@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 
 import numpy as np
@@ -62,6 +63,17 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def reuse_memory() -> None:
+    """Let the C allocator keep a little freed memory, so that arrays of the same size, made
+    again and again, do not cost page faults each time. Without glibc nothing happens."""
+    try:
+        library = ctypes.CDLL(None)
+        library.mallopt(-3, 64 << 20)  # M_MMAP_THRESHOLD
+        library.mallopt(-1, 64 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):
+        pass
+
+
 def list_column(values: np.ndarray, lengths, kind: pa.DataType) -> pa.ListArray:
     """Arrow lists from one flat array and the length of each list."""
     offsets = np.zeros(len(lengths) + 1, np.int32)

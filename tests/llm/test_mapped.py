@@ -177,11 +177,8 @@ def test_scores_are_probabilities():
     rng = random.Random(6)
     texts = [" ".join("".join(rng.choice("abc") for _ in range(3)) for _ in range(30)) for _ in range(20)]
     paths = mixing.Paths(np.bincount(np.frombuffer("".join(texts).encode(), np.uint8), minlength=256))
-    tables = np.zeros((mixing.PREDICTORS, 1 << mixing.SLOT_BITS), np.int8)
-    for slots in mixing.table_places(paths, [mixing.canonical(t) for t in texts]):
-        pass
     rng_ = np.random.default_rng(1)
-    tables[:] = rng_.integers(-60, 60, tables.shape, dtype=np.int8)
+    tables = [rng_.integers(-60, 60, 1 << b, dtype=np.int8) for b in mixing.SLOT_BITS]
     model = mixing.Mixer(paths, tables)
     for prefix in (b"", b"abc ab"):
         scores = model.score([prefix + bytes([b]) for b in range(256)])
@@ -191,7 +188,7 @@ def test_scores_are_probabilities():
 
 def test_long_texts_are_scored_whole(monkeypatch):
     paths = mixing.Paths(np.ones(256))
-    model = mixing.Mixer(paths, np.zeros((mixing.PREDICTORS, 1 << mixing.SLOT_BITS), np.int8))
+    model = mixing.Mixer(paths, [np.zeros(1 << b, np.int8) for b in mixing.SLOT_BITS])
     data = b"word " * 300_000
     assert model.score([data])[0] == pytest.approx(-8 * len(data) * math.log10(2), rel=0.5)
 
@@ -205,3 +202,16 @@ def test_empty_tables(spark):
     assert mixing.score_documents(docs, id_remainder(10) == 0, id_remainder(10) == 1).count() == 0
     some = frame(spark, documents()[:5])
     assert {r["lang_pred"] for r in result(language.identify(some, model))} == {"und"}
+
+
+def test_contexts_of_neighbours_do_not_mix():
+    parts = [mixing.canonical(t) for t in ("some words here", "x", "other words", "", "some words here")]
+    symbols, bases, real = mixing.contexts(parts)
+    ends = np.cumsum([len(p) + 4 for p in parts])
+    for part, end in zip(parts, ends):
+        own, alone, _ = mixing.contexts([part])
+        assert (symbols[end - len(part) : end] == own[4:]).all()
+        assert (bases[:, end - len(part) : end] == alone[:, 4:]).all()
+    word = bases[2]  # the same word so far has the same context wherever it stands
+    assert word[4 + 7] == word[ends[2] - len(parts[2]) + 8]
+    assert bases[3][4 + 7] != bases[3][ends[2] - len(parts[2]) + 8]
