@@ -20,9 +20,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapgraph.llm.common import small
+
 #: Pre-tokens up to this many bytes are remembered, and so many of them per worker.
 CACHED_BYTES = 48
-CACHED_PIECES = 600_000
+CACHED_PIECES = 200_000
 BIT = [1 << i for i in range(256)]
 
 
@@ -168,7 +170,7 @@ def encode_documents(
 
     def run(batches):
         bpe = codec(data, pattern)
-        for batch in batches:
+        for batch in small(batches):
             counts, hashes, decoded, all_ids = [], [], [], []
             for text in batch.column(1).to_pylist():
                 tokens = bpe.encode(text)

@@ -74,6 +74,13 @@ def reuse_memory() -> None:
         pass
 
 
+def small(batches, rows: int = 1000):
+    """Batches of few rows, so that what a step makes of one stays small."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def list_column(values: np.ndarray, lengths, kind: pa.DataType) -> pa.ListArray:
     """Arrow lists from one flat array and the length of each list."""
     offsets = np.zeros(len(lengths) + 1, np.int32)

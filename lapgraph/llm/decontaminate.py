@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.llm.common import NULL_ID, in_bitmap, key_bitmap, list_column, stored
+from lapgraph.llm.common import NULL_ID, in_bitmap, key_bitmap, list_column, small, stored
 from lapgraph.llm.words import run_hashes, word_hashes
 
 #: Fixed values of the contract.
@@ -89,7 +89,7 @@ def shingle_places(
 
     def run(batches):
         bits = shared.value
-        for batch in batches:
+        for batch in small(batches):
             counts, places, values, lengths = [], [], [], []
             for text in batch.column(3).to_pylist():
                 words = word_hashes(folded(text))
@@ -172,7 +172,7 @@ def contamination(
 def _verified(batches):
     """Compares the words of each try; hit words are those inside any true occurrence."""
     kind = pa.list_(pa.struct([("window", pa.int64()), ("words", pa.string())]))
-    for batch in batches:
+    for batch in small(batches):
         counts, windows = [], []
         for text, tries in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             words = folded(text).split()

@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lapgraph.llm.common import small
+
 #: Bytes of context at most.
 ORDER = 4
 #: Documents per language that the trees learn from; their whole texts count.
 SAMPLE = 400
 #: Positions worked on at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 UNDETERMINED = "und"
 #: Bits per byte above which no known language is plausible; bytes drawn at random cost more.
 MOST_BITS = 6.5
@@ -197,7 +199,7 @@ def train(
     texts = labelled.join(F.broadcast(chosen), labelled["id"].eqNullSafe(chosen["id"]) & (F.col("lang") == F.col("label")))
 
     def grams(batches):
-        for batch in batches:
+        for batch in small(batches):
             languages = np.array(batch.column(0).to_pylist(), object)
             texts = batch.column(1).to_pylist()
             for language in sorted(set(languages)):
@@ -252,7 +254,7 @@ def identify(
 
     def run(batches):
         ppm = shared.value
-        for batch in batches:
+        for batch in small(batches):
             texts = [text or "" for text in batch.column(1).to_pylist()]
             bits, used = ppm.bits(texts)
             named, scores, rates = [], [], []
@@ -291,7 +293,7 @@ def keep_identified(
 
     def run(batches):
         ppm = shared.value
-        for batch in batches:
+        for batch in small(batches):
             texts = [text or "" for text in batch.column(at).to_pylist()]
             bits, used = ppm.bits(texts)
             least = bits.min(axis=1) if ppm.languages else np.full(len(texts), np.inf)

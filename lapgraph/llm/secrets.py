@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.llm.common import NULL_ID, split_join, stored
+from lapgraph.llm.common import NULL_ID, small, split_join, stored
 
 #: Fixed values of the contract, in its order.
 KINDS = ("assign", "access", "hex")
@@ -107,7 +107,7 @@ def scan(
     ]))
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             counts = {kind: [] for kind in KINDS}
             hashes, found = [], []
             for text in batch.column(5).to_pylist():
@@ -208,7 +208,7 @@ def redact(
     length_at = docs.columns.index(length_col) if length_col in docs.columns else None
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             columns, spans = list(batch.columns[:-1]), batch.column(batch.num_columns - 1).to_pylist()
             if any(spans):
                 texts = columns[at].to_pylist()

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapgraph.llm.common import (
-    NULL_ID, key_bitmap, lowered, maybe_among, mix64, parallelism, split_join, stored,
+    NULL_ID, key_bitmap, lowered, maybe_among, mix64, parallelism, small, split_join,
+    stored,
 )
 from lapgraph.llm.components import components
 from lapgraph.llm.words import run_hashes, span_hashes, word_hashes
@@ -139,7 +140,7 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             sizes, names, least = [], [], []
             for text in batch.column(3).to_pylist():
                 shingles = shingle_set(text)
@@ -169,7 +170,7 @@ def _bands(vertices: DataFrame) -> DataFrame:
     """(bucket, band, v) for every band of every sketch."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             sketches = batch.column(1).to_pylist()
             table = np.frombuffer(b"".join(sketches), np.uint16).reshape(-1, BANDS, ROWS)
             names = np.full(table.shape[:2], np.arange(BANDS), np.uint64)
@@ -241,7 +242,7 @@ def _block_links(members: DataFrame, vertices: DataFrame, texts: DataFrame, simi
 
     def run(batches):
         held, name = [], None
-        for batch in batches:
+        for batch in small(batches):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[:3] != name:
                     if held:
@@ -298,7 +299,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, similar: int) -> DataFrame:
 
     def run(batches):
         shingles = lru_cache(maxsize=64)(shingle_set)
-        for batch in batches:
+        for batch in small(batches):
             texts = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             keep = [linked(shingles(one), shingles(other), similar) for one, other in texts]
             pairs = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"])

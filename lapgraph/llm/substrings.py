@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapgraph.llm.common import (
-    NULL_ID, key_bitmap, list_column, maybe_among, parallelism, split_join, stored,
+    NULL_ID, key_bitmap, list_column, maybe_among, parallelism, small, split_join, stored,
 )
 from lapgraph.llm.words import run_hashes, span_hashes, word_hashes
 
@@ -101,7 +101,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int) -
     """(prefix, run, k, h, start, suffixes): the runs of all rows."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             found, lengths = [], []
             for text in batch.column(2).to_pylist():
                 runs = runs_of(word_hashes((text or "").encode()), window, gram)
@@ -135,7 +135,7 @@ def _run_words(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, w
     ).drop("key").dropDuplicates(["k", "h"])
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             for k, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 words = word_hashes((text or "").encode()).astype(np.int64)
                 parts = [words[w["start"] : w["start"] + w["suffixes"] + window - 1] for w in wanted]
@@ -303,7 +303,7 @@ def remove_repeats(
     )
 
     def cut(batches):
-        for batch in batches:
+        for batch in small(batches):
             counts, removed, hashes, kept_texts = [], [], [], []
             spans = batch.column(2).to_pylist()
             for text, own in zip(batch.column(1).to_pylist(), spans):

@@ -15,10 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.llm.common import SPACE_WORD
+from lapgraph.llm.common import SPACE_WORD, small
 
 #: Words remembered per worker, and their largest length in characters.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
 CACHED_CHARS = 48
 #: Room for one code point in an edge key.
 SHIFT = 21
@@ -144,7 +144,7 @@ def count_pieces(
 
     def run(batches):
         automaton = counter(vocabulary)
-        for batch in batches:
+        for batch in small(batches):
             rows = [automaton.counts(text) for text in batch.column(1).to_pylist()]
             columns = [pa.array([row[i] for row in rows], pa.int64()) for i in range(3)]
             yield pa.RecordBatch.from_arrays(
