@@ -130,7 +130,11 @@ class GoldTables:
         """The driving-style community of each driver session over all batches."""
         return lsh_communities(merged_features(self.partials("features")), self.style_widths).drop("hashes")
 
-    def driver_nodes(self) -> DataFrame:
+    def merged_lap_rows(self) -> DataFrame:
+        """One row of mergeable aggregates per lap over all batches."""
+        return merge_partials(self._lap_partials())
+
+    def driver_nodes(self, laps: DataFrame | None = None) -> DataFrame:
         """Every driver: name and session range from samples and events, roll-up of the laps,
         PageRank over all interactions, community of the latest session."""
         named = None
@@ -138,7 +142,8 @@ class GoldTables:
             if table_state(self.spark, f"{self.base}/{name}") == "ready":
                 part = self.partials(name).drop("batch")
                 named = part if named is None else named.unionByName(part)
-        nodes = self.rollup(["driver_id"]).select(
+        laps = self.merged_lap_rows() if laps is None else laps
+        nodes = finish_partials(merge_partials(laps, ["driver_id"])).select(
             "driver_id", "samples", "avg_speed_kph", "max_speed_kph", "avg_battery_pct", "avg_fuel_mass_kg"
         )
         if named is not None:
@@ -159,10 +164,10 @@ class GoldTables:
             nodes = nodes.join(newest, "driver_id", "left")
         return nodes
 
-    def session_nodes(self) -> DataFrame:
+    def session_nodes(self, laps: DataFrame | None = None) -> DataFrame:
         """Every session: drivers and laps from the merged laps, time span from samples and events."""
-        merged = merge_partials(self._lap_partials())
-        own = merged.groupBy("session_id").agg(
+        laps = self.merged_lap_rows() if laps is None else laps
+        own = laps.groupBy("session_id").agg(
             F.count_distinct("driver_id").alias("driver_count"),
             F.count_distinct("lap_number").alias("lap_count"),
             F.min("first_event_ts").alias("first_event_ts"), F.max("last_event_ts").alias("last_event_ts"),
@@ -176,16 +181,18 @@ class GoldTables:
             F.greatest("last_event_ts", "_last").alias("last_event_ts"),
         )
 
-    def drove_in(self) -> DataFrame:
+    def drove_in(self, laps: DataFrame | None = None) -> DataFrame:
         """Driver to session with the range of laps and times."""
-        return merge_partials(self._lap_partials()).groupBy("driver_id", "session_id").agg(
+        laps = self.merged_lap_rows() if laps is None else laps
+        return laps.groupBy("driver_id", "session_id").agg(
             F.min("lap_number").alias("first_lap"), F.max("lap_number").alias("last_lap"),
             F.min("first_event_ts").alias("first_event_ts"), F.max("last_event_ts").alias("last_event_ts"),
         )
 
-    def completed_by(self) -> DataFrame:
+    def completed_by(self, laps: DataFrame | None = None) -> DataFrame:
         """Lap to driver."""
-        return merge_partials(self._lap_partials()).filter("lap_number >= 0").select(
+        laps = self.merged_lap_rows() if laps is None else laps
+        return laps.filter("lap_number >= 0").select(
             composite_key(*LAP).alias("lap_id"), "driver_id"
         )
 
@@ -195,12 +202,16 @@ class GoldTables:
 
     def publish(self, version: int) -> None:
         """Upsert the nodes and edges known by now; the same version again changes nothing."""
-        rows = {
-            "Driver": self.driver_nodes(), "Session": self.session_nodes(),
-            "DROVE_IN": self.drove_in(), "COMPLETED_BY": self.completed_by(),
-        }
-        for name, keys in {**self.NODES, **self.EDGES}.items():
-            self.table(name).upsert(rows[name], keys, "keep", version)
+        laps = self.merged_lap_rows().persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = {
+                "Driver": self.driver_nodes(laps), "Session": self.session_nodes(laps),
+                "DROVE_IN": self.drove_in(laps), "COMPLETED_BY": self.completed_by(laps),
+            }
+            for name, keys in {**self.NODES, **self.EDGES}.items():
+                self.table(name).upsert(rows[name], keys, "keep", version)
+        finally:
+            laps.unpersist()
 
     def pagerank(self, **options) -> DataFrame:
         edges = self.partials("interactions")
