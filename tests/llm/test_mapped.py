@@ -172,6 +172,24 @@ def test_scores(spark):
     assert len(copies) == 1  # a score hangs on the text alone, not on its neighbours
 
 
+def test_every_training_text_is_learned(spark, monkeypatch):
+    """Each row that is not held out fits the weights or fills the tables, and none does both."""
+    rows = [*documents(), (None, "another text without id", "en", "s")]
+    fold = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10
+    rows += [r for r in rows if r[1] and fold(r[0]) == 1][:2] * 2
+    fitted, counted = [], []
+    tables = [np.zeros(1 << b, np.int8) for b in mixing.SLOT_BITS]
+    monkeypatch.setattr(mixing.Mixer, "fit", lambda self, texts: fitted.extend(texts))
+    monkeypatch.setattr(mixing, "count_tables", lambda texts, paths: counted.extend(r[0] for r in texts.collect()) or tables)
+    for size in (3, 1000):
+        monkeypatch.setattr(mixing, "FIT_TEXTS", size)
+        fitted.clear(), counted.clear()
+        mixing.train(frame(spark, rows), id_remainder(10) != 0, id_remainder(10) == 1, "doc_id", "text")
+        assert Counter(fitted + counted) == Counter(t for i, t, *_ in rows if t is not None and fold(i))
+        ones = {(i, t) for i, t, *_ in rows if t is not None and fold(i) == 1}
+        assert len(fitted) == min(size, len(ones))
+
+
 def test_scores_are_probabilities():
     """Over all bytes that may come next, the probabilities add up to one."""
     rng = random.Random(6)
