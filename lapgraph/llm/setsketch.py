@@ -311,21 +311,28 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, similar: int) -> DataFrame:
     return stored(joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: int = SIMILAR
-) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id, kept.
+def _shared_ids(rows: DataFrame) -> DataFrame:
+    """(a, b): a star over the different sets of each id."""
+    own = rows.where("n > 0").select("k", _set_name().alias("v"))
+    least = own.groupBy("k").agg(F.min("v").alias("b"), F.max("v").alias("most")).where("b < most")
+    return split_join(own, least.select("k", "b"), ["k"], "inner", "shared").where("v > b").select(F.col("v").alias("a"), "b")
 
-    Documents are linked where ``100 * intersection >= similar * union`` of their shingle
-    sets; component_id is the smallest id that links lead to, kept marks its holder. Null and
-    empty texts have an empty set and no links. A null id sorts before all others. Rows that
-    repeat an id are one document. Other columns are ignored.
-    """
+
+def _set_name():
+    return F.xxhash64("c1", "c2")
+
+
+def _linked_sets(
+    docs: DataFrame, id_col: str, text_col: str, similar: int, by_id: bool
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): rows as of ``sketch_documents``, and (c1, c2, label, k, h) for each set,
+    (k, h) being its smallest text. Sets of one label are linked; with ``by_id`` those of one
+    id are, too."""
     rows = sketch_documents(docs, id_col, text_col)
     vertices = stored(
         rows.where("n > 0").groupBy("c1", "c2")
         .agg(F.min(F.struct("k", "h")).alias("at"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-        .select("c1", "c2", F.col("at.k").alias("v"), "at.k", "at.h", "n", "sketch"),
+        .select("c1", "c2", _set_name().alias("v"), "at.k", "at.h", "n", "sketch"),
         "vertices",
     )
     bands = _bands(vertices)
@@ -337,6 +344,8 @@ def near_duplicates(
     # A vertex may need its text in any round: they are fetched once, for all that met another.
     texts = _texts(docs, vertices, members.select("v"), id_col, text_col)
     links = docs.sparkSession.createDataFrame([], "a long, b long")
+    if by_id:
+        links = stored(_shared_ids(rows), "links")
     for seed in range(ROUNDS):
         likely = _likely(_hub_pairs(members, seed), vertices, similar / 100)
         links = links.unionAll(_confirmed(stored(likely, "likely"), texts, similar))
@@ -348,12 +357,34 @@ def near_duplicates(
         members = stored(split_join(members, mixed.select("bucket"), ["bucket"], "left_semi", "mixed"), "members")
     labels = components(links.unionAll(stored(_block_links(members, vertices, texts, similar), "links")))
     known = labels.select(F.col("a").alias("v"), F.col("b").alias("label"))
-    classes = vertices.select("c1", "c2", "v").join(known, "v", "left").select(
-        "c1", "c2", F.coalesce("label", "v").alias("label")
+    classes = vertices.select("c1", "c2", "v", "k", "h").join(known, "v", "left").select(
+        "c1", "c2", F.coalesce("label", "v").alias("label"), "k", "h"
     )
-    component = F.coalesce("label", "k")
+    return rows.drop("sketch"), stored(classes, "sets")
+
+
+def _with_least(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` with the smallest (k, h) of their label as ``least``; null for empty sets."""
+    smallest = classes.groupBy("label").agg(F.min(F.struct("k", "h")).alias("least"))
+    named = split_join(classes.select("c1", "c2", "label"), smallest, ["label"], "inner", "smallest")
+    return split_join(rows, named.select("c1", "c2", "least"), ["c1", "c2"], "left", "classes")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: int = SIMILAR
+) -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, component_id, kept.
+
+    Documents are linked where ``100 * intersection >= similar * union`` of their shingle
+    sets; component_id is the smallest id that links lead to, kept marks its holder. Null and
+    empty texts have an empty set and no links. A null id sorts before all others. Rows that
+    repeat an id are one document, that is the union of their links. Other columns are ignored.
+    """
+    rows = _with_least(*_linked_sets(docs, id_col, text_col, similar, by_id=True))
+    ids = rows.where("n > 0").groupBy("k").agg(F.min("least.k").alias("component"))
+    component = F.coalesce("component", "k")
     shown = F.when(component != NULL_ID, component)
-    return split_join(rows.drop("sketch"), classes, ["c1", "c2"], "left", "classes").select(
+    return split_join(rows, ids, ["k"], "left", "ids").select(
         F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
         shown.alias("component_id"), F.col("doc_id").eqNullSafe(shown).alias("kept"),
     )

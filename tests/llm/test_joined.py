@@ -233,6 +233,26 @@ def test_near_duplicates(spark, monkeypatch, rounds):
         assert r["kept"] == (r["doc_id"] == r["component_id"])
 
 
+@pytest.mark.parametrize("rounds", [2, 0])
+def test_ids_with_several_texts(spark, monkeypatch, rounds):
+    """Each text of an id is linked by its own set; the id is the union of these links."""
+    monkeypatch.setattr(setsketch, "ROUNDS", rounds)
+    rng = random.Random(21)
+    bodies = [words(rng, 150) for _ in range(10)]
+    near = lambda body, i: " ".join([*body[:-1], f"end{i}"])
+    rows = [(None, near(bodies[0], 0), "en", "s"), (None, near(bodies[1], 0), "en", "s"), (10, near(bodies[1], 1), "en", "s")]
+    for i in range(2, 8, 2):  # one id with two texts, each with a near copy under another id
+        rows += [(100 + i, near(bodies[i], 0), "en", "s"), (100 + i, near(bodies[i + 1], 0), "en", "s")]
+        rows += [(50 + i, near(bodies[i], 1), "en", "s"), (200 + i, near(bodies[i + 1], 1), "en", "s")]
+    rows += [(202, "", "en", "s"), (300, near(bodies[8], 0), "en", "s"), (301, near(bodies[9], 0), "en", "s")]
+    found = brute_components(rows)
+    out = result(setsketch.near_duplicates(frame(spark, rows)))
+    assert found[202] == 52 and found[10] is None and len(out) == len(rows)
+    for r in out:
+        assert r["component_id"] == found[r["doc_id"]]
+        assert r["kept"] == (r["doc_id"] == r["component_id"])
+
+
 def test_registers_estimate_similarity():
     import numpy as np
 
