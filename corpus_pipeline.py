@@ -21,16 +21,17 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id, once."""
-    found = stored(setsketch.near_duplicates(docs), "near")
-    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    """Of each group of near duplicates the text with the smallest id, once; a null or repeated
+    id makes no group."""
+    found = stored(setsketch.near_duplicate_texts(docs), "near")
+    repeated = found.groupBy("k", "h").agg(F.count("*").alias("n")).where("n > 1")
     return drop_documents(docs, found.where("NOT kept"), repeated)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark windows make up less than a twentieth."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return drop_documents(docs, stored(found.where("contaminated").select("doc_id"), "contaminated"))
+    found = decontaminate.judged_texts(docs, table(spark, sf_dir, "benchmark"))
+    return drop_documents(docs, stored(found.where("contaminated").select("k", "h"), "contaminated"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

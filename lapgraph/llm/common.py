@@ -145,19 +145,26 @@ def maybe_among(df: DataFrame, column: str, bitmap: np.ndarray, among: bool = Tr
     return df.mapInArrow(run, df.schema)
 
 
-def drop_documents(docs: DataFrame, gone: DataFrame, once: DataFrame | None = None, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the ids in ``gone``; of the ids in ``once`` one row stays. Null ids match.
-
-    Rows that a fixed-size filter knows to be untouched pass by without a shuffle.
+def drop_documents(
+    docs: DataFrame, gone: DataFrame, once: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` without the texts (k, h) in ``gone``; of those in ``once`` one row stays.
+
+    (k, h) is the pair of ``keyed_texts``, so other texts of the same id stay, and only rows of
+    equal id and text become one: the smallest by all columns. Rows that a fixed-size filter
+    knows to be untouched pass by without a shuffle.
     """
+    text = F.col(f"`{text_col}`")
     key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID))
-    named = lambda df: df.select(key.alias("_key"))
-    gone = named(gone).distinct()
-    once = named(once if once is not None else docs.limit(0)).distinct()
-    bitmap = key_bitmap(gone.union(once).select(F.xxhash64("_key")), 1 << 25)
-    marked = docs.withColumn("_hash", F.xxhash64(key))
+    named = lambda df: df.select(F.col("k").alias("_k"), F.col("h").alias("_h")).distinct()
+    gone = named(gone)
+    once = named(once) if once is not None else gone.limit(0)
+    pair = ["_k", "_h"]
+    bitmap = key_bitmap(gone.union(once).select(F.xxhash64(*pair)), 1 << 25)
+    marked = docs.withColumns({"_k": key, "_h": F.xxhash64(text)}).withColumn("_hash", F.xxhash64(*pair))
     same = maybe_among(marked, "_hash", bitmap, among=False).select(docs.columns)
-    touched = maybe_among(marked, "_hash", bitmap).withColumn("_key", key).join(gone, "_key", "left_anti")
-    repeated = touched.join(once, "_key", "left_semi").dropDuplicates(["_key"])
-    others = touched.join(once, "_key", "left_anti")
-    return same.unionByName(others.select(docs.columns)).unionByName(repeated.select(docs.columns))
+    touched = maybe_among(marked, "_hash", bitmap).join(gone, pair, "left_anti")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    repeated = touched.join(once, pair, "left_semi").groupBy(*pair).agg(F.min(row).alias("_row")).select("_row.*")
+    others = touched.join(once, pair, "left_anti")
+    return same.unionByName(others.select(docs.columns)).unionByName(repeated)

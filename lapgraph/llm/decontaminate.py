@@ -205,10 +205,20 @@ def decontaminate(
     empty benchmark gives zeros. Items that repeat with the same id count once. Rows of equal
     id and text get the same result; other columns of either table are ignored.
     """
+    judged = judged_texts(docs, benchmark, id_col, text_col, item_col, item_text_col, window, shingle, share)
+    return judged.drop("k", "h").withColumnRenamed("doc_id", id_col)
+
+
+def judged_texts(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text",
+    window: int = WINDOW, shingle: int = SHINGLE, share: int = SHARE,
+) -> DataFrame:
+    """The rows of ``decontaminate`` with the text's (k, h); the id is named doc_id."""
     rows, hits = contamination(docs, benchmark, id_col, text_col, item_col, item_text_col, window, shingle)
     hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return rows.join(hits, ["k", "h"], "left").select(
-        F.col("doc_id").alias(id_col), "n_words", hit.alias("n_hit"),
+        "doc_id", "k", "h", "n_words", hit.alias("n_hit"),
         F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
         ((hit > 0) & (share * hit >= F.col("n_words"))).alias("contaminated"),

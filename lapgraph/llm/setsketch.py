@@ -388,3 +388,16 @@ def near_duplicates(
         F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
         shown.alias("component_id"), F.col("doc_id").eqNullSafe(shown).alias("kept"),
     )
+
+
+def near_duplicate_texts(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: int = SIMILAR
+) -> DataFrame:
+    """One row per row of ``docs``: k, h, kept, where (k, h) is the pair of ``keyed_texts``.
+
+    Here each text is a document of its own, whatever id it has: texts are linked by their sets
+    alone, and of linked ones that of the smallest (k, h) is kept. An empty set is always kept.
+    """
+    rows = _with_least(*_linked_sets(docs, id_col, text_col, similar, by_id=False))
+    first = (F.col("least.k") == F.col("k")) & (F.col("least.h") == F.col("h"))
+    return rows.select("k", "h", F.coalesce(first, F.lit(True)).alias("kept"))

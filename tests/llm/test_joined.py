@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lapgraph.llm import components, decontaminate, hamming, secrets, setsketch, shards, substrings
@@ -405,6 +406,26 @@ def test_pipeline(spark):
     assert corpus_pipeline.STAGES[4][1](spark, before, sf_dir).count() == len(rows)
 
 
+def test_stages_tell_texts_of_one_id_apart(spark):
+    """Null and repeated ids: what is dropped is a text, never all texts of an id."""
+    rng = random.Random(31)
+    sf_dir = "/root/testdata/sf0.001"
+    passage = next(r[0] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text").collect() if len(r[0].split()) >= 13)
+    alone = [" ".join(words(rng, 60)) for _ in range(6)]
+    body = words(rng, 120)
+    one, other = " ".join(body), " ".join([*body[:-1], "end"])
+    rows = [(i, t, "en", "s") for i, t in zip([None, None, None, 7, 7, 8], alone)]
+    rows += [(7, one, "en", "s"), (3, other, "en", "s"), (8, passage, "en", "s"), (None, passage, "en", "s")]
+    rows += [(None, alone[0], "en", "s"), (None, alone[0], "en", "a")]  # equal in id and text
+    docs = frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    deduped = corpus_pipeline.without_near_duplicates(spark, docs, sf_dir)
+    kept = [*zip([None, None, None, 7, 7, 8], alone), (3, other), (None, passage)]
+    assert by_id((r["doc_id"], r["text"]) for r in deduped.collect()) == by_id(kept)
+    assert {r["source"] for r in deduped.where(F.col("text") == alone[0]).collect()} == {"a"}
+    clean = corpus_pipeline.decontaminated(spark, docs, sf_dir)
+    assert by_id((r["doc_id"], r["text"]) for r in clean.collect()) == by_id((i, t) for i, t, *_ in rows if t != passage)
+
+
 def test_stages_bear_empty_tables(spark):
     docs = frame(spark, []).select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES:
