@@ -21,7 +21,7 @@ from lapgraph.sources.sinks import append_stream, start_bronze, table_name, writ
 from lapgraph.sources.tables import stream_table
 from lapgraph.streaming import stateful
 from lapgraph.streaming.gold import GoldTables, await_all, start_gold
-from lapgraph.streaming.monitor import progress_rows, progress_summary
+from lapgraph.streaming.monitor import follow_progress, progress_summary
 
 
 class Run:
@@ -139,8 +139,7 @@ def admission_control(fx):
     run = Run(fx, "str2")
     stream = run.feed(fx.telemetry.select("sequence_number"), batches=6)
     started = append_stream(stream, run.path("out"), run.path("checkpoint"), available_now=True)
-    started.awaitTermination()
-    done = progress_rows(fx.spark, [started]).filter("input_rows > 0")
+    done = follow_progress(fx.spark, [started], run.path("progress")).filter("input_rows > 0")
     return done.agg(F.count("*").alias("batches"), F.sum("input_rows").alias("input_rows"))
 
 
@@ -421,8 +420,7 @@ def progress(fx):
     started = append_stream(
         run.feed(fx.telemetry.select("sequence_number")), run.path("out"), run.path("checkpoint"), available_now=True
     )
-    started.awaitTermination()
-    done = progress_rows(fx.spark, [started]).filter("input_rows > 0")
+    done = follow_progress(fx.spark, [started], run.path("progress")).filter("input_rows > 0")
     return progress_summary(done, trigger_ms=600_000).select(
         "batches", "input_rows", "last_batch", "falling_behind"
     )

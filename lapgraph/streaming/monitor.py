@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +29,36 @@ def _row(progress: dict) -> tuple:
     )
 
 
-def progress_rows(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    """One row per recent batch (Spark keeps a bounded number per query)."""
-    rows = [_row(json.loads(p.json)) for q in queries for p in q.recentProgress]
-    return spark.createDataFrame(rows, PROGRESS_DDL)
+def follow_progress(
+    spark: SparkSession, queries: list[StreamingQuery], path: str, poll_seconds: float = 0.5
+) -> DataFrame:
+    """Wait for the queries to end and append one row per batch to the table at ``path``.
+
+    Spark keeps a bounded number of batches per query, so they are fetched while the queries
+    run. If more than that number went by between two fetches, this raises instead of
+    returning less. Returns the table, which may hold rows of earlier runs.
+    """
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    seen: list[set] = [set() for _ in queries]
+    while True:
+        running = any([q.isActive for q in queries])  # asked first, so that the last fetch is whole
+        rows = []
+        for i, q in enumerate(queries):
+            recent = [json.loads(p.json) for p in q.recentProgress]
+            names = [(p["batchId"], p["timestamp"]) for p in recent]
+            if len(names) >= kept and names[0] not in seen[i]:
+                raise RuntimeError(f"{q.name or q.id}: over {kept} batches between two fetches; fetch more often")
+            rows += [_row(p) for p, name in zip(recent, names) if name not in seen[i]]
+            seen[i] = set(names)
+        if rows:
+            spark.createDataFrame(rows, PROGRESS_DDL).coalesce(1).write.mode("append").parquet(path)
+        if not running:
+            break
+        time.sleep(poll_seconds)
+    for q in queries:
+        q.awaitTermination()  # raises what ended the query
+    spark.createDataFrame([], PROGRESS_DDL).write.mode("append").parquet(path)
+    return spark.read.schema(PROGRESS_DDL).parquet(path)
 
 
 def progress_summary(progress: DataFrame, trigger_ms: int) -> DataFrame:

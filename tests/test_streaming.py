@@ -1,6 +1,8 @@
 """Stream runs: replay, restart, stint state, failures."""
 
 import datetime
+import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -10,6 +12,7 @@ from lapgraph.operators.facts import with_stints
 from lapgraph.operators.ordered import time_block
 from lapgraph.session import scratch_path
 from lapgraph.sources.tables import stream_table
+from lapgraph.streaming import monitor
 from lapgraph.streaming.gold import GoldTables, start_gold
 from lapgraph.streaming.state import VersionedTable
 from lapgraph.streaming.stateful import KeyHistory, StintTracker, dedup_stream
@@ -133,3 +136,39 @@ def test_time_block_handles_both_timestamp_types(spark):
         time_block(F.lit("1970-01-01 00:02:00").cast("timestamp_ntz"), 60).alias("b"),
     ).first()
     assert (row.a, row.b) == (2, 2)
+
+
+class LongQuery:
+    """A query of which 40 of 250 batches end between two looks; the last 100 are kept."""
+
+    name, id = "long", "id"
+
+    def __init__(self, step=40):
+        self.done, self.step = 0, step
+
+    @property
+    def isActive(self):  # noqa: N802
+        self.done = min(self.done + self.step, 250)
+        return self.done < 250
+
+    @property
+    def recentProgress(self):  # noqa: N802
+        late = [{"numRowsDroppedByWatermark": 2}]
+        return [
+            SimpleNamespace(json=json.dumps({
+                "name": "long", "id": "id", "batchId": b, "timestamp": f"t{b}", "numInputRows": 10,
+                "stateOperators": late, "sources": [{"endOffset": b}],
+            }))
+            for b in range(max(self.done - 100, 0), self.done)
+        ]
+
+    def awaitTermination(self):  # noqa: N802
+        pass
+
+
+def test_progress_of_a_long_run(spark, tmp_path):
+    rows = monitor.follow_progress(spark, [LongQuery()], str(tmp_path / "progress"), poll_seconds=0)
+    out = monitor.progress_summary(rows, 1000).first()
+    assert (out["batches"], out["input_rows"], out["dropped_late_rows"], out["last_batch"]) == (250, 2500, 500, 249)
+    with pytest.raises(RuntimeError):  # rather than a table with gaps
+        monitor.follow_progress(spark, [LongQuery(step=120)], str(tmp_path / "gaps"), poll_seconds=0)
