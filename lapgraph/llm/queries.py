@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapgraph.llm import (
-    bpe, decontaminate, hamming, language, merkle, mixing, periods, secrets, setsketch, shards, substrings, wordpiece,
+    bpe, decontaminate, hamming, language, merkle, mixing, periods, quality, secrets, setsketch, shards, substrings,
+    wordpiece,
 )
 from lapgraph.llm.common import table
 
@@ -98,6 +99,16 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of remainder 0 are held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels").where(id_remainder(5) != 0))
+    found = quality.score_documents(docs, model).withColumnRenamed("id", "doc_id")
+    return found.select(
+        "doc_id", (id_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted")
+    )
+
+
 def repeated_tail(doc_id: int | None, n: int) -> np.ndarray | None:
     """Places that give a tenth of the documents a tail of three to ten periods."""
     h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
@@ -132,6 +143,7 @@ QUERIES = {
     "op9_shards": op9_shards,
     "op10_language": op10_language,
     "op11_merkle": op11_merkle,
+    "op12_quality": op12_quality,
     "op13_runs": op13_runs,
 }
 #: Checks that SQL can express.
