@@ -9,7 +9,7 @@ from lapgraph.operators.graph import interactions_of
 from lapgraph.operators.skew import skew_join
 from lapgraph.plans.registry import query
 from lapgraph.session import scratch_path
-from lapgraph.streaming.state import VersionedTable
+from lapgraph.streaming.buckets import BucketedTable
 
 PACE = """
     max(lap_number) AS max_lap_seen, round(avg(speed_kph), 6) AS avg_speed_kph,
@@ -235,10 +235,10 @@ def _register_upsert(key: str, mode: str) -> None:
     def upsert_nodes(fx, mode=mode):
         """Written as a version by each batch, the second one twice, and read back."""
         old, new = _nodes(fx)
-        table = VersionedTable(fx.spark, scratch_path(fx.spark, f"nodes-{mode}"))
+        table = BucketedTable(fx.spark, scratch_path(fx.spark, f"nodes-{mode}"), ["session_id", "driver_id"])
         table.write(old, 0)
         for _ in range(2):
-            table.upsert(new, ["session_id", "driver_id"], mode, 1)
+            table.upsert(new, mode, 1)
         return table.read()
 
 
@@ -265,7 +265,7 @@ def edge_upsert(fx):
     )
     nodes = fx.drivers.filter("driver_no <> 7").select(F.col("driver_id").alias("id"))
     half = F.dayofmonth("event_ts") <= 15
-    table = VersionedTable(fx.spark, scratch_path(fx.spark, "edges"))
+    table = BucketedTable(fx.spark, scratch_path(fx.spark, "edges"), ["rel", "src", "dst"])
     for batch_id, part in ((0, half), (1, ~half), (1, ~half)):
         table.upsert_edges(events.filter(part).select(*columns), nodes, ["event_ts"], batch_id)
     return table.read()
