@@ -55,12 +55,17 @@ def feature_partials(telemetry: DataFrame) -> DataFrame:
     return telemetry.groupBy("driver_id", "session_id").agg(*sums, F.max("engine_rpm").alias("max_rpm"))
 
 
+def merged_feature_partials(partials: DataFrame) -> DataFrame:
+    """One row of sums per (driver, session) from partials of any batches."""
+    sums = [F.sum(c).alias(c) for c in partials.columns if c.startswith(("sum_", "n_"))]
+    return partials.groupBy("driver_id", "session_id").agg(*sums, F.max("max_rpm").alias("max_rpm"))
+
+
 def merged_features(partials: DataFrame) -> DataFrame:
     """Features over all batches; incomplete rows are dropped."""
     names = {"avg_speed": "speed_kph", "avg_throttle": "throttle_pct", "avg_brake": "brake_pressure_bar"}
-    return partials.groupBy("driver_id", "session_id").agg(
-        *[F.try_divide(F.sum(f"sum_{m}"), F.sum(f"n_{m}")).alias(name) for name, m in names.items()],
-        F.max("max_rpm").alias("max_rpm"),
+    return merged_feature_partials(partials).select(
+        "driver_id", "session_id", *[F.try_divide(f"sum_{m}", f"n_{m}").alias(name) for name, m in names.items()], "max_rpm"
     ).dropna(subset=FEATURES)
 
 

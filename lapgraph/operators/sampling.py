@@ -29,6 +29,36 @@ def uniform_sample(df: DataFrame, ident: str, size: int = 1000, seed: int = 42)
     return df.withColumn("_key", sample_key(seed, ident)).orderBy("_key", ident).limit(size).drop("_key")
 
 
+def bottom_k(df: DataFrame, ident: str, size: int = 1000, seed: int = 42) -> DataFrame:
+    """The ``size`` + 1 rows with the smallest keys, with their ``_key``: a part of the stream
+    from which ``merged_sample`` makes the sample of all parts."""
+    return df.withColumn("_key", sample_key(seed, ident)).orderBy("_key", ident).limit(size + 1)
+
+
+def merged_sample(parts: DataFrame, ident: str, size: int = 1000, keep_key: bool = False) -> DataFrame:
+    """The sample of the union of parts, equal to ``uniform_sample`` of all their rows.
+
+    With ``keep_key`` it stays a part: one row more, whose key is the threshold, and the keys.
+    """
+    ordered = parts.orderBy("_key", ident)
+    return ordered.limit(size + 1) if keep_key else ordered.limit(size).drop("_key")
+
+
+def estimated_total(part: DataFrame, size: int = 1000) -> DataFrame:
+    """One row (rows, exact): how many rows a part was drawn from, by its threshold.
+
+    The key of rank ``size`` + 1 is about ``size`` / rows of the way through the keys; a part
+    without one holds all rows there were.
+    """
+    unit = (F.conv(F.substring("_key", 1, HEX_DIGITS), 16, 10).cast("double") + 0.5) / F.lit(float(16**HEX_DIGITS))
+    found = part.agg(F.count("*").alias("n"), F.max(unit).alias("threshold"))
+    whole = F.col("n") <= size
+    return found.select(
+        F.when(whole, F.col("n").cast("double")).otherwise(F.lit(float(size)) / F.col("threshold")).alias("rows"),
+        whole.alias("exact"),
+    )
+
+
 def weighted_sample(
     df: DataFrame, ident: str, weight: str, size: int, seed: int = 42
 ) -> DataFrame:

@@ -159,7 +159,10 @@ BATTLE_COLUMNS = [
 ]
 
 
-@query("DET2_battles", _battles(PAIRS, 2))
+BATTLES = _battles(PAIRS, 2)
+
+
+@query("DET2_battles", BATTLES)
 def battles(fx):
     return race.battles(fx.laps).select(*BATTLE_COLUMNS)
 

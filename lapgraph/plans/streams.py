@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapgraph.operators.interactions import adjacent_pairs
 from lapgraph.operators.parsing import parsed_records, raw_records
 from lapgraph.operators.upsert import lap_partials, merge_partials
 from lapgraph.plans.aggregates import RUNNING
+from lapgraph.plans.detection import BATTLES
 from lapgraph.plans.facts import STINTS
 from lapgraph.plans.graphs import COMMUNITY_SQL, SESSION_GRAPH, WIDTHS, pagerank_sql
 from lapgraph.plans.registry import query
@@ -20,8 +22,10 @@ from lapgraph.session import scratch_path
 from lapgraph.sources.sinks import append_stream, start_bronze, table_name, write_tables
 from lapgraph.sources.tables import stream_table
 from lapgraph.streaming import stateful
+from lapgraph.streaming.buckets import BucketedTable
 from lapgraph.streaming.gold import GoldTables, await_all, start_gold
 from lapgraph.streaming.monitor import follow_progress, progress_summary
+from lapgraph.streaming.runs import RunTable, battle_laps, rocksdb_state, stint_laps
 
 
 class Run:
@@ -153,6 +157,44 @@ def restart(fx):
     return run.collected(run.feed(late.drop("micro_sector_id")))
 
 
+def _filled(fx, run: Run, name: str) -> BucketedTable:
+    """A keyed table of five versions, a version for every fifth day."""
+    table = BucketedTable(fx.spark, run.path(name), ["session_id", "driver_id", "lap_number"], buckets=8)
+    counts = fx.telemetry.groupBy("session_id", "driver_id", "lap_number").agg(F.count("*").alias("samples"))
+    for version in range(5):
+        table.upsert(counts.filter(F.col("lap_number") % 5 == version), "merge", version)
+    return table
+
+
+@query("SRC2_change_feed", """
+    SELECT session_id, driver_id, lap_number, count(*) AS samples, CAST(lap_number % 5 AS BIGINT) AS version
+    FROM telemetry WHERE lap_number % 5 > 2 GROUP BY ALL
+""")
+def change_feed(fx):
+    """The rows that the versions after the third one wrote."""
+    return _filled(fx, Run(fx, "src2c"), "table").changes(2).withColumnRenamed("_version", "version")
+
+
+@query("STR3_from_version", """
+    SELECT session_id, count(*) AS laps, CAST(sum(n) AS BIGINT) AS samples
+    FROM (SELECT session_id, driver_id, lap_number, count(*) AS n FROM telemetry WHERE lap_number % 5 > 1 GROUP BY ALL) l
+    GROUP BY session_id
+""")
+def from_version(fx):
+    """Processing again from version 1 on, in two runs of one query, equals one run over later rows."""
+    run = Run(fx, "str3v")
+    source = _filled(fx, run, "table")
+    sums = BucketedTable(fx.spark, run.path("sums"), ["session_id"], buckets=4)
+    total = lambda rows: rows.groupBy("session_id").agg(F.sum("laps").alias("laps"), F.sum("samples").alias("samples"))
+
+    def add(changed: DataFrame, batch_id: int) -> None:
+        sums.merge(changed.groupBy("session_id").agg(F.count("*").alias("laps"), F.sum("samples").alias("samples")), total, batch_id)
+
+    for _ in range(2):
+        source.stream_changes(add, run.path("checkpoint"), after=1).awaitTermination()
+    return sums.read()
+
+
 @query("STR4_concurrent_queries", """
     SELECT session_id, 'telemetry' AS source, count(*) AS records FROM telemetry GROUP BY session_id
     UNION ALL SELECT session_id, 'events', count(*) FROM interactions GROUP BY session_id
@@ -178,7 +220,7 @@ def concurrent_queries(fx):
 def _deduped(run: Run, stream: DataFrame, keys: list[str]) -> DataFrame:
     history = stateful.KeyHistory(run.spark, run.path("seen"), keys)
     start_gold(stream, history.process, run.path("checkpoint"), available_now=True).awaitTermination()
-    return history.rows().drop("batch")
+    return history.rows()
 
 
 @query("STR5_hash_dedup", "SELECT DISTINCT row_hash FROM dup_rows")
@@ -190,9 +232,12 @@ def hash_dedup(fx):
 
 @query("STR6_event_time_dedup", "SELECT DISTINCT session_id, driver_id, date_trunc('hour', event_ts) AS hour_ts FROM telemetry")
 def event_time_dedup(fx):
+    """Four batches of rising time; the watermark follows by a day, so older keys leave the state."""
     run = Run(fx, "str6")
-    hours = fx.telemetry.select("session_id", "driver_id", F.date_trunc("hour", "event_ts").alias("hour_ts"))
-    return _deduped(run, run.feed(hours), ["session_id", "driver_id", "hour_ts"])
+    hours = fx.telemetry.select("session_id", "driver_id", "event_ts", F.date_trunc("hour", "event_ts").alias("hour_ts"))
+    stream = run.feed_in_order(hours, "event_ts").drop("event_ts")
+    with rocksdb_state(fx.spark):
+        return run.collected(stateful.dedup_stream(stream, ["session_id", "driver_id", "hour_ts"], "hour_ts", "1 day"))
 
 
 @query("STR7_running_laps", """
@@ -292,13 +337,34 @@ def stream_join(fx):
     return run.collected(stateful.join_streams(samples, events, "1 hour", 7200))
 
 
+_JOBS: dict[tuple[str, str], GoldTables] = {}
+
+
+def _gold_job(fx) -> GoldTables:
+    """One finished run of the job per application and input, for the queries that read its tables."""
+    key = (fx.spark.sparkContext.applicationId, fx.sf_dir)
+    if key not in _JOBS:
+        _JOBS[key] = _gold(fx, Run(fx, "snk2"))
+    return _JOBS[key]
+
+
 def _gold(fx, run: Run) -> GoldTables:
-    tables = GoldTables(fx.spark, run.path("gold"), style_widths=WIDTHS, compact_every=2)
+    """Telemetry in four batches, events in two, the last batch of each once more."""
+    tables = GoldTables(
+        fx.spark, run.path("gold"), style_widths=WIDTHS, drivers=fx.drivers, teams=fx.teams, buckets=8
+    )
     telemetry = run.feed(fx.telemetry, "telemetry")
     events = run.feed(fx.interactions, "events", batches=2)
+
+    def twice(handler, last: int):
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            for _ in range(2 if batch_id == last else 1):
+                handler(batch, batch_id)
+        return handle
+
     await_all([
-        start_gold(telemetry, tables.telemetry_batch, run.path("checkpoint", "t"), available_now=True),
-        start_gold(events, tables.event_batch, run.path("checkpoint", "e"), available_now=True),
+        start_gold(telemetry, twice(tables.telemetry_batch, 3), run.path("checkpoint", "t"), available_now=True),
+        start_gold(events, twice(tables.event_batch, 1), run.path("checkpoint", "e"), available_now=True),
     ])
     return tables
 
@@ -312,19 +378,25 @@ def gold_laps(fx):
     )
 
 
+@query("SNK2_gold_lap_nodes", """
+    SELECT concat(session_id, ':', driver_id, ':', CAST(lap_number AS STRING)) AS lap_id, session_id, driver_id, lap_number,
+           round(avg(speed_kph), 6) AS avg_speed_kph, CAST(max(speed_kph) AS BIGINT) AS max_speed_kph,
+           CAST(min(speed_kph) AS BIGINT) AS min_speed_kph, round(avg(battery_pct), 6) AS avg_battery_pct,
+           max(event_ts) AS last_event_ts
+    FROM telemetry GROUP BY session_id, driver_id, lap_number
+""")
+def gold_lap_nodes(fx):
+    return _gold_job(fx).lap_nodes().select(
+        "lap_id", "session_id", "driver_id", "lap_number", "avg_speed_kph", "max_speed_kph", "min_speed_kph",
+        "avg_battery_pct", "last_event_ts",
+    )
+
+
 @query("SNK2_gold_pagerank", pagerank_sql(SESSION_GRAPH, ("session_id",)))
 def gold_pagerank(fx):
     return _gold(fx, Run(fx, "snk2p")).pagerank()
 
 
-def _published(fx, name: str, run: str) -> DataFrame:
-    """A node or edge table after two versions, the second one replayed."""
-    tables = _gold(fx, Run(fx, run))
-    for version in (0, 1, 1):
-        tables.publish(version)
-    return tables.table(name).read()
-
-
 ALL_EDGES = "SELECT DISTINCT attacker_id AS src, defender_id AS dst FROM edges"
 
 
@@ -341,7 +413,11 @@ ALL_EDGES = "SELECT DISTINCT attacker_id AS src, defender_id AS dst FROM edges"
     LEFT JOIN styles s ON s.driver_id = t.driver_id
 """)
 def gold_drivers(fx):
-    return _published(fx, "Driver", "snk2d").select(
+    """Upserted by both streams; the scores are published twice under one version."""
+    tables = _gold_job(fx)
+    for version in (0, 1, 1):
+        tables.publish(version)
+    return tables.driver_nodes().select(
         "driver_id", "samples", "avg_speed_kph", "driver_name", "first_session_id", "latest_session_id",
         "pagerank_score", "community_id",
     )
@@ -353,7 +429,7 @@ def gold_drivers(fx):
     FROM telemetry GROUP BY session_id
 """)
 def gold_sessions(fx):
-    return _published(fx, "Session", "snk2e")
+    return _gold_job(fx).session_nodes()
 
 
 @query("SNK2_gold_drove_in", """
@@ -362,14 +438,79 @@ def gold_sessions(fx):
     FROM telemetry GROUP BY driver_id, session_id
 """)
 def gold_drove_in(fx):
-    return _published(fx, "DROVE_IN", "snk2i")
+    return _gold_job(fx).table("DROVE_IN").read()
 
 
 @query("SNK2_gold_completed_by", """
     SELECT DISTINCT concat(session_id, ':', driver_id, ':', CAST(lap_number AS STRING)) AS lap_id, driver_id FROM telemetry
 """)
 def gold_completed_by(fx):
-    return _published(fx, "COMPLETED_BY", "snk2c")
+    return _gold_job(fx).table("COMPLETED_BY").read()
+
+
+@query("SNK2_gold_teams", """
+    SELECT t.team_id, t.name, t.engine_supplier, d.driver_id
+    FROM teams t JOIN drivers d ON d.team_id = t.team_id
+""")
+def gold_teams(fx):
+    """Team nodes with the drivers that race for them."""
+    tables = _gold_job(fx)
+    return tables.table("Team").read().join(tables.table("RACES_FOR").read(), "team_id").select(
+        "team_id", "name", "engine_supplier", "driver_id"
+    )
+
+
+def _latest_edge(rel: str) -> str:
+    return f"""
+        SELECT attacker_id AS src, defender_id AS dst, f[1] AS event_id, f[2] AS session_id, f[3] AS lap_number, event_ts
+        FROM (SELECT attacker_id, defender_id, max(event_ts) AS event_ts,
+                     arg_max(row(event_id, session_id, lap_number), row(event_ts, event_id)) AS f
+              FROM edges WHERE rel = '{rel}' GROUP BY attacker_id, defender_id) e
+        WHERE attacker_id IN (SELECT driver_id FROM drivers) AND defender_id IN (SELECT driver_id FROM drivers)
+    """
+
+
+def _gold_edges(fx, rel: str):
+    edges = _gold_job(fx).edges(rel)
+    return edges.select("src", "dst", "event_id", "session_id", "lap_number", "event_ts")
+
+
+@query("SNK2_gold_overtakes", _latest_edge("OVERTAKE"))
+def gold_overtakes(fx):
+    return _gold_edges(fx, "OVERTAKE")
+
+
+@query("SNK2_gold_battles", _latest_edge("BATTLE"))
+def gold_battles(fx):
+    return _gold_edges(fx, "BATTLE")
+
+
+@query("SNK2_gold_serving", """
+    SELECT 'overtaker' AS kind, session_id AS a, attacker_id AS b, count(*) AS overtakes, NULL::BIGINT AS other
+    FROM edges WHERE rel = 'OVERTAKE' GROUP BY ALL
+    UNION ALL
+    SELECT 'rivalry', least(attacker_id, defender_id), greatest(attacker_id, defender_id),
+           count(*) FILTER (WHERE rel = 'OVERTAKE'), count(*) FILTER (WHERE rel = 'BATTLE')
+    FROM edges WHERE attacker_id <> defender_id GROUP BY ALL
+    UNION ALL
+    SELECT 'team', CAST(team_id AS STRING), NULL, count(*) FILTER (WHERE side = 'made'), count(*) FILTER (WHERE side = 'suffered')
+    FROM (SELECT attacker_id AS id, 'made' AS side FROM edges WHERE rel = 'OVERTAKE'
+          UNION ALL SELECT defender_id, 'suffered' FROM edges WHERE rel = 'OVERTAKE') s JOIN drivers d ON d.driver_id = s.id
+    GROUP BY ALL
+""")
+def gold_serving(fx):
+    """What dashboards read: top overtakers, rivalries and team standings, from counts the batches keep."""
+    tables = _gold_job(fx)
+    none = F.lit(None)
+    made = tables.top_overtakers().select(
+        F.lit("overtaker").alias("kind"), F.col("session_id").alias("a"), F.col("driver_id").alias("b"), "overtakes",
+        none.cast("bigint").alias("other"),
+    )
+    pairs = tables.rivalries().select(F.lit("rivalry"), "driver_a_id", "driver_b_id", "overtakes", "battles")
+    teams = tables.team_standings().select(
+        F.lit("team"), F.col("team_id").cast("string"), none.cast("string"), "overtakes_made", "overtakes_suffered"
+    )
+    return made.union(pairs).union(teams)
 
 
 @query("SNK2_gold_event_nodes", """
@@ -378,40 +519,51 @@ def gold_completed_by(fx):
     UNION ALL SELECT DISTINCT 'Session', session_id, NULL, NULL FROM interactions
 """)
 def gold_event_nodes(fx):
-    tables = _gold(fx, Run(fx, "snk2n"))
-    drivers = tables.drivers().select(
+    tables = _gold_job(fx)
+    drivers = tables.table("Driver-events").read().select(
         F.lit("Driver").alias("label"), F.col("driver_id").alias("id"),
         F.col("driver_name").alias("name"), "first_session_id",
     )
-    sessions = tables.sessions().select(F.lit("Session").alias("label"), F.col("session_id").alias("id"))
+    sessions = tables.table("Session-events").read().select(F.lit("Session").alias("label"), F.col("session_id").alias("id"))
     return drivers.unionByName(sessions, allowMissingColumns=True)
 
 
-@query("SNK2_gold_sample", "SELECT 4::BIGINT AS batches, 200::BIGINT AS sampled, TRUE AS all_known")
+@query("SNK2_gold_sample", """
+    SELECT sequence_number, session_id FROM telemetry ORDER BY md5(concat('42_', CAST(sequence_number AS STRING))) LIMIT 50
+""")
 def gold_sample(fx):
-    """Fifty rows of each of the four batches, all of them rows of the telemetry."""
+    """The sample kept over four batches is the sample of the whole stream."""
     run = Run(fx, "snk2s")
-    tables = GoldTables(fx.spark, run.path("gold"), sample_size=50, style_widths=WIDTHS)
+    tables = GoldTables(fx.spark, run.path("gold"), sample_size=50)
     stream = run.feed(fx.telemetry)
     start_gold(stream, tables.telemetry_batch, run.path("checkpoint"), available_now=True).awaitTermination()
-    known = fx.telemetry.select("sequence_number", F.lit(1).alias("_known"))
-    return tables.partials("sample").join(known, "sequence_number", "left").agg(
-        F.count_distinct("batch").alias("batches"),
-        F.count("*").alias("sampled"),
-        (F.count("*") == F.count("_known")).alias("all_known"),
-    )
+    return tables.sample().select("sequence_number", "session_id")
+
+
+def _tracked_runs(fx, name: str) -> RunTable:
+    """Laps and pairs of drivers in four runs of one query that go on from its checkpoint. Each run
+    has every fourth lap, the last run those of the start of the race: three bring late laps."""
+    run = Run(fx, name)
+    table = RunTable(fx.spark, run.path("state"), watermark="60 days", idle_seconds=86_400)
+    starts = fx.laps.select("session_id", "lap_number", F.col("driver_id").alias("driver_a"), F.col("lap_start").alias("seen"))
+    pairs = adjacent_pairs(fx.laps).join(starts, ["session_id", "lap_number", "driver_a"])
+    laps = stint_laps(fx.laps).unionByName(battle_laps(pairs, "seen"))
+    for quarter in (1, 3, 2, 0):
+        table.start(run.feed(laps.filter(F.col("lap_number") % 4 == quarter), batches=1)).awaitTermination()
+    return table
 
 
 @query("STR10_stint_tracker", f"SELECT session_id, driver_id, lap_number, compound, stint_no FROM ({STINTS}) s")
 def stint_tracker(fx):
-    """Laps arrive in three parts, every third lap in each, so two parts bring late laps."""
-    run = Run(fx, "str10")
-    tracker = stateful.StintTracker(fx.spark, run.path("stints"))
-    laps = fx.laps.select("session_id", "driver_id", "lap_number", "compound", "pit_in")
-    for third in (0, 2, 1):
-        stream = run.feed(laps.filter(F.col("lap_number") % 3 == third), batches=1)
-        start_gold(stream, tracker.process, run.path("checkpoint"), available_now=True).awaitTermination()
-    return tracker.laps().drop("pit_in")
+    return _tracked_runs(fx, "str10").stints()
+
+
+@query("STR10_battle_tracker", f"""
+    SELECT session_id, driver_a_id, driver_b_id, lap_number, lap_count, event_ts, delta_time_ms, avg_gap_ms
+    FROM ({BATTLES}) b
+""")
+def battle_tracker(fx):
+    return _tracked_runs(fx, "str10b").battles().drop("interaction_strength")
 
 
 @query("STR11_progress", "SELECT 4::BIGINT AS batches, count(*) AS input_rows, 3::BIGINT AS last_batch, FALSE AS falling_behind FROM events")

@@ -8,13 +8,14 @@ rewritten a constant number of times however many batches come.
 A commit is one small file that names the base and the deltas of every bucket. It appears by
 a rename when all data is there: a reader of a commit keeps seeing the same rows, a batch that
 failed half way leaves nothing behind, and a batch that comes again after its commit does
-nothing. A table has one writer at a time.
+nothing. A table has one writer at a time. Parts of a key may be null for ``merge`` only.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,6 +126,12 @@ class BucketedTable:
         commit = self.commit(version)
         return None if commit is None else self._rows(commit).drop(BUCKET)
 
+    def near(self, rows: DataFrame) -> DataFrame:
+        """The stored rows of all buckets that ``rows`` (with the columns of the bucket) touch."""
+        commit = self.commit()
+        touched = {row[0] for row in rows.select(self._place).distinct().collect()}
+        return self._rows(commit, touched).drop(BUCKET)
+
     def changes(self, after: int, up_to: int | None = None) -> DataFrame:
         """Newest rows of the keys written by the versions in (after, up_to], with ``_version``."""
         commits = [self.commit(v) for v in self.versions() if v > after and (up_to is None or v <= up_to)]
@@ -197,7 +204,7 @@ class BucketedTable:
             stored = [b for b in touched if last and str(b) in last["buckets"]]
             if stored:
                 old = self._rows(last, set(stored)).drop(BUCKET)
-                old = skew_join(old, batch.select(*self.keys), self.keys, "left_semi")
+                old = self._of_keys(old, batch)
             else:
                 old = self.spark.createDataFrame([], StructType.fromJson(last["schema"]) if last else batch.schema)
             kinds = {field.name: field.dataType for field in StructType.fromJson(last["schema"])} if last else {}
@@ -211,6 +218,12 @@ class BucketedTable:
         self._fold(commit)
         self._publish(commit)
 
+    def _of_keys(self, old: DataFrame, batch: DataFrame) -> DataFrame:
+        """The stored rows of the batch's keys; null parts of keys are equal."""
+        wanted = batch.select([F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(self.keys)])
+        same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(self.keys)]
+        return old.join(wanted, reduce(Column.__and__, same), "left_semi")
+
     def _write(self, rows: DataFrame, kind: str, version: int) -> None:
         placed = rows.withColumn(BUCKET, self._place).hint("rebalance", F.col(BUCKET))
         placed.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/{kind}/{VERSION}={version}")
