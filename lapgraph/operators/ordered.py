@@ -205,57 +205,73 @@ def asof_forward(
     )
 
 
-def interval_join(
-    points: DataFrame,
-    spans: DataFrame,
-    keys: Sequence[str],
-    point_ts: str,
-    span_start: str,
-    span_end: str,
-    seconds: int,
+def dyadic_cover(first: Column, last: Column) -> Column:
+    """The fewest aligned ranges of blocks that make up [first, last]: an array of (level, place),
+    a range of 2**level blocks from place * 2**level on. At most two for each level, so a span
+    of n blocks has at most 2 * log2(n) + 1."""
+    size = (last - first + 1).cast("double")
+    levels = F.sequence(F.lit(0), F.ceil(F.log2(size)).cast("int"))
+
+    def ranges(level: Column) -> Column:
+        low = -_shift_right(-first, level)
+        high = _shift_right(last + 1, level)
+        of = lambda place: F.array(F.struct(level.alias("level"), place.alias("place")))
+        none = F.slice(of(low), 1, 0)
+        left = F.when((low < high) & (low.bitwiseAND(F.lit(1)) == 1), of(low)).otherwise(none)
+        right = F.when((low < high) & (high.bitwiseAND(F.lit(1)) == 1), of(high - 1)).otherwise(none)
+        return F.concat(left, right)
+
+    return F.flatten(F.transform(levels, ranges))
+
+
+def point_in_span(
+    points: DataFrame, spans: DataFrame, keys: Sequence[str], point_ts: str, span_start: str, span_end: str, seconds: int
 ) -> DataFrame:
-    """Pair points with the spans of the same keys that contain them (ends included).
+    """``points`` with every span of the same keys that contains them (ends included).
 
-    Equi join on (keys, time block); a span is listed once per block it touches, so a pair
-    meets in exactly one block.
+    An equi join on (keys, aligned range of blocks): a span is listed under its
+    ``dyadic_cover``, a point under the ranges around it, of the levels that occur in any
+    cover. Exactly one range of a cover holds a given block, so a pair meets once, and neither
+    side grows with the length of the spans.
     """
-    pts = points.withColumn("_block", time_block(F.col(point_ts), seconds))
-    first, last = time_block(F.col(span_start), seconds), time_block(F.col(span_end), seconds)
-    sps = spans.filter(F.col(span_start) <= F.col(span_end)).withColumn(
-        "_block", F.explode(F.sequence(first, last))
-    )
+    ends = time_block(F.col(span_start), seconds), time_block(F.col(span_end), seconds)
+    listed = spans.filter(F.col(span_start) <= F.col(span_end)).withColumn("_range", F.explode(dyadic_cover(*ends)))
+    levels = listed.agg(F.collect_set("_range.level").alias("_levels")).scalar()
+    block = time_block(F.col(point_ts), seconds)
     return (
-        pts.join(sps, [*keys, "_block"])
+        points.withColumn("_level", F.explode(levels))
+        .withColumn("_range", F.struct(F.col("_level").alias("level"), _shift_right(block, F.col("_level")).alias("place")))
+        .drop("_level")
+        .join(listed, [*keys, "_range"])
         .filter(F.col(point_ts).between(F.col(span_start), F.col(span_end)))
-        .drop("_block")
+        .drop("_range")
     )
 
 
+def interval_join(
+    points: DataFrame, spans: DataFrame, keys: Sequence[str], point_ts: str, span_start: str, span_end: str, seconds: int,
+) -> DataFrame:
+    """Pair points with the spans of the same keys that contain them (ends included)."""
+    return point_in_span(points, spans, keys, point_ts, span_start, span_end, seconds)
+
+
 def overlap_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    left_span: tuple[str, str],
-    right_span: tuple[str, str],
+    left: DataFrame, right: DataFrame, keys: Sequence[str], left_span: tuple[str, str], right_span: tuple[str, str],
     seconds: int,
 ) -> DataFrame:
     """Pair spans of the same keys that overlap (more than an end point in common).
 
-    Equi join on (keys, time block); of the blocks that both spans touch, only the first
-    pairs them. Spans that end before they start overlap with nothing.
+    Of two overlapping spans the one that starts later starts inside the other: left spans
+    that start inside right ones, and right spans that start inside left ones but not where
+    they start. Spans that end before they start overlap with nothing.
     """
-    def listed(df: DataFrame, span: tuple[str, str], first: str) -> DataFrame:
-        begin, end = time_block(F.col(span[0]), seconds), time_block(F.col(span[1]), seconds)
-        return df.filter(F.col(span[0]) <= F.col(span[1])).withColumn(first, begin).withColumn(
-            "_block", F.explode(F.sequence(begin, end))
-        )
-
-    pairs = listed(left, left_span, "_left").join(listed(right, right_span, "_right"), [*keys, "_block"])
-    return pairs.filter(
-        (F.col("_block") == F.greatest("_left", "_right"))
-        & (F.col(left_span[0]) < F.col(right_span[1]))
-        & (F.col(right_span[0]) < F.col(left_span[1]))
-    ).drop("_block", "_left", "_right")
+    out = [*left.columns, *[c for c in right.columns if c not in keys]]
+    (begin, end), (other_begin, other_end) = left_span, right_span
+    own, other = left.filter(F.col(begin) <= F.col(end)), right.filter(F.col(other_begin) <= F.col(other_end))
+    inside = point_in_span(own, other, keys, begin, other_begin, other_end, seconds).select(*out)
+    around = point_in_span(other, own, keys, other_begin, begin, end, seconds).select(*out)
+    pairs = inside.unionByName(around.filter(F.col(begin) < F.col(other_begin)))
+    return pairs.filter((F.col(begin) < F.col(other_end)) & (F.col(other_begin) < F.col(end)))
 
 
 def lower_side_keys(value: Column, width: int, levels: Column) -> Column:

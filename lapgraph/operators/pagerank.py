@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -170,27 +171,184 @@ def session_pagerank(edge_sets: Sequence[DataFrame], **options) -> DataFrame:
     return pagerank(None, edges, ["session_id"], **options)
 
 
-def rank_trend(edges: DataFrame, up_to: str, last: int | None = None, **options) -> DataFrame:
+def _level(series: Column, step: Column, field: str) -> Column:
+    """The value of a piecewise-constant series at a step; NULL before its first entry."""
+    return F.try_element_at(F.filter(series, lambda p: p["at"] <= step), F.lit(-1))[field]
+
+
+def _summed(changes: Column) -> Column:
+    """A sorted array of (at, delta) as a series (at, value) of running sums."""
+    return F.transform(changes, lambda p: F.struct(
+        p["at"].alias("at"),
+        F.aggregate(F.filter(changes, lambda q: q["at"] <= p["at"]), F.lit(0.0), lambda a, q: a + q["delta"]).alias("value"),
+    ))
+
+
+def _merged_series(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, series) from rows (keys, at, delta): one entry per step, at most as many as steps."""
+    steps = rows.groupBy(*keys, "at").agg(F.sum("delta").alias("delta"))
+    return steps.groupBy(*keys).agg(_summed(F.array_sort(F.collect_list(F.struct("at", "delta")))).alias("series"))
+
+
+def rank_trend(edges: DataFrame, up_to: str, last: int | None = None, max_iter: int = 10, reset_prob: float = 0.15) -> DataFrame:
     """PageRank of the graph up to each value of ``up_to`` and its change per step.
 
     ``edges`` holds (src, dst, up_to); an edge counts from its first appearance on. The steps
     end with the largest in the data, or with ``last``; edges first seen later do not count.
+
+    All steps are ranked at once: a vertex has one row with its ranks as a piecewise-constant
+    series (at, value), from the step on that first has it. An edge is stored once, with its
+    first step, and sends the part of its source's series from there on, as changes. What is
+    shuffled are the sums of changes per target and step.
     """
-    first = edges.groupBy("src", "dst").agg(F.min(up_to).alias("_first"))
+    spark = edges.sparkSession
+    ensure_checkpoint_dir(spark)
+    kind = edges.schema[up_to].dataType
+    first = edges.groupBy("src", "dst").agg(F.min(up_to).cast("long").alias("_first"))
     if last is None:
         last = edges.agg(F.max(up_to)).first()[0]
-    prefixes = first.where(F.col("_first") <= F.lit(last)).select(
-        F.explode(F.sequence(F.col("_first"), F.lit(last).cast(first.schema["_first"].dataType))).alias(up_to),
-        "src", "dst",
+    first = first.where(F.col("_first") <= F.lit(last)).persist(StorageLevel.MEMORY_AND_DISK)
+    one = F.lit(1.0).alias("delta")
+    degrees = _merged_series(first.select("src", F.col("_first").alias("at"), one), ["src"]).withColumnRenamed("series", "degrees")
+    born = first.select("_first", F.explode(F.array("src", "dst")).alias("id")).groupBy("id").agg(F.min("_first").alias("_born"))
+    born = born.join(degrees.withColumnRenamed("src", "id"), "id", "left").persist(StorageLevel.MEMORY_AND_DISK)
+    # One row with an entry per step.
+    sizes = _merged_series(born.select(F.lit(0).alias("all"), F.col("_born").alias("at"), one), ["all"]).select("series").scalar()
+    start = F.struct(F.col("_born").alias("at"), (F.lit(1.0) / _level(F.col("_sizes"), F.col("_born"), "value")).alias("value"))
+    later = F.transform(
+        F.filter("_sizes", lambda p: p["at"] > F.col("_born")),
+        lambda p: F.struct(p["at"].alias("at"), (F.lit(1.0) / p["value"]).alias("value")),
+    )
+    try:
+        ranks = born.withColumn("_sizes", sizes).select("id", "_born", "degrees", F.concat(F.array(start), later).alias("ranks")).checkpoint()
+        for _ in range(max_iter):
+            ranks = _trend_round(ranks, born, first, reset_prob).checkpoint()
+        end = F.lit(last).cast("long")
+        steps = ranks.select("id", "ranks", F.explode(F.sequence("_born", end)).alias("_step"))
+        score = lambda step: _level(F.col("ranks"), step, "value")
+        return steps.select(
+            F.col("_step").cast(kind).alias(up_to), "id", score(F.col("_step")).alias("pagerank_score"),
+            (score(F.col("_step")) - score(F.col("_step") - 1)).alias("score_change"),
+        )
+    finally:
+        first.unpersist()
+        born.unpersist()
+
+
+def _trend_round(ranks: DataFrame, born: DataFrame, first: DataFrame, reset: float) -> DataFrame:
+    """One round for all steps; the share of an edge changes where rank or degree of its source do."""
+    steps = F.array_sort(F.array_distinct(F.transform(F.concat("ranks", "degrees"), lambda p: p["at"])))
+    shares = F.transform(steps, lambda t: F.struct(
+        t.alias("at"), (_level(F.col("ranks"), t, "value") / _level(F.col("degrees"), t, "value")).alias("value")
+    ))
+    senders = ranks.filter("degrees IS NOT NULL").select(F.col("id").alias("src"), shares.alias("shares"))
+    begin = F.struct(F.col("_first").alias("at"), _level(F.col("shares"), F.col("_first"), "value").alias("value"))
+    rest = F.filter("shares", lambda p: p["at"] > F.col("_first"))
+    sent = skew_join(first, senders, ["src"]).select("dst", F.concat(F.array(begin), rest).alias("part"))
+    deltas = F.transform("part", lambda p, i: F.struct(
+        p["at"].alias("at"), F.when(i == 0, p["value"]).otherwise(p["value"] - F.get("part", i - 1)["value"]).alias("delta")
+    ))
+    received = _merged_series(
+        sent.select("dst", F.explode(F.filter(deltas, lambda p: p["delta"] != 0)).alias("_d")).select(
+            F.col("dst").alias("id"), "_d.at", "_d.delta"
+        ), ["id"],
+    )
+    alone = F.struct(F.col("_born").alias("at"), F.lit(reset).alias("value"))
+    inflow = F.transform("series", lambda p: F.struct(p["at"].alias("at"), (F.lit(reset) + F.lit(1 - reset) * p["value"]).alias("value")))
+    late = F.col("series").isNull() | (F.get("series", F.lit(0))["at"] > F.col("_born"))
+    rank = F.concat(F.when(late, F.array(alone)).otherwise(F.slice(F.array(alone), 1, 0)), F.coalesce(inflow, F.slice(F.array(alone), 1, 0)))
+    return born.join(received, "id", "left").select("id", "_born", "degrees", rank.alias("ranks"))
+
+
+@dataclass
+class PushedRanks:
+    """``ranks`` (id, pagerank_score) and how many edges carried something to get there."""
+
+    ranks: DataFrame
+    edges_sent: int
+
+
+def push_pagerank(
+    edges: DataFrame, previous: DataFrame | None = None, before: DataFrame | None = None, reset_prob: float = 0.15,
+    tolerance: float = 1e-9, edges_per_split: int = EDGES_PER_SPLIT,
+) -> PushedRanks:
+    """The ranks that ``pagerank`` tends to, by pushing residuals; incremental with ``previous``.
+
+    A vertex has a rank and a residual, what is missing to its equation. In a round the
+    vertices whose residual exceeds ``tolerance`` add it to their rank and send (1 - reset)
+    times it along their edges; others send nothing. With the ranks ``previous`` of the graph
+    ``before``, only sources that gained or lost edges leave residuals at first, what their old
+    edges sent less what their new ones do, so the work follows the change and not the graph.
+    Both edge tables hold distinct (src, dst).
+
+    A round reads ranks and residuals twice, so they are written to the checkpoint folder each time.
+    """
+    spark = edges.sparkSession
+    ensure_checkpoint_dir(spark)
+    if (previous is None) != (before is None):
+        raise ValueError("previous ranks and their edges belong together")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    given = edges.select("src", "dst")
+    degrees = given.groupBy("src").agg(
+        F.count("*").alias("_out"), F.ceil(F.count("*") / edges_per_split).cast("int").alias("_splits")
+    )
+    split = F.pmod(F.xxhash64("dst"), F.col("_splits")).cast("int").alias("_split")
+    local = (
+        skew_join(given, degrees, ["src"]).select("src", split, "dst", (F.lit(1.0) / F.col("_out")).alias("_share"))
+        .repartition(partitions, "src", "_split").sortWithinPartitions("src", "_split").persist(StorageLevel.MEMORY_AND_DISK)
     )
-    scores = pagerank(None, prefixes, [up_to], **options)
-    before = scores.select(
-        (F.col(up_to) + 1).alias(up_to), "id", F.col("pagerank_score").alias("_before")
+    known = edge_vertices(given).join(degrees.withColumnRenamed("src", "id"), "id", "left")
+    reset, sent = F.lit(reset_prob), F.lit(0).cast("long").alias("_sent")
+    if previous is None:
+        state = known.select("id", "_out", "_splits", F.lit(0.0).alias("rank"), reset.alias("rest"), sent)
+    else:
+        ranks = previous.select("id", F.col("pagerank_score").alias("rank"))
+        moved = _moved_shares(given, before.select("src", "dst"), ranks, 1 - reset_prob)
+        state = known.join(ranks, "id", "left").join(moved, "id", "left").select(
+            "id", "_out", "_splits", F.coalesce("rank", F.lit(0.0)).alias("rank"),
+            (F.coalesce("_moved", F.lit(0.0)) + F.when(F.col("rank").isNull(), reset).otherwise(0.0)).alias("rest"), sent,
+        )
+    open_ = F.abs("rest") > tolerance
+    try:
+        state = state.repartition(partitions, "id").sortWithinPartitions("id").checkpoint()
+        while not state.filter(open_).isEmpty():
+            state = _push(state, local, open_, 1 - reset_prob).checkpoint()
+        total = state.agg(F.sum("_sent")).first()[0] or 0
+        return PushedRanks(state.select("id", (F.col("rank") + F.col("rest")).alias("pagerank_score")), total)
+    finally:
+        local.unpersist()
+
+
+def _push(state: DataFrame, local: DataFrame, open_: Column, kept: float) -> DataFrame:
+    senders = state.filter(open_ & F.col("_splits").isNotNull()).select(
+        F.col("id").alias("src"), "rest", F.explode(F.sequence(F.lit(0), F.col("_splits") - 1)).alias("_split")
     )
-    return (
-        scores.join(before, [up_to, "id"], "left")
-        .withColumn("score_change", F.col("pagerank_score") - F.col("_before"))
-        .drop("_before")
+    received = local.join(senders, ["src", "_split"]).groupBy(F.col("dst").alias("id")).agg(
+        F.sum(F.lit(kept) * F.col("rest") * F.col("_share")).alias("_in")
     )
+    taken = F.when(open_, F.col("rest")).otherwise(0.0)
+    return state.join(received, "id", "left").select(
+        "id", "_out", "_splits", (F.col("rank") + taken).alias("rank"),
+        (F.col("rest") - taken + F.coalesce("_in", F.lit(0.0))).alias("rest"),
+        (F.col("_sent") + F.when(open_, F.coalesce("_out", F.lit(0))).otherwise(0)).alias("_sent"),
+    )
+
+
+def _moved_shares(now: DataFrame, before: DataFrame, ranks: DataFrame, kept: float) -> DataFrame:
+    """(id, _moved): what the sources with other edges than before send more or less to ``id``."""
+    pair = ["src", "dst"]
+    changed = now.join(before, pair, "left_anti").unionByName(before.join(now, pair, "left_anti")).select("src").distinct()
+
+    def shares(edges: DataFrame, sign: float) -> DataFrame:
+        own = skew_join(edges, changed, ["src"], "left_semi")
+        degree = own.groupBy("src").agg((F.lit(sign * kept) / F.count("*")).alias("_share"))
+        weighted = degree.join(ranks.withColumnRenamed("id", "src"), "src").select("src", (F.col("_share") * F.col("rank")).alias("_part"))
+        return skew_join(own, weighted, ["src"]).select(F.col("dst").alias("id"), "_part")
+
+    both = shares(now, 1.0).unionByName(shares(before, -1.0))
+    return both.groupBy("id").agg(F.sum("_part").alias("_moved"))
 
 
+def window_edges(edges: DataFrame, step: str, last: int, width: int) -> DataFrame:
+    """Distinct (src, dst) of the ``width`` steps that end with ``last``."""
+    return edges.filter(F.col(step).between(last - width + 1, last)).select("src", "dst").distinct()

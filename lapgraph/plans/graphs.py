@@ -11,7 +11,6 @@ from lapgraph.plans.aggregates import LAP_STATS, SESSION
 from lapgraph.plans.registry import query
 from lapgraph.session import scratch_path
 from lapgraph.sources.sinks import write_messages
-from lapgraph.streaming.gold import warm_pagerank
 
 
 def _node(messages: DataFrame, props: str) -> DataFrame:
@@ -349,12 +348,39 @@ def contributions(fx):
     )
 
 
-@query("GR13_incremental_pagerank", pagerank_sql(GRAPH, rounds=13))
+@query("GR13_incremental_pagerank", pagerank_sql(GRAPH, rounds=40, reset=0.5))
 def incremental_pagerank(fx):
-    """Ten rounds, then three more from the saved scores on the same graph."""
-    edges = fx.graph_big
-    before = pr.pagerank(None, edges)
-    return warm_pagerank(before, edges, max_iter=3)
+    """Ranks of a graph with other edges for a tenth of the suppliers, then pushed on to the graph."""
+    edges = fx.stored("graph_big")
+    own = F.pmod(F.xxhash64("src", "dst"), F.lit(10)) == 0
+    old = edges.filter(~(own & F.col("src").startswith("S"))).unionByName(
+        edges.filter(own & F.col("dst").startswith("S")).select(F.col("dst").alias("src"), F.concat(F.lit("X"), "src").alias("dst"))
+    ).distinct().checkpoint()
+    before = pr.push_pagerank(old, reset_prob=0.5, tolerance=1e-12)
+    return pr.push_pagerank(edges, before.ranks, old, reset_prob=0.5, tolerance=1e-12).ranks
+
+
+WINDOW = 10
+WINDOW_GRAPH = f"""
+    SELECT DISTINCT attacker_id AS src, defender_id AS dst FROM edges
+    WHERE lap_number > (SELECT max(lap_number) FROM edges) - {WINDOW}
+"""
+
+
+@query("GR13_window_pagerank", pagerank_sql(WINDOW_GRAPH, rounds=40, reset=0.5))
+def window_pagerank(fx):
+    """The graph of the last ten laps, moved on two laps at a time; each step pushes what changed."""
+    edges = interaction_events(fx).select(
+        F.col("attacker_id").alias("src"), F.col("defender_id").alias("dst"), "lap_number"
+    ).distinct().checkpoint()
+    last = edges.agg(F.max("lap_number")).first()[0]
+    old = pr.window_edges(edges, "lap_number", last - 4, WINDOW)
+    found = pr.push_pagerank(old, reset_prob=0.5)
+    for at in (last - 2, last):
+        now = pr.window_edges(edges, "lap_number", at, WINDOW)
+        found = pr.push_pagerank(now, found.ranks, old, reset_prob=0.5)
+        old = now
+    return found.ranks
 
 
 TREND_EDGES = """

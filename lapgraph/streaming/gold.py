@@ -318,10 +318,3 @@ def await_all(queries: list[StreamingQuery]) -> None:
     """Wait for queries that end by themselves; a failure of any of them is raised."""
     for query in queries:
         query.awaitTermination()
-
-
-def warm_pagerank(previous: DataFrame, edges: DataFrame, max_iter: int = 3, **options) -> DataFrame:
-    """Incremental update: start from the last scores and run a few rounds on the new graph."""
-    keys = [c for c in previous.columns if c not in ("id", "pagerank_score")]
-    initial = previous.withColumnRenamed("pagerank_score", "rank")
-    return pagerank(None, edges, keys, max_iter=max_iter, initial=initial, **options)

@@ -2,11 +2,13 @@
 
 import math
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from lapgraph.operators import communities, sampling, sketches
-from lapgraph.operators.pagerank import compute_pagerank, pagerank, rank_trend
+from lapgraph.operators.pagerank import compute_pagerank, pagerank, push_pagerank, rank_trend
 from lapgraph.operators.upsert import (
     finish_partials, lap_partials, last_batch, merge_partials, upsert, upsert_edges,
 )
@@ -163,3 +165,53 @@ def test_a_source_with_most_edges_is_split(spark):
     got = {r.id: r.pagerank_score for r in pagerank(None, table, max_iter=3, edges_per_split=50).collect()}
     whole = {r.id: r.pagerank_score for r in pagerank(None, table, max_iter=3).collect()}
     assert got.keys() == whole.keys() and all(math.isclose(got[v], whole[v], rel_tol=1e-9) for v in got)
+
+
+def exact_ranks(edges, reset=0.5):
+    """The fixed point, by many plain rounds."""
+    ids = {v for e in edges for v in e}
+    ranks = dict.fromkeys(ids, reset)
+    degree = {u: sum(e[0] == u for e in edges) for u in ids}
+    for _ in range(60):
+        inflow = dict.fromkeys(ids, 0.0)
+        for u, v in edges:
+            inflow[v] += ranks[u] / degree[u]
+        ranks = {v: reset + (1 - reset) * inflow[v] for v in ids}
+    return ranks
+
+
+def test_pushed_ranks_follow_a_changed_graph(spark):
+    """Chains of which one loses an edge, one gains one, one goes and one is new."""
+    chains = [(f"{c}{i}", f"{c}{(i + 1) % 6}") for c in "abcdefgh" for i in range(6)]
+    old = sorted({*chains, ("hub", "a0"), *((f"{c}0", "hub") for c in "abcdefgh")})
+    new = sorted({e for e in old if e[0][0] != "c" and e[1][0] != "c"} - {("b2", "b3")} | {("d1", "d4"), ("n", "d2")})
+    frame = lambda rows: spark.createDataFrame(rows, "src string, dst string")
+    ranks = lambda pushed: {r.id: r.pagerank_score for r in pushed.ranks.collect()}
+    first = push_pagerank(frame(old), reset_prob=0.5)
+    assert ranks(first) == pytest.approx(exact_ranks(old), abs=1e-7)
+    moved = push_pagerank(frame(new), first.ranks, frame(old), reset_prob=0.5)
+    assert ranks(moved) == pytest.approx(exact_ranks(new), abs=1e-7)
+    assert moved.edges_sent < push_pagerank(frame(new), reset_prob=0.5).edges_sent / 2
+    same = push_pagerank(frame(old), first.ranks, frame(old), reset_prob=0.5)
+    assert same.edges_sent == 0 and ranks(same) == pytest.approx(ranks(first))
+
+
+def test_rank_trend_equals_a_graph_per_step(spark):
+    rng = random.Random(6)
+    rows = sorted({(rng.randrange(12), rng.randrange(12), rng.randint(1, 9)) for _ in range(60)})
+    found = {(r.lap, r.id): (r.pagerank_score, r.score_change) for r in rank_trend(
+        spark.createDataFrame(rows, "src long, dst long, lap int"), "lap", max_iter=4).collect()}
+    expected = {}
+    for lap in range(1, max(r[2] for r in rows) + 1):
+        edges = {(s, d) for s, d, first in rows if first <= lap}
+        ids = {v for e in edges for v in e}
+        ranks = dict.fromkeys(ids, 1 / len(ids) if ids else 0)
+        for _ in range(4):
+            out = {u: sum(e[0] == u for e in edges) for u in ids}
+            ranks = {v: 0.15 + 0.85 * sum(ranks[u] / out[u] for u, w in edges if w == v) for v in ids}
+        for v in ids:
+            before = expected.get((lap - 1, v), (None,))[0]
+            expected[lap, v] = (ranks[v], None if before is None else ranks[v] - before)
+    assert found.keys() == expected.keys()
+    for key, (score, change) in expected.items():
+        assert found[key][0] == pytest.approx(score) and found[key][1] == (change if change is None else pytest.approx(change, abs=1e-9))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lapgraph.operators import facts
 from lapgraph.operators.interactions import overtaken_pairs
 from lapgraph.operators.ordered import (
-    asof_forward, interval_join, lower_side_keys, neighbour_row, number_runs, running_agg,
+    asof_forward, dyadic_cover, interval_join, lower_side_keys, neighbour_row, number_runs, overlap_join, running_agg,
     upper_side_keys,
 )
 from lapgraph.operators.skew import mark_repeats, skew_join
@@ -194,3 +194,35 @@ def test_runs_open_at_a_change_to_null(spark):
     df = spark.createDataFrame(rows, "k string, p int, c string")
     numbered = number_runs(df, ["k"], "p", ["c"], lambda prev: ~prev["c"].eqNullSafe(F.col("c")), 2, "run")
     assert [r.run for r in numbered.orderBy("p").collect()] == [1, 1, 2, 2, 3, 4]
+
+
+def test_dyadic_cover(spark):
+    rng = random.Random(3)
+    spans = [(a, a + rng.choice([0, 1, 2, 7, 30, 500])) for a in (rng.randint(-600, 600) for _ in range(200))]
+    rows = spark.createDataFrame(spans, "a long, b long").select("a", "b", dyadic_cover(F.col("a"), F.col("b")).alias("parts")).collect()
+    for row in rows:
+        blocks = [p.place * 2**p.level + i for p in row.parts for i in range(2**p.level)]
+        assert sorted(blocks) == list(range(row.a, row.b + 1))
+
+
+def test_a_year_in_seconds_has_few_ranges(spark):
+    year = 365 * 86_400
+    rows = spark.createDataFrame([(s, s + year) for s in (1_700_000_001, 1_712_345_677)], "a long, b long")
+    assert all(len(r[0]) < 60 for r in rows.select(dyadic_cover(F.col("a"), F.col("b"))).collect())
+
+
+def test_joins_of_long_and_short_spans(spark):
+    """Lengths from nothing to far more than a block, against all pairs."""
+    rng = random.Random(5)
+    at = lambda s: datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=s)
+    span = lambda i: (i, "k", at(s := rng.randint(0, 5000)), at(s + rng.choice([-5, 0, 1, 60, 3000])))
+    left, right = [span(i) for i in range(60)], [span(i) for i in range(60)]
+    points = [(i, "k", at(rng.randint(0, 8000))) for i in range(80)]
+    a = spark.createDataFrame(left, "l int, key string, a timestamp, b timestamp")
+    b = spark.createDataFrame(right, "r int, key string, c timestamp, d timestamp")
+    p = spark.createDataFrame(points, "p int, key string, ts timestamp")
+    pairs = sorted((x.l, x.r) for x in overlap_join(a, b, ["key"], ("a", "b"), ("c", "d"), 10).collect())
+    valid = lambda x: x[2] <= x[3]
+    assert pairs == sorted((x[0], y[0]) for x in left for y in right if valid(x) and valid(y) and x[2] < y[3] and y[2] < x[3])
+    found = sorted((x.p, x.l) for x in interval_join(p, a, ["key"], "ts", "a", "b", 10).collect())
+    assert found == sorted((x[0], y[0]) for x in points for y in left if y[2] <= x[2] <= y[3])
