@@ -7,7 +7,6 @@ run.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,22 +15,44 @@ from lapgraph.operators.communities import community_members
 from lapgraph.operators.skew import skew_join
 
 
-def label_counts(nodes: Mapping[str, DataFrame]) -> DataFrame:
-    counts = [t.agg(F.count("*").alias("n")).select(F.lit(label).alias("label"), "n") for label, t in nodes.items()]
-    return reduce(DataFrame.unionByName, counts).filter("n > 0")
-
-
-def relation_counts(edges: Mapping[str, DataFrame]) -> DataFrame:
-    counts = [t.agg(F.count("*").alias("n")).select(F.lit(rel).alias("rel"), "n") for rel, t in edges.items()]
-    return reduce(DataFrame.unionByName, counts).filter("n > 0")
-
-
-def graph_statistics(nodes: Mapping[str, DataFrame], edges: Mapping[str, DataFrame]) -> DataFrame:
-    """Every label's node count beside every relation's edge count."""
-    relations = relation_counts(edges).withColumnRenamed("n", "rel_count")
-    labels = label_counts(nodes).withColumnRenamed("n", "node_count")
-    listed = labels.withColumn("rel", F.explode(F.array(*[F.lit(rel) for rel in edges])))
-    return listed.join(relations, "rel")
+def _counted(rows: DataFrame, what: str, counts: Mapping[str, Column]) -> DataFrame:
+    """(what, n) with one row per count, all from one pass over ``rows``."""
+    one = rows.agg(*[count.alias(name) for name, count in counts.items()])
+    return one.unpivot([], list(counts), what, "n").filter("n > 0")
+
+
+def label_counts(laps: DataFrame, teams: DataFrame) -> DataFrame:
+    """Nodes per label; ``laps`` (session_id, driver_id, lap_number) has each lap once."""
+    found = _counted(laps, "label", {
+        "Driver": F.count_distinct("driver_id"), "Session": F.count_distinct("session_id"), "Lap": F.count("*"),
+    })
+    return found.unionByName(_counted(teams, "label", {"Team": F.count("*")}))
+
+
+def relation_counts(laps: DataFrame, interactions: DataFrame) -> DataFrame:
+    """Edges per relation, from the laps and the interactions (rel)."""
+    found = _counted(laps, "rel", {
+        "DROVE_IN": F.count_distinct("session_id", "driver_id"), "COMPLETED_BY": F.count("*"),
+    })
+    return found.unionByName(interactions.groupBy("rel").agg(F.count("*").alias("n")))
+
+
+def graph_statistics(laps: DataFrame, teams: DataFrame, interactions: DataFrame) -> DataFrame:
+    """Every label's node count beside every relation's edge count; the laps are read once."""
+    one = laps.agg(
+        F.count_distinct("driver_id").alias("Driver"), F.count_distinct("session_id").alias("Session"),
+        F.count("*").alias("Lap"), F.count_distinct("session_id", "driver_id").alias("DROVE_IN"),
+    ).withColumn("COMPLETED_BY", F.col("Lap")).withColumn("Team", teams.agg(F.count("*")).scalar())
+    kinds = interactions.groupBy("rel").agg(F.count("*").alias("n")).agg(F.collect_list(F.struct("rel", "n")).alias("_kinds"))
+    entry = lambda name, as_: F.struct(F.lit(name).alias(as_), F.col(name).alias("n"))
+    nodes = F.array(*[entry(name, "label") for name in ("Driver", "Session", "Lap", "Team")])
+    own = F.array(*[entry(name, "rel") for name in ("DROVE_IN", "COMPLETED_BY")])
+    both = one.withColumn("_kinds", kinds.scalar()).select(
+        F.explode(nodes).alias("node"), F.concat(own, F.col("_kinds").cast("array<struct<rel: string, n: bigint>>")).alias("rels")
+    )
+    return both.select("node", F.explode("rels").alias("edge")).select(
+        "node.label", F.col("node.n").alias("node_count"), "edge.rel", F.col("edge.n").alias("rel_count")
+    ).filter("node_count > 0 AND rel_count > 0")
 
 
 def top(df: DataFrame, n: int, order: list[Column]) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapgraph.operators.components import components
 from lapgraph.operators.profiles import FEATURES, driver_features
 from lapgraph.operators.skew import skew_join
 
@@ -82,22 +83,52 @@ def hashed_communities(features: DataFrame, column: str = "features") -> DataFra
     return features.select("driver_id", F.concat(F.lit("comm_"), bucket).alias("community_id"))
 
 
-def vector_communities(features: DataFrame, bucket_length: float, tables: int = 3, seed: int = 7) -> DataFrame:
-    """Random-projection LSH over the dense features; the community joins all tables' buckets."""
+def _named(features: DataFrame) -> DataFrame:
+    return features.withColumn("name", F.concat_ws("/", "driver_id", "session_id"))
+
+
+def _labelled(named: DataFrame, links: DataFrame) -> DataFrame:
+    """The community of each driver session is named after the smallest one it is linked with."""
+    found = components(links).withColumnsRenamed({"id": "name", "component": "_first"})
+    label = F.concat(F.lit("comm_"), F.coalesce("_first", "name")).alias("community_id")
+    return named.join(found, "name", "left").select("driver_id", "session_id", label)
+
+
+def linked_communities(
+    features: DataFrame, widths: Mapping[str, float], similarity: float = 0.8, tables: int = 5
+) -> DataFrame:
+    """Communities over all hash tables: driver sessions that meet in any table and share at
+    least ``similarity`` of their bins are linked, and linked ones make one community.
+
+    Equal styles are linked to the first of them, so only different styles meet in a table.
+    """
+    named = _named(features).select("driver_id", "session_id", "name", F.array_sort(style_tokens(widths)).alias("style"))
+    firsts = named.groupBy("style").agg(F.min("name").alias("first")).checkpoint()
+    equal = skew_join(named, firsts, ["style"]).filter("name <> first").select(F.col("name").alias("src"), F.col("first").alias("dst"))
+    hashed = firsts.select("first", "style", F.posexplode(minhash(F.col("style"), tables)).alias("table", "value"))
+    other = hashed.select(F.col("first").alias("other"), F.col("style").alias("_style"), "table", "value")
+    share = F.size(F.array_intersect("style", "_style")) / F.size(F.array_union("style", "_style"))
+    alike = hashed.join(other, ["table", "value"]).filter(F.col("first") < F.col("other")).filter(share >= similarity)
+    return _labelled(named, equal.unionByName(alike.select(F.col("first").alias("src"), F.col("other").alias("dst"))).distinct())
+
+
+def near_communities(features: DataFrame, distance: float, tables: int = 8, seed: int = 7) -> DataFrame:
+    """Communities of driver sessions linked where their features are less than ``distance`` apart.
+
+    Pairs come from random projections with buckets of ten distances: two points within the
+    distance are in different buckets of one table with a chance below a tenth, and of all
+    eight below one in a hundred million.
+    """
     from pyspark.ml.feature import BucketedRandomProjectionLSH, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
 
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(features)
+    named = _named(features)
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(named).select("name", "vector")
     model = BucketedRandomProjectionLSH(
-        inputCol="vector", outputCol="buckets", bucketLength=bucket_length,
-        numHashTables=tables, seed=seed,
+        inputCol="vector", outputCol="buckets", bucketLength=10 * distance, numHashTables=tables, seed=seed
     ).fit(vectors)
-    parts = [
-        vector_to_array(F.col("buckets")[i])[0].cast("bigint").cast("string") for i in range(tables)
-    ]
-    return model.transform(vectors).select(
-        "driver_id", "session_id", F.concat_ws("_", F.lit("comm"), *parts).alias("community_id")
-    )
+    pairs = model.approxSimilarityJoin(vectors, vectors, distance, "apart")
+    links = pairs.select(F.col("datasetA.name").alias("src"), F.col("datasetB.name").alias("dst")).filter("src < dst")
+    return _labelled(named, links)
 
 
 def community_sizes(communities: DataFrame) -> DataFrame:

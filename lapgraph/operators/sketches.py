@@ -61,31 +61,27 @@ def within(estimate: Column, exact: Column, relative: float, slack: float = 1.0)
     return F.abs(estimate - exact) <= F.greatest(exact * F.lit(relative), F.lit(slack))
 
 
-def quantile_report(
-    df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], accuracy: int
-) -> DataFrame:
-    """Approximate quantiles per group with their true rank.
+#: The k of a KLL sketch, and the share of rows by which the rank of its quantiles may be off.
+KLL_K, KLL_ERROR = 400, 0.01
 
-    Returns keys, rows (group size), probability, quantile, rank (rows <= quantile) and
-    below (rows < quantile); the true quantile position lies in between.
-    """
-    quantiles = df.groupBy(*keys).agg(
-        F.percentile_approx(value, [float(p) for p in probabilities], accuracy).alias("_q"),
-        F.count(value).alias("rows"),
-    )
-    ranks = skew_join(df.select(*keys, value), quantiles, keys).groupBy(*keys, "rows").agg(
-        *[
-            F.struct(
-                F.lit(float(p)).alias("probability"),
-                F.first(F.col("_q")[i]).alias("quantile"),
-                F.count_if(F.col(value) <= F.col("_q")[i]).alias("rank"),
-                F.count_if(F.col(value) < F.col("_q")[i]).alias("below"),
-            ).alias(f"_p{i}")
-            for i, p in enumerate(probabilities)
-        ]
-    )
-    packed = F.array(*[F.col(f"_p{i}") for i in range(len(probabilities))])
-    return ranks.select(*keys, "rows", F.explode(packed).alias("_p")).select(*keys, "rows", "_p.*")
+
+def kll_partials(df: DataFrame, keys: Sequence[str], value: str, k: int = KLL_K) -> DataFrame:
+    """(keys, sketch): a mergeable quantile sketch of whole numbers per group; NULLs do not count."""
+    present = df.filter(F.col(value).isNotNull())
+    return present.groupBy(*keys).agg(F.kll_sketch_agg_bigint(F.col(value).cast("bigint"), F.lit(k)).alias("sketch"))
+
+
+def merge_kll(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One sketch per group from sketches of any parts of its rows."""
+    return partials.groupBy(*keys).agg(F.kll_merge_agg_bigint("sketch").alias("sketch"))
+
+
+def kll_quantiles(sketches: DataFrame, keys: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """(keys, rows, probability, quantile) from one sketch per group."""
+    asked = F.array(*[F.lit(float(p)) for p in probabilities])
+    both = F.arrays_zip(asked.alias("probability"), F.kll_sketch_get_quantile_bigint("sketch", asked).alias("quantile"))
+    rows = sketches.select(*keys, F.kll_sketch_get_n_bigint("sketch").alias("rows"), F.explode(both).alias("_q"))
+    return rows.select(*keys, "rows", F.col("_q.probability").alias("probability"), F.col("_q.quantile").alias("quantile"))
 
 
 def frequent_items(df: DataFrame, item: str, n: int, tracked: int = 100_000) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lapgraph.operators import analytics, facts, graph, pagerank as pr, profiles
 from lapgraph.operators.interactions import overtakes
 from lapgraph.operators.skew import skew_join
-from lapgraph.operators.upsert import upsert_edges
+from lapgraph.operators.upsert import LAP, lap_partials, upsert_edges
 from lapgraph.plans.aggregates import LAP_STATS, SESSION
 from lapgraph.plans.detection import OVERTAKES
 from lapgraph.plans.graphs import (
@@ -48,16 +48,10 @@ class Graph:
     def of(self, rel):
         return self.interactions.filter(F.col("rel") == rel)
 
-    @property
-    def nodes(self):
-        return {"Driver": self.drivers, "Session": self.sessions, "Lap": self.laps, "Team": self.fx.teams}
-
-    @property
-    def edges(self):
-        return {
-            "DROVE_IN": self.drove_in, "COMPLETED_BY": self.laps,
-            "OVERTAKE": self.of("OVERTAKE"), "BATTLE": self.of("BATTLE"),
-        }
+    @cached_property
+    def lap_keys(self):
+        """Each lap once, as the lap aggregates have it."""
+        return lap_partials(self.fx.telemetry, sketch_of=None).select(*LAP)
 
 
 NODE_COUNTS = """
@@ -75,12 +69,13 @@ EDGE_COUNTS = """
 
 @query("GQ1_node_counts", NODE_COUNTS)
 def node_counts(fx):
-    return analytics.label_counts(Graph(fx).nodes).orderBy(F.desc("n"), "label")
+    return analytics.label_counts(Graph(fx).lap_keys, fx.teams).orderBy(F.desc("n"), "label")
 
 
 @query("GQ2_relation_counts", EDGE_COUNTS)
 def relation_counts(fx):
-    return analytics.relation_counts(Graph(fx).edges).orderBy(F.desc("n"), "rel")
+    g = Graph(fx)
+    return analytics.relation_counts(g.lap_keys, g.interactions).orderBy(F.desc("n"), "rel")
 
 
 NAMES = "SELECT driver_id, min(driver_name) AS driver_name FROM telemetry GROUP BY driver_id"
@@ -201,7 +196,7 @@ def latest_edge_summary(fx):
 """)
 def graph_statistics(fx):
     g = Graph(fx)
-    return analytics.graph_statistics(g.nodes, g.edges)
+    return analytics.graph_statistics(g.lap_keys, fx.teams, g.interactions)
 
 
 @query("GQ12a_sample_driver", """

@@ -308,31 +308,32 @@ def overtake_tags(fx):
     return tagged.select("session_id", "attacker_id", "defender_id", "lap_number", "overtake_type")
 
 
-@query("SNK10_fact_tables", f"""
-    SELECT 'fact_lap' AS fact, count(*) AS rows FROM ({FACT_LAP}) a
-    UNION ALL SELECT 'fact_stint', count(*) FROM ({FACT_STINT}) b
-    UNION ALL SELECT 'fact_driver_session', count(*) FROM ({DRIVER_SESSION.format(edges=f"({OVERTAKES}) o")}) c
-    UNION ALL SELECT 'fact_overtakes', count(*) FROM ({OVERTAKES}) d
-""")
+def _facts(fact: str, table: str, measure: str, keys: str = "session_id, driver_id") -> str:
+    return f"SELECT '{fact}' AS fact, concat_ws('/', {keys}) AS key, CAST({measure} AS DOUBLE) AS measure FROM ({table}) t"
+
+
+SNK10 = {
+    "fact_lap": (FACT_LAP, "fuel_used_kg", "session_id, driver_id, CAST(lap_number AS STRING)"),
+    "fact_stint": (FACT_STINT, "avg_pace_ms", "stint_id"),
+    "fact_driver_session": (DRIVER_SESSION.format(edges=f"({OVERTAKES}) o"), "influence_score", "session_id, driver_id"),
+    "fact_overtakes": (OVERTAKES, "delta_time_ms", "event_id"),
+}
+
+
+@query("SNK10_fact_tables", " UNION ALL ".join(_facts(name, *rest[:2], rest[2]) for name, rest in SNK10.items()))
 def fact_tables(fx):
+    """Key and one measure of every row of the four tables, as read back. What several tables are
+    made of is written first and read again."""
     base = scratch_path(fx.spark, "facts")
     laps = fx.stored("laps")
-    lap_facts = facts.fact_lap(fx.telemetry, laps)
-    passes = race.overtakes(laps)
-    tables = {
-        "fact_lap": lap_facts,
-        "fact_stint": facts.fact_stint(facts.with_stints(laps), lap_facts),
-        "fact_driver_session": facts.fact_driver_session(passes),
-        "fact_overtakes": passes,
-    }
-    write_tables(tables, base, 0)
-    counts = [
-        fx.spark.read.parquet(f"{base}/{name}").agg(F.count("*").alias("rows")).select(
-            F.lit(name).alias("fact"), "rows"
-        )
-        for name in tables
-    ]
-    merged = counts[0]
-    for count in counts[1:]:
-        merged = merged.unionByName(count)
-    return merged
+    write_tables({"fact_lap": facts.fact_lap(fx.telemetry, laps), "fact_overtakes": race.overtakes(laps)}, base, 0)
+    read = lambda name: fx.spark.read.parquet(f"{base}/{name}")
+    write_tables({
+        "fact_stint": facts.fact_stint(facts.with_stints(laps), read("fact_lap")),
+        "fact_driver_session": facts.fact_driver_session(read("fact_overtakes")),
+    }, base, 0)
+    found = None
+    for name, (_, measure, keys) in SNK10.items():
+        rows = read(name).selectExpr(f"'{name}' AS fact", f"concat_ws('/', {keys}) AS key", f"CAST({measure} AS DOUBLE) AS measure")
+        found = rows if found is None else found.unionByName(rows)
+    return found

@@ -179,6 +179,8 @@ def with_views(sql: str) -> str:
     body = sql.strip()
     if not parts:
         return body
+    if found := re.match(r"WITH\s+RECURSIVE\b", body, re.I):
+        return f"WITH RECURSIVE {', '.join(parts)}, {body[found.end():].strip()}"
     if re.match(r"WITH\b", body, re.I):
         return f"WITH {', '.join(parts)}, {body[4:].strip()}"
     return f"WITH {', '.join(parts)} {body}"

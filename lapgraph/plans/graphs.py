@@ -154,16 +154,20 @@ def repeated_ids(fx):
     return graph.repeated_ids({"Driver": fx.drivers, "Team": fx.teams, "Lap": short})
 
 
-@query("GR14_unique_graph", "SELECT 'x' AS label, 'x' AS id, 1::BIGINT AS copies WHERE FALSE")
+@query("GR14_unique_graph", """
+    SELECT 'Driver' AS label, driver_id AS id, 2::BIGINT AS copies FROM drivers WHERE driver_no % 7 = 0
+    UNION ALL SELECT 'Session', session_id, 2 FROM telemetry WHERE session_id = 'error' GROUP BY session_id
+    UNION ALL SELECT 'Lap', concat(session_id, ':', driver_id, ':', CAST(lap_number AS STRING)), 2 FROM telemetry
+              WHERE driver_no = 3 GROUP BY session_id, driver_id, lap_number
+""")
 def unique_graph(fx):
-    return graph.repeated_ids(
-        {
-            "Driver": profiles.driver_stats(fx.telemetry),
-            "Session": profiles.session_span(fx.telemetry),
-            "Lap": profiles.lap_stats(fx.telemetry),
-            "Team": fx.teams,
-        }
-    )
+    """Node tables with the nodes of some drivers, a session and their laps written twice."""
+    again = {"Driver": "driver_no % 7 = 0", "Session": "session_id = 'error'", "Lap": "driver_no = 3"}
+    build = {"Driver": profiles.driver_stats, "Session": profiles.session_span, "Lap": profiles.lap_stats}
+    nodes = {
+        label: make(fx.telemetry).unionByName(make(fx.telemetry.filter(again[label]))) for label, make in build.items()
+    }
+    return graph.repeated_ids({**nodes, "Team": fx.teams})
 
 
 def interaction_events(fx) -> DataFrame:
@@ -448,18 +452,45 @@ def driver_community_table(fx):
     return driver_communities(fx).drop("hashes")
 
 
-@query("GR12_projection_communities", f"SELECT driver_id, session_id, TRUE AS consistent FROM ({FEATURE_SQL}) f")
+def _linked(pairs: str, rows: str) -> str:
+    """Smallest reachable name per row, by labels that spread over ``pairs`` (a, b)."""
+    return f"""
+        WITH RECURSIVE m AS MATERIALIZED ({rows}), p AS MATERIALIZED ({pairs}),
+        reach(a, b) AS (SELECT name, name FROM m UNION SELECT r.a, p.b FROM reach r JOIN p ON p.a = r.b)
+        SELECT m.driver_id, m.session_id, concat('comm_', min(b)) AS community_id FROM m JOIN reach ON a = name
+        GROUP BY ALL
+    """
+
+
+NAMED = f"SELECT *, concat(driver_id, '/', session_id) AS name, {TOKEN_SQL} AS tokens FROM ({FEATURE_SQL}) f"
+TABLE_HASHES = "[" + ", ".join(
+    f"list_min(list_transform(tokens, lambda t: md5(concat('{i}:', t))))" for i in range(5)
+) + "]"
+STYLE_PAIRS = f"""
+    SELECT x.name AS a, y.name AS b FROM (SELECT *, {TABLE_HASHES} AS h FROM m) x, (SELECT *, {TABLE_HASHES} AS h FROM m) y
+    WHERE len(list_filter(list_zip(x.h, y.h), lambda z: z[1] = z[2])) > 0
+      AND len(list_intersect(x.tokens, y.tokens)) * 100 >= 60 * len(list_distinct(list_concat(x.tokens, y.tokens)))
+"""
+
+
+@query("GR11_linked_communities", _linked(STYLE_PAIRS, NAMED))
+def linked_communities(fx):
+    """Driver sessions that share a value in any of five tables and three fifths of their bins."""
+    return communities.linked_communities(profiles.driver_features(fx.telemetry), WIDTHS, similarity=0.6)
+
+
+NEAR = 60.0
+NEAR_PAIRS = f"""
+    SELECT x.name AS a, y.name AS b FROM m x, m y
+    WHERE sqrt((x.avg_speed - y.avg_speed) ** 2 + (x.avg_throttle - y.avg_throttle) ** 2
+               + (x.avg_brake - y.avg_brake) ** 2 + (x.max_rpm - y.max_rpm) ** 2) < {NEAR}
+"""
+
+
+@query("GR12_projection_communities", _linked(NEAR_PAIRS, NAMED))
 def projection_communities(fx):
-    """Random projections differ from engine to engine; what must hold is that every driver
-    session with the same features is in one community."""
-    features = profiles.driver_features(fx.telemetry)
-    found = communities.vector_communities(features, 500.0).join(
-        features.select("driver_id", "session_id", "features"), ["driver_id", "session_id"]
-    )
-    per_vector = found.groupBy("features").agg(F.count_distinct("community_id").alias("n"))
-    return found.join(per_vector, "features").select(
-        "driver_id", "session_id", (F.col("n") == 1).alias("consistent")
-    )
+    """Driver sessions whose features lie near each other, found by random projections."""
+    return communities.near_communities(profiles.driver_features(fx.telemetry), NEAR)
 
 
 @query("AGG24_community_sizes", f"""

@@ -462,7 +462,7 @@ def message_counts(fx):
     return quality.message_counts(fx.kafka_log())
 
 
-@query("AGG22_null_rates", """
+NULL_RATES = """
     SELECT 'session_id' AS column_name, count(*) FILTER (WHERE session_id IS NULL) AS null_count,
            round(count(*) FILTER (WHERE session_id IS NULL) / count(*), 6) AS null_rate FROM dirty
     UNION ALL SELECT 'driver_id', count(*) FILTER (WHERE driver_id IS NULL),
@@ -471,7 +471,10 @@ def message_counts(fx):
            round(count(*) FILTER (WHERE lap_number IS NULL) / count(*), 6) FROM dirty
     UNION ALL SELECT 'speed_kph', count(*) FILTER (WHERE speed_kph IS NULL),
            round(count(*) FILTER (WHERE speed_kph IS NULL) / count(*), 6) FROM dirty
-""")
+"""
+
+
+@query("AGG22_null_rates", NULL_RATES)
 def null_rates(fx):
     return quality.null_rates(fx.dirty, ["session_id", "driver_id", "lap_number", "speed_kph"])
 

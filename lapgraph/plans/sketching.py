@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lapgraph.operators import sampling, sketches
 from lapgraph.plans.registry import query
 
+
 @query("WIN1_mark_duplicates", """
     SELECT row_hash, l_shipdate AS kafka_timestamp, l_partkey, l_suppkey, l_quantity, l_extendedprice,
            rn > 1 AS is_duplicate, rn = 1 AS dedup_bloomfilter_flag
@@ -72,35 +73,55 @@ def cardinality_join(fx):
 
 
 PROBABILITIES = [0.25, 0.5, 0.75, 0.95]
-ACCURACY = 1000
+QUANTILE_CHECK = """
+    SELECT session_id, count({value}) AS rows, p AS probability, TRUE AS within_bound
+    FROM {table}, (SELECT unnest([0.25::DOUBLE, 0.5::DOUBLE, 0.75::DOUBLE, 0.95::DOUBLE]) AS p) q
+    WHERE {value} IS NOT NULL GROUP BY session_id, p
+"""
 
 
-@query("AGG23_quantiles", """
-    SELECT session_id, count(lap_time_ms) AS rows, p AS probability, TRUE AS within_bound
-    FROM laps, (SELECT unnest([0.25::DOUBLE, 0.5::DOUBLE, 0.75::DOUBLE, 0.95::DOUBLE]) AS p) q
-    WHERE lap_time_ms IS NOT NULL GROUP BY session_id, p
-""")
+def _ranked(quantiles, rows, value: str):
+    """Whether the reported quantiles have about the rank they should, counted in the rows."""
+    found = quantiles.join(rows.select("session_id", value), "session_id").groupBy(*quantiles.columns).agg(
+        F.count_if(F.col(value) < F.col("quantile")).alias("below"), F.count_if(F.col(value) <= F.col("quantile")).alias("rank")
+    )
+    target, slack = F.col("probability") * F.col("rows"), F.col("rows") * F.lit(sketches.KLL_ERROR) + 1
+    good = (F.col("below") - slack <= target) & (target <= F.col("rank") + slack)
+    return found.select("session_id", "rows", "probability", good.alias("within_bound"))
+
+
+@query("AGG23_quantiles", QUANTILE_CHECK.format(value="lap_time_ms", table="laps"))
 def quantiles(fx):
-    """The rank of each reported quantile is checked against the rows themselves."""
     laps = fx.laps.filter("lap_time_ms IS NOT NULL")
-    report = sketches.quantile_report(laps, ["session_id"], "lap_time_ms", PROBABILITIES, ACCURACY)
-    target, slack = F.col("probability") * F.col("rows"), F.col("rows") / F.lit(ACCURACY) + 1
-    good = (F.col("below") - slack <= target) & (target <= F.col("rank") + slack)
-    return report.select("session_id", "rows", "probability", good.alias("within_bound"))
+    sketch = sketches.kll_partials(laps, ["session_id"], "lap_time_ms")
+    return _ranked(sketches.kll_quantiles(sketch, ["session_id"], PROBABILITIES), laps, "lap_time_ms")
+
+
+@query("AGG23_merged_quantiles", QUANTILE_CHECK.format(value="speed_kph", table="telemetry"))
+def merged_quantiles(fx):
+    """Sketches of each lap in each of five batches, merged to sessions."""
+    key = ["session_id", "lap_number"]
+    partials = None
+    for batch in range(5):
+        part = sketches.kll_partials(fx.telemetry.filter(F.col("sequence_number") % 5 == batch), key, "speed_kph")
+        partials = part if partials is None else partials.unionByName(part)
+    merged = sketches.merge_kll(sketches.merge_kll(partials, key), ["session_id"])
+    return _ranked(sketches.kll_quantiles(merged, ["session_id"], PROBABILITIES), fx.telemetry, "speed_kph")
 
 
-@query("AGG23_count_min", """
-    SELECT l_partkey, count(*) AS exact_count, TRUE AS within_bound FROM lineitem GROUP BY l_partkey
+@query("AGG23_frequent_items", """
+    SELECT l_suppkey, count(*) AS exact_count, TRUE AS within_bound FROM lineitem
+    GROUP BY l_suppkey ORDER BY count(*) DESC, l_suppkey LIMIT 50
 """)
-def count_min(fx):
-    """Frequency sketch: the estimates of the most frequent parts beside all exact counts."""
-    exact = fx.lineitem.groupBy("l_partkey").agg(F.count("*").alias("exact_count"))
-    sketch = sketches.frequent_items(fx.lineitem, "l_partkey", 1000)
+def frequent_items(fx):
+    """The fifty most frequent suppliers by the sketch, each estimate beside the exact count."""
+    top = sketches.frequent_items(fx.lineitem, "l_suppkey", 10_000)
+    named = top.orderBy(F.desc("estimated_count"), "l_suppkey").limit(50)
+    exact = fx.lineitem.groupBy("l_suppkey").agg(F.count("*").alias("exact_count"))
     total = fx.lineitem.agg(F.count("*")).scalar()
     off = F.abs(F.col("estimated_count") - F.col("exact_count"))
-    good = F.coalesce(off <= F.ceil(total / F.lit(100_000)), F.lit(True))
-    return exact.join(sketch, "l_partkey", "left").select(
-        "l_partkey", "exact_count", good.alias("within_bound")
+    return named.join(exact, "l_suppkey").select(
+        "l_suppkey", "exact_count", (off <= F.ceil(total / F.lit(100_000))).alias("within_bound")
     )
 
 

@@ -15,13 +15,15 @@ from lapgraph.operators.upsert import lap_partials, merge_partials
 from lapgraph.plans.aggregates import RUNNING
 from lapgraph.plans.detection import BATTLES
 from lapgraph.plans.facts import STINTS
+
 from lapgraph.plans.graphs import COMMUNITY_SQL, SESSION_GRAPH, WIDTHS, pagerank_sql
+from lapgraph.plans.ingest import NULL_RATES
 from lapgraph.plans.registry import query
 from lapgraph.schemas import RACE_EVENT, TELEMETRY
 from lapgraph.session import scratch_path
-from lapgraph.sources.sinks import append_stream, start_bronze, table_name, write_tables
+from lapgraph.sources.sinks import append_stream, start_bronze, table_name
 from lapgraph.sources.tables import stream_table
-from lapgraph.streaming import stateful
+from lapgraph.streaming import monitor, stateful
 from lapgraph.streaming.buckets import BucketedTable
 from lapgraph.streaming.gold import GoldTables, await_all, start_gold
 from lapgraph.streaming.monitor import follow_progress, progress_summary
@@ -75,16 +77,19 @@ class Run:
         return self.spark.read.schema(stream.schema).parquet(self.path(name))
 
 
-def _bronze(fx, run: Run, topic: str, schema) -> dict:
+def _bronze_queries(fx, run: Run, topic: str, schema) -> dict:
     log = fx.kafka_log().filter(F.col("topic") == topic)
     raw = raw_records(run.feed(log, f"log-{topic}", batches=2))
     queries = start_bronze(
         raw, topic, schema, run.path("bronze"), run.path("checkpoint"), available_now=True
     )
-    await_all(list(queries.values()))
     return queries
 
 
+def _bronze(fx, run: Run, topic: str, schema) -> None:
+    await_all(list(_bronze_queries(fx, run, topic, schema).values()))
+
+
 PARSED = """
     SELECT CASE WHEN k % 7 <> 0 THEN session_id END AS session_id, CASE WHEN k % 7 <> 0 THEN lap_number END AS lap_number,
            partition_id AS partition, offset_id AS "offset", topic AS bronze_topic
@@ -246,17 +251,17 @@ def event_time_dedup(fx):
     FROM telemetry GROUP BY session_id, driver_id, lap_number
 """)
 def running_laps(fx):
-    """Each batch writes the aggregates of its own rows; a lap's total is their merge, so no
-    lap stays in executor memory."""
+    """Each batch merges the aggregates of its rows into those of the same laps on storage, so no
+    lap stays in executor memory and a lap is one row."""
     run = Run(fx, "str7")
     laps = ["session_id", "driver_id", "lap_number"]
+    table = BucketedTable(fx.spark, run.path("laps"), laps, by=["session_id"])
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        write_tables({"laps": lap_partials(batch, sketch_of=None)}, run.path("partials"), batch_id)
+        table.merge(lap_partials(batch, sketch_of=None), merge_partials, batch_id)
 
     start_gold(run.feed(fx.telemetry), save, run.path("checkpoint"), available_now=True).awaitTermination()
-    merged = merge_partials(fx.spark.read.parquet(run.path("partials", "laps")))
-    return merged.select(
+    return table.read().select(
         *laps, "samples", "sum_speed_kph", "max_speed_kph", "min_speed_kph", F.col("last_event_ts").alias("event_ts")
     )
 
@@ -576,3 +581,25 @@ def progress(fx):
     return progress_summary(done, trigger_ms=600_000).select(
         "batches", "input_rows", "last_batch", "falling_behind"
     )
+
+
+@query("AGG22_observed_null_rates", NULL_RATES)
+def observed_null_rates(fx):
+    """The batch figures of AGG22, counted by the stream itself in four batches."""
+    run = Run(fx, "agg22")
+    columns = ["session_id", "driver_id", "lap_number", "speed_kph"]
+    stream = monitor.observe_quality(run.feed(fx.dirty.select(*columns)), columns)
+    started = append_stream(stream, run.path("out"), run.path("checkpoint"), available_now=True)
+    return monitor.observed_null_rates(follow_progress(fx.spark, [started], run.path("progress")))
+
+
+@query("STR11_observed_rejects", """
+    SELECT count(*) AS rows, count(*) FILTER (WHERE k % 7 = 0) AS rejected FROM log WHERE topic = 'telemetry.raw'
+""")
+def observed_rejects(fx):
+    """What the bronze stream of a topic reports: records read and records that could not be parsed."""
+    run = Run(fx, "str11r")
+    started = _bronze_queries(fx, run, "telemetry.raw", TELEMETRY)
+    parsed = started[table_name("telemetry.raw", "parsed")]
+    totals = monitor.observed_totals(follow_progress(fx.spark, [parsed], run.path("progress")))
+    return totals.groupBy().pivot("metric", ["rows", "rejected"]).agg(F.first("total"))

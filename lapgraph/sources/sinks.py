@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lapgraph.operators.parsing import parsed_records, split_unparseable
+from lapgraph.streaming.monitor import observe_quality
 
 # Trigger intervals of the two stages.
 BRONZE_TRIGGER = "30 seconds"
@@ -57,8 +59,15 @@ def start_bronze(
     table_type: str = "parquet",
     available_now: bool = False,
 ) -> dict[str, StreamingQuery]:
-    """The raw and the parsed table of one topic as two append streams."""
-    frames = {"raw": raw, "parsed": parsed_records(raw, schema, topic)}
+    """The raw and the parsed table of one topic as two append streams.
+
+    The parsed stream reports rows, NULLs of the required ids and rejected (unparseable) records
+    as it runs, see ``streaming.monitor.observe_quality``.
+    """
+    parsed = parsed_records(raw, schema, topic)
+    required = [c for c in ("session_id", "driver_id") if c in parsed.columns]
+    unusable = reduce(Column.__and__, [F.col(c).isNull() for c in schema.names]) if required else None
+    frames = {"raw": raw, "parsed": observe_quality(parsed, required, unusable) if required else parsed}
     return {
         table_name(topic, kind): append_stream(
             frame,

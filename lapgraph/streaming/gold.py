@@ -24,6 +24,7 @@ from lapgraph.operators.pagerank import pagerank
 from lapgraph.operators.profiles import driver_identity, session_span
 from lapgraph.operators.sampling import bottom_k, merged_sample
 from lapgraph.operators.selection import with_ids
+from lapgraph.operators.sketches import kll_partials, kll_quantiles, merge_kll
 from lapgraph.operators.skew import skew_join
 from lapgraph.operators.upsert import LAP, finish_partials, lap_partials, last_batch, latest_per_key, merge_partials
 from lapgraph.sources.sinks import GOLD_TRIGGER, trigger_options, write_tables
@@ -59,7 +60,8 @@ class GoldTables:
     ``sample_size`` adds a uniform sample of the whole stream, ``style_widths`` (bin width per
     feature) the driving-style communities of the drivers. With the dimensions ``drivers``
     (driver_id, team_id) and ``teams`` (team_id, name, engine_supplier) the teams of the drivers
-    that a batch has become Team nodes and RACES_FOR edges. ``keep_partials`` also keeps the
+    that a batch has become Team nodes and RACES_FOR edges. ``quantiles`` keeps a mergeable sketch
+    of the speeds of each lap. ``keep_partials`` also keeps the
     lap aggregates of each batch by themselves, which ``last_batch`` roll-ups read.
     """
 
@@ -68,14 +70,14 @@ class GoldTables:
         "DROVE_IN": ["driver_id", "session_id"], "COMPLETED_BY": ["lap_id"], "RACES_FOR": ["driver_id"],
         "OVERTAKE": ["src", "dst"], "BATTLE": ["src", "dst"], "pairs": ["session_id", "rel", "src", "dst"],
         "Driver-events": ["driver_id"], "Session-events": ["session_id"], "Driver-names": ["driver_id"],
-        "Driver-scores": ["driver_id"], "features": ["driver_id", "session_id"],
+        "Driver-scores": ["driver_id"], "features": ["driver_id", "session_id"], "speeds": LAP,
     }
-    BY = {"Lap": ["session_id"], "pairs": ["session_id"]}
+    BY = {"Lap": ["session_id"], "pairs": ["session_id"], "speeds": ["session_id"]}
 
     def __init__(
         self, spark: SparkSession, base: str, sample_size: int | None = None,
         style_widths: dict[str, float] | None = None, drivers: DataFrame | None = None,
-        teams: DataFrame | None = None, keep_partials: bool = False, buckets: int = 32,
+        teams: DataFrame | None = None, keep_partials: bool = False, quantiles: bool = False, buckets: int = 32,
     ):
         self.spark = spark
         self.base = base
@@ -83,6 +85,7 @@ class GoldTables:
         self.style_widths = style_widths
         self.drivers, self.teams = drivers, teams
         self.keep_partials = keep_partials
+        self.quantiles = quantiles
         self.buckets = buckets
         self.samples = VersionedTable(spark, f"{base}/sample")
 
@@ -117,6 +120,10 @@ class GoldTables:
                 ))
             if self.drivers is not None and self.teams is not None:
                 steps.append(lambda: self._racing(laps, batch_id))
+            if self.quantiles:
+                steps.append(lambda: self.table("speeds").merge(
+                    kll_partials(cleaned, LAP, "speed_kph"), lambda rows: merge_kll(rows, LAP), batch_id
+                ))
             if self.sample_size is not None:
                 steps.append(lambda: self._sample(cleaned, batch_id))
             if self.style_widths is not None:
@@ -208,6 +215,10 @@ class GoldTables:
         """A uniform sample of all rows so far."""
         return merged_sample(self.samples.read(), "sequence_number", self.sample_size)
 
+    def speed_quantiles(self, keys: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+        """Quantiles of the speed at the lap or any level above it."""
+        return kll_quantiles(merge_kll(self.table("speeds").read(), keys), keys, probabilities)
+
     def communities(self) -> DataFrame:
         """The driving-style community of each driver session over all batches."""
         return lsh_communities(merged_features(self.table("features").read()), self.style_widths).drop("hashes")

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.listener import StreamingQueryListener
 
 PROGRESS_DDL = (
     "query string, batch_id bigint, input_rows bigint, duration_ms bigint, "
-    "dropped_late_rows bigint, end_offsets string"
+    "dropped_late_rows bigint, end_offsets string, observed string"
 )
+#: The name under which ``observe_quality`` reports.
+QUALITY = "quality"
 
 
 def _row(progress: dict) -> tuple:
@@ -26,6 +28,33 @@ def _row(progress: dict) -> tuple:
         progress.get("durationMs", {}).get("triggerExecution", 0),
         late,
         offsets,
+        json.dumps(progress.get("observedMetrics", {}).get(QUALITY)),
+    )
+
+
+def observe_quality(df: DataFrame, columns: Sequence[str], rejected: Column | None = None) -> DataFrame:
+    """Count rows, NULLs per column and rejected rows of a stream while it runs, without another
+    scan; the progress of each batch carries the counts."""
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]]
+    if rejected is not None:
+        counts.append(F.count_if(rejected).alias("rejected"))
+    return df.observe(QUALITY, *counts)
+
+
+def observed_totals(progress: DataFrame) -> DataFrame:
+    """(query, metric, total) over all batches, from the rows of ``follow_progress``."""
+    counts = F.from_json("observed", "map<string, bigint>")
+    return progress.select("query", F.explode(counts).alias("metric", "n")).groupBy("query", "metric").agg(F.sum("n").alias("total"))
+
+
+def observed_null_rates(progress: DataFrame) -> DataFrame:
+    """NULLs per column and their share of the rows, as ``operators.quality.null_rates`` gives them."""
+    totals = observed_totals(progress)
+    rows = totals.filter("metric = 'rows'").select("query", F.col("total").alias("rows"))
+    nulls = totals.filter(F.col("metric").startswith("null_"))
+    return nulls.join(rows, "query").select(
+        F.expr("substring(metric, 6)").alias("column_name"), F.col("total").alias("null_count"),
+        F.try_divide("total", "rows").alias("null_rate"),
     )
 
 
@@ -71,22 +100,3 @@ def progress_summary(progress: DataFrame, trigger_ms: int) -> DataFrame:
         F.sum("dropped_late_rows").alias("dropped_late_rows"),
         F.max(F.col("duration_ms") > trigger_ms).alias("falling_behind"),
     )
-
-
-class ProgressLog(StreamingQueryListener):
-    """Listener that appends each batch's progress to ``sink``, a callable taking a tuple."""
-
-    def __init__(self, sink):
-        self.sink = sink
-
-    def onQueryStarted(self, event):  # noqa: N802
-        pass
-
-    def onQueryProgress(self, event):  # noqa: N802
-        self.sink(_row(json.loads(event.progress.json)))
-
-    def onQueryIdle(self, event):  # noqa: N802
-        pass
-
-    def onQueryTerminated(self, event):  # noqa: N802
-        pass
