@@ -154,17 +154,16 @@ def drop_documents(
     equal id and text become one: the smallest by all columns. Rows that a fixed-size filter
     knows to be untouched pass by without a shuffle.
     """
-    text = F.col(f"`{text_col}`")
-    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")  # no name of the input is next to ours
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("_k")
+    marked = docs.select(row, key, F.xxhash64(F.col(f"`{text_col}`")).alias("_h")).withColumn("_hash", F.xxhash64("_k", "_h"))
     named = lambda df: df.select(F.col("k").alias("_k"), F.col("h").alias("_h")).distinct()
     gone = named(gone)
     once = named(once) if once is not None else gone.limit(0)
     pair = ["_k", "_h"]
     bitmap = key_bitmap(gone.union(once).select(F.xxhash64(*pair)), 1 << 25)
-    marked = docs.withColumns({"_k": key, "_h": F.xxhash64(text)}).withColumn("_hash", F.xxhash64(*pair))
-    same = maybe_among(marked, "_hash", bitmap, among=False).select(docs.columns)
+    same = maybe_among(marked, "_hash", bitmap, among=False)
     touched = maybe_among(marked, "_hash", bitmap).join(gone, pair, "left_anti")
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    repeated = touched.join(once, pair, "left_semi").groupBy(*pair).agg(F.min(row).alias("_row")).select("_row.*")
+    repeated = touched.join(once, pair, "left_semi").groupBy(*pair).agg(F.min("_row").alias("_row"))
     others = touched.join(once, pair, "left_anti")
-    return same.unionByName(others.select(docs.columns)).unionByName(repeated)
+    return same.select("_row").union(others.select("_row")).union(repeated.select("_row")).select("_row.*")

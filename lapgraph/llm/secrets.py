@@ -201,15 +201,16 @@ def redact(
         F.filter("found", lambda s: s["live"]).alias("_live"),
     ).where(F.size("_live") > 0).select("_k", "_h", F.transform("_live", lambda s: F.array(s["start"], s["end"])).alias("_live"))
     own_key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID))
-    joined = docs.join(
-        live, (own_key == F.col("_k")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("_h")), "left"
-    ).select(*[F.col(f"`{c}`") for c in docs.columns], "_live")
-    at = docs.columns.index(text_col)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")  # no name of the input is next to ours
+    keyed = docs.select(row, own_key.alias("_k"), F.xxhash64(F.col(f"`{text_col}`")).alias("_h"))
+    joined = keyed.join(live, ["_k", "_h"], "left").select("_row", "_live")
+    names = docs.columns
+    at = names.index(text_col)
     length_at = docs.columns.index(length_col) if length_col in docs.columns else None
 
     def run(batches):
         for batch in small(batches):
-            columns, spans = list(batch.columns[:-1]), batch.column(batch.num_columns - 1).to_pylist()
+            columns, spans = batch.column(0).flatten(), batch.column(1).to_pylist()
             if any(spans):
                 texts = columns[at].to_pylist()
                 for i, own in enumerate(spans):
@@ -222,7 +223,7 @@ def redact(
                         if own:
                             lengths[i] = len(texts[i])
                     columns[length_at] = pa.array(lengths, columns[length_at].type)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return joined.mapInArrow(run, docs.schema)
 

@@ -432,3 +432,23 @@ def test_stages_bear_empty_tables(spark):
         assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0
     assert secrets.find_secrets(docs).count() == 0
     assert substrings.remove_repeats(docs).count() == 0
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    """Columns named as the stages' own come back unchanged, with their types."""
+    extra = ["_k", "_h", "_hash", "_live", "_row", "k", "h", "text_a"]
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [r for r in secret_rows() if r[0] != 300]
+    full = [(i, t, lang, s, None if t is None else len(t), *[f"mine {n}" for n in extra]) for i, t, lang, s in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in extra)
+    docs = spark.createDataFrame(full, schema)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        after = stage(spark, docs, sf_dir)
+        assert after.dtypes == docs.dtypes, name
+        after = after.persist()
+        assert after.count() > 0
+        assert all(tuple(r)[5:] == tuple(f"mine {n}" for n in extra) for r in after.collect()), name
+        plain = stage(spark, docs.select("doc_id", "text", "lang", "source", "n_chars"), sf_dir)
+        five = lambda df: sorted(repr(tuple(r)[:5]) for r in df.collect())
+        assert five(after) == five(plain), name
+        docs = after
