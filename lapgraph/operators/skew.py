@@ -33,18 +33,19 @@ def mark_repeats(
 ) -> DataFrame:
     """Flag every row of a key except the first by ``order``.
 
-    Heats and a final: a key has as many heats as its row count asks for, its rows compete
-    inside them, and only the heat winners meet in the second window.
+    Rows of a key compete in heats, as many as its row count asks for (one, for most keys). Which
+    heat holds the first row of a hot key is the smallest of its rows by ``order``, a minimum
+    that combines before the shuffle, so all rows pass one window once.
     """
     heats = (
         df.groupBy(*keys).agg(F.ceil(F.count("*") / rows_per_heat).alias("_heats"))
         .filter("_heats > 1")
     )
-    own = F.pmod(F.xxhash64(*df.columns), F.coalesce("_heats", F.lit(1)))
-    spread = skew_join(df, heats, keys, "left").withColumn("_salt", own).drop("_heats")
+    own = F.pmod(F.xxhash64(*df.columns), F.coalesce("_heats", F.lit(1))).alias("_salt")
+    first = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], "_salt"))
+    hot = skew_join(df, heats, keys).select(*df.columns, "_heats", own)
+    best = hot.groupBy(*keys, "_heats").agg(first["_salt"].alias("_best"))
+    spread = skew_join(df, best, keys, "left").withColumn("_salt", own)
     heat = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    ranked = spread.withColumn("_heat", F.row_number().over(heat))
-    beaten = ranked.filter("_heat > 1").withColumn(flag, F.lit(True))
-    final = Window.partitionBy(*keys).orderBy(*order, "_salt")
-    winners = ranked.filter("_heat = 1").withColumn(flag, F.row_number().over(final) > 1)
-    return winners.unionByName(beaten).drop("_salt", "_heat")
+    beaten = (F.row_number().over(heat) > 1) | (F.coalesce("_best", "_salt") != F.col("_salt"))
+    return spread.withColumn(flag, beaten).select(*df.columns, flag)
