@@ -241,9 +241,12 @@ class GoldTables:
 
     def driver_nodes(self) -> DataFrame:
         """Every driver of samples or events: name and session range, roll-up of the laps, and
-        the scores of the last ``publish``."""
+        the scores of the last ``publish``. Drivers that only interactions name are no nodes."""
         both = {"driver_name": F.least, "first_session_id": F.least, "latest_session_id": F.greatest}
-        nodes = self._joined(["Driver", "Driver-names", "Driver-events", "Driver-scores"], "driver_id", both)
+        nodes = self._joined(["Driver", "Driver-names", "Driver-events"], "driver_id", both)
+        scores = self.table("Driver-scores").read()
+        if scores is not None:
+            nodes = nodes.join(scores, "driver_id", "left")
         return finish_partials(nodes) if "samples" in nodes.columns else nodes
 
     def session_nodes(self) -> DataFrame:
