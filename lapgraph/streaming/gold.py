@@ -280,6 +280,11 @@ class GoldTables:
         if scores is not None:
             self.table("Driver-scores").upsert(scores, "set", version)
 
+    def vacuum(self, keep: int = 2, retain_seconds: float = 3600.0) -> None:
+        """Drop old versions of all tables, see ``BucketedTable.vacuum``; run it between batches."""
+        for name in self.KEYS:
+            self.table(name).vacuum(keep, retain_seconds)
+
     # Serving
 
     def top_overtakers(self) -> DataFrame:

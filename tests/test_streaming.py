@@ -270,3 +270,15 @@ def test_progress_of_a_long_run(spark, tmp_path):
     assert (out["batches"], out["input_rows"], out["dropped_late_rows"], out["last_batch"]) == (250, 2500, 500, 249)
     with pytest.raises(RuntimeError):  # rather than a table with gaps
         monitor.follow_progress(spark, [LongQuery(step=120)], str(tmp_path / "gaps"), poll_seconds=0)
+
+
+def test_quantiles_of_all_batches(spark):
+    gold = GoldTables(spark, scratch_path(spark, "t-quantiles"), quantiles=True, buckets=2)
+    for batch in range(3):
+        gold.telemetry_batch(telemetry(spark, 700 * batch, 700 * batch + 700), batch)
+    gold.vacuum(keep=1, retain_seconds=0)
+    found = gold.speed_quantiles(["session_id"], [0.1, 0.5, 0.9]).collect()
+    assert {r.rows for r in found} == {2100}
+    for row in found:  # speeds are 0 to 2099, each once
+        assert abs(row.quantile - row.probability * 2100) <= 0.01 * 2100 + 1
+    assert gold.rollup(["session_id"]).first().samples == 2100
