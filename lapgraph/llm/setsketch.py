@@ -7,25 +7,23 @@ the joint likelihood of two sketches drops pairs that are surely too far apart,
 is confirmed on the full sets.
 
 Documents of equal sets are one vertex. A bucket never gives all its pairs: in each round its
-members meet one hub of the bucket, unless the components found so far already hold both;
-at last members of different components meet inside the task, in blocks, and only likely
-pairs leave it. So no link between different components is lost.
+members meet one hub of the bucket, unless the components found so far already hold both.
+What then still shares a bucket with another component goes through an exact set join on the
+rarest shingles, within bounds of size and place, and the pairs left are confirmed. So no link
+between different components is lost. Each round works on the components of the one before.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.llm.common import (
-    NULL_ID, key_bitmap, lowered, maybe_among, mix64, parallelism, small, split_join,
-    stored,
-)
-from lapgraph.llm.components import components
+from lapgraph.llm.common import NULL_ID, key_bitmap, lowered, maybe_among, mix64, small, split_join, stored
+from lapgraph.llm.components import components, followed, relabelled
 from lapgraph.llm.words import run_hashes, span_hashes, word_hashes
 
 #: Fixed values of the contract.
@@ -38,10 +36,10 @@ BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: An estimate this far below the bound (over five standard deviations) drops a pair.
 MARGIN = 0.17
-#: Rounds with hubs before the block-wise rest.
+#: Rounds with hubs before the prefix-filtered rest.
 ROUNDS = 2
-#: Members of a bucket in one block.
-BLOCK = 1000
+#: Largest factor between two set sizes of one class of the rest.
+CLASS = 1.04
 #: Shingles hashed at once.
 CHUNK = 4096
 #: Bits of the fixed-size filter of document keys.
@@ -114,17 +112,6 @@ def surely_below(above, below, size_a, size_b, bound: float) -> np.ndarray:
     return slope < 0
 
 
-def possible(one: np.ndarray, size_one, others: np.ndarray, sizes: np.ndarray, similar: float) -> np.ndarray:
-    """Which of ``others`` may be linked with ``one``, by set sizes and joint likelihood."""
-    ok = np.minimum(sizes, size_one) >= similar * np.maximum(sizes, size_one)
-    at = np.flatnonzero(ok)
-    if len(at):
-        above = np.count_nonzero(one > others[at], axis=1)
-        below = np.count_nonzero(one < others[at], axis=1)
-        ok[at] = ~surely_below(above, below, size_one, sizes[at], similar - MARGIN)
-    return ok
-
-
 def linked(one: np.ndarray, other: np.ndarray, similar: int) -> bool:
     """The exact test on two full sets."""
     both = len(np.intersect1d(one, other, assume_unique=True))
@@ -167,7 +154,7 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def _bands(vertices: DataFrame) -> DataFrame:
-    """(bucket, band, v) for every band of every sketch."""
+    """(bucket, v) for every band of every sketch."""
 
     def run(batches):
         for batch in small(batches):
@@ -177,13 +164,11 @@ def _bands(vertices: DataFrame) -> DataFrame:
             for row in range(ROWS):
                 names = mix64(names * np.uint64(0x9E3779B97F4A7C15) + table[:, :, row] + np.uint64(1))
             own = pa.array(np.repeat(np.arange(len(sketches)), BANDS))
-            bands = np.tile(np.arange(BANDS, dtype=np.int32), len(sketches))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names.reshape(-1).view(np.int64)), pa.array(bands), batch.column(0).take(own)],
-                ["bucket", "band", "v"],
+                [pa.array(names.reshape(-1).view(np.int64)), batch.column(0).take(own)], ["bucket", "v"]
             )
 
-    return vertices.select("v", "sketch").mapInArrow(run, "bucket long, band int, v long")
+    return vertices.select("v", "sketch").mapInArrow(run, "bucket long, v long")
 
 
 def _hub_pairs(members: DataFrame, seed: int) -> DataFrame:
@@ -194,71 +179,61 @@ def _hub_pairs(members: DataFrame, seed: int) -> DataFrame:
     return met.select(F.greatest("v", "hub.hub").alias("a"), F.least("v", "hub.hub").alias("b")).distinct()
 
 
-def _block_links(members: DataFrame, vertices: DataFrame, texts: DataFrame, similar: int) -> DataFrame:
-    """(a, b): links between different components, found and confirmed in blocks inside tasks.
+def _size_class(size):
+    return F.floor(F.log(size) / math.log(CLASS)).cast("int")
 
-    A pair is looked at in the first band that it shares. Links that the block already implies
-    are not looked for, so what leaves a block is a forest.
-    """
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    own = F.pmod(F.xxhash64("v", F.lit(3)), F.col("blocks")).cast("int")
-    met = (
-        members.join(vertices.select("v", "n", "sketch").join(texts, "v"), "v").join(sizes, "bucket")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
-        .select(
-            "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-            "own", "band", "v", "comp", "n", "sketch", "text",
-        )
-    )
 
-    def solve(rows):
-        own, _, v, comp, n = (np.array([r[i] for r in rows], np.int64) for i in range(3, 8))
-        _, low, high, _, band = rows[0][:5]
-        table = np.frombuffer(b"".join(r[8] for r in rows), np.uint16).reshape(-1, REGISTERS)
-        bands = table.reshape(-1, BANDS, ROWS)
-        sets: dict[int, np.ndarray] = {}
-        out = []
-
-        def set_of(i):
-            if i not in sets:
-                sets[i] = shingle_set(rows[i][9])
-            return sets[i]
-
-        for i in np.flatnonzero(own == low):
-            other = np.arange(i + 1, len(rows)) if low == high else np.flatnonzero(own == high)
-            other = other[comp[other] != comp[i]]
-            if not len(other):
-                continue
-            other = other[possible(table[i], n[i], table[other], n[other], similar / 100)]
-            if band and len(other):
-                earlier = (bands[other, :band] == bands[i, :band]).all(axis=2).any(axis=1)
-                other = other[~earlier]
-            for j in other:
-                if comp[i] != comp[j] and linked(set_of(i), set_of(j), similar):
-                    out.append((max(v[i], v[j]), min(v[i], v[j])))
-                    comp[comp == comp[j]] = comp[i]
-        return out
+def _rare_pairs(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """(a, b): pairs of different components that may be linked, by an exact prefix-filtered join.
 
-    def run(batches):
-        held, name = [], None
-        for batch in small(batches):
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[:3] != name:
-                    if held:
-                        yield emit(solve(held))
-                    held, name = [], row[:3]
-                held.append(row)
-        if held:
-            yield emit(solve(held))
+    A shingle of one component only is in no intersection that counts; it takes the first places
+    of its set, all others follow by rarity. Linked sets share one of their first shingles, at
+    places that leave enough behind on both sides. A set stays under its own class of sizes and
+    visits those of the smaller sets it may be linked with, with just the places these allow. So
+    sets with many shingles of their own meet nobody, however alike the rest is.
+    """
 
-    def emit(found):
-        a, b = zip(*found) if found else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    def cut(batches):
+        for batch in small(batches, 100):
+            sets = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
+            lengths = np.array([len(x) for x in sets])
+            own = pa.array(np.repeat(np.arange(len(sets)), lengths))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(own), batch.column(1).take(own),
+                    pa.array(np.repeat(lengths, lengths)), pa.array(np.concatenate(sets).view(np.int64)),
+                ],
+                ["v", "comp", "n", "shingle"],
+            )
 
-    key = ["bucket", "low", "high"]
-    n = parallelism(members.sparkSession)
-    return met.repartition(n, *key).sortWithinPartitions(*key, "v").mapInArrow(run, "a long, b long").distinct()
+    overlap = lambda x, y: F.ceil(similar * (x + y) / (100 + similar))
+    least = F.ceil(similar * F.col("n") / 100)
+    own = sets.join(members.select("v", "comp").distinct(), "v").select("v", "comp", "shingles")
+    shingles = stored(own.mapInArrow(cut, "v long, comp long, n long, shingle long"), "shingles")
+    common = shingles.groupBy("shingle").agg(
+        F.count("*").alias("holders"), F.min("comp").alias("low"), F.max("comp").alias("high")
+    ).where("low < high").select("shingle", "holders")
+    ordered = (
+        split_join(shingles, common, ["shingle"], "inner", "common").groupBy("v", "comp", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("others"))
+        .where(F.size("others") >= least).withColumn("alone", F.col("n") - F.size("others"))
+    )
+    first = F.slice("others", F.lit(1), (F.col("n") - least + 1 - F.col("alone")).cast("int"))
+    prefixes = stored(
+        ordered.select("v", "comp", "n", "alone", F.posexplode(first).alias("place", "other"))
+        .select("v", "comp", "n", F.col("other.shingle").alias("shingle"), (F.col("n") - F.col("alone") - F.col("place")).alias("left")),
+        "prefixes",
+    )
+    homes = prefixes.where(F.col("left") >= overlap(F.col("n"), F.col("n"))).withColumn("class", _size_class(F.col("n")))
+    smallest = F.greatest(least, F.floor(F.exp(F.col("class") * math.log(CLASS))))
+    visits = prefixes.withColumn("class", F.explode(F.sequence(_size_class(least), _size_class(F.col("n"))))).where(
+        F.col("left") >= overlap(F.col("n"), smallest)
+    )
+    x, y = visits.alias("x"), homes.alias("y")
+    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") == F.col("y.class"))).where(
+        "x.comp <> y.comp AND (x.n > y.n OR (x.n = y.n AND x.v > y.v))"
+    ).where(F.least("x.left", "y.left") >= overlap(F.col("x.n"), F.col("y.n")))
+    return met.select(F.greatest("x.v", "y.v").alias("a"), F.least("x.v", "y.v").alias("b")).distinct()
 
 
 def _likely(pairs: DataFrame, vertices: DataFrame, similar: float) -> DataFrame:
@@ -283,32 +258,38 @@ def _likely(pairs: DataFrame, vertices: DataFrame, similar: float) -> DataFrame:
     return joined.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def _texts(docs: DataFrame, vertices: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(v, text) of the wanted vertices, stored."""
+def _sets(docs: DataFrame, vertices: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(v, shingles) of the wanted vertices, stored: the sorted hashes as bytes."""
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     keys = vertices.join(wanted.distinct(), "v", "left_semi").select("v", "k", "h")
     texts = docs.select(
         F.coalesce(key.cast("long"), F.lit(NULL_ID)).alias("k"), F.xxhash64(text).alias("h"), text.alias("text")
     ).withColumn("key", F.xxhash64("k", "h"))
     texts = maybe_among(texts, "key", key_bitmap(keys.select(F.xxhash64("k", "h")), FILTER_BITS))
-    return stored(texts.join(keys, ["k", "h"]).select("v", "text").dropDuplicates(["v"]), "texts")
+
+    def run(batches):
+        for batch in small(batches, 100):
+            sets = [shingle_set(text).tobytes() for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["v", "shingles"])
+
+    found = texts.join(keys, ["k", "h"]).select("v", "text").dropDuplicates(["v"])
+    return stored(found.mapInArrow(run, "v long, shingles binary"), "sets")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, similar: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """The pairs whose full sets are similar enough, stored."""
 
     def run(batches):
-        shingles = lru_cache(maxsize=64)(shingle_set)
         for batch in small(batches):
-            texts = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            keep = [linked(shingles(one), shingles(other), similar) for one, other in texts]
+            sides = ([np.frombuffer(x, np.uint64) for x in batch.column(i).to_pylist()] for i in (2, 3))
+            keep = [linked(one, other, similar) for one, other in zip(*sides)]
             pairs = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"])
             yield pairs.filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(texts.select(F.col("v").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("v").alias("b"), F.col("text").alias("text_b")), "b"
+    joined = pairs.join(sets.select(F.col("v").alias("a"), F.col("shingles").alias("set_a")), "a").join(
+        sets.select(F.col("v").alias("b"), F.col("shingles").alias("set_b")), "b"
     )
-    return stored(joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
+    return stored(joined.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long"), "links")
 
 
 def _shared_ids(rows: DataFrame) -> DataFrame:
@@ -322,6 +303,19 @@ def _set_name():
     return F.xxhash64("c1", "c2")
 
 
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their components, of the buckets that hold several components; stored."""
+    known = labels.select(F.col("a").alias("v"), F.col("b").alias("label"))
+    own = members.select("bucket", "v").join(known, "v", "left").select("bucket", "v", F.coalesce("label", "v").alias("comp"))
+    mixed = own.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    return stored(split_join(own, mixed.select("bucket"), ["bucket"], "left_semi", "mixed"), "members")
+
+
+def _linked(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (a, b) after ``links``, which only have to connect what has different labels yet."""
+    return stored(followed(labels, components(relabelled(links, labels))), "labels")
+
+
 def _linked_sets(
     docs: DataFrame, id_col: str, text_col: str, similar: int, by_id: bool
 ) -> tuple[DataFrame, DataFrame]:
@@ -337,30 +331,22 @@ def _linked_sets(
     )
     bands = _bands(vertices)
     full = bands.groupBy("bucket").agg(F.min("v").alias("least"), F.max("v").alias("most")).where("least < most")
-    members = stored(
-        split_join(bands, full.select("bucket"), ["bucket"], "left_semi", "full").withColumn("comp", F.col("v")),
-        "members",
-    )
-    # A vertex may need its text in any round: they are fetched once, for all that met another.
-    texts = _texts(docs, vertices, members.select("v"), id_col, text_col)
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
-    if by_id:
-        links = stored(_shared_ids(rows), "links")
+    members = stored(split_join(bands, full.select("bucket"), ["bucket"], "left_semi", "full"), "members")
+    # A vertex may need its set in any round: they are made once, for all that met another.
+    sets = _sets(docs, vertices, members.select("v"), id_col, text_col)
+    labels = components(_shared_ids(rows) if by_id else docs.sparkSession.createDataFrame([], "a long, b long"))
     for seed in range(ROUNDS):
-        likely = _likely(_hub_pairs(members, seed), vertices, similar / 100)
-        links = links.unionAll(_confirmed(stored(likely, "likely"), texts, similar))
-        known = components(links).select(F.col("a").alias("v"), F.col("b").alias("label"))
-        members = members.drop("comp").join(known, "v", "left").select(
-            "bucket", "band", "v", F.coalesce("label", "v").alias("comp")
-        )
-        mixed = members.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
-        members = stored(split_join(members, mixed.select("bucket"), ["bucket"], "left_semi", "mixed"), "members")
-    labels = components(links.unionAll(stored(_block_links(members, vertices, texts, similar), "links")))
+        members = _mixed(members, labels)
+        likely = stored(_likely(_hub_pairs(members, seed), vertices, similar / 100), "likely")
+        labels = _linked(labels, _confirmed(likely, sets, similar))
+    members = _mixed(members, labels)
+    rare = stored(_rare_pairs(members, sets, similar), "rare")
+    labels = _linked(labels, _confirmed(rare, sets, similar))
     known = labels.select(F.col("a").alias("v"), F.col("b").alias("label"))
     classes = vertices.select("c1", "c2", "v", "k", "h").join(known, "v", "left").select(
         "c1", "c2", F.coalesce("label", "v").alias("label"), "k", "h"
     )
-    return rows.drop("sketch"), stored(classes, "sets")
+    return rows.drop("sketch"), stored(classes, "classes")
 
 
 def _with_least(rows: DataFrame, classes: DataFrame) -> DataFrame:

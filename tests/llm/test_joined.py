@@ -215,7 +215,7 @@ def brute_components(rows):
 
 @pytest.mark.parametrize("rounds", [2, 0])
 def test_near_duplicates(spark, monkeypatch, rounds):
-    """With no hub rounds at all, the block-wise search alone must find every link."""
+    """With no hub rounds at all, the prefix-filtered join alone must find every link."""
     monkeypatch.setattr(setsketch, "ROUNDS", rounds)
     rows = documents()
     rng = random.Random(3)
@@ -234,6 +234,36 @@ def test_near_duplicates(spark, monkeypatch, rounds):
         assert r["kept"] == (r["doc_id"] == r["component_id"])
 
 
+@pytest.mark.parametrize("rounds", [2, 0])
+def test_near_copies_of_a_third_of_all_rows(spark, monkeypatch, rounds):
+    """Copies of one text with edits of their own, similar by 0.7 to 0.95: some linked, some only alike."""
+    monkeypatch.setattr(setsketch, "ROUNDS", rounds)
+    rng = random.Random(8)
+    body = words(rng, 80)
+    rows = []
+    for i in range(100):
+        own = list(body)
+        for at in rng.sample(range(80), i % 6):
+            own[at] = f"own{rng.randrange(40)}"
+        rows.append((i, " ".join(own), "en", "s"))
+    rows += [(1000 + i, " ".join(words(rng, 20)), "en", "s") for i in range(200)]
+    found = brute_components(rows)
+    assert 5 < len({found[i] for i in range(100)}) < 80
+    out = result(setsketch.near_duplicates(frame(spark, rows)))
+    assert {r["doc_id"]: r["component_id"] for r in out} == found
+
+
+def test_components_of_chains(spark):
+    from lapgraph.llm.components import components
+
+    names = random.Random(4).sample(range(1 << 40), 80)
+    chain, star = names[:40], names[40:]
+    edges = list(zip(chain, chain[1:])) + [(x, star[0]) for x in star] + [(7, 7)]
+    out = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(out) == 78
+    assert {r["a"]: r["b"] for r in out} == {x: min(part) for part in (chain, star) for x in part if x != min(part)}
+
+
 @pytest.mark.parametrize("rounds", [2, 0])
 def test_ids_with_several_texts(spark, monkeypatch, rounds):
     """Each text of an id is linked by its own set; the id is the union of these links."""
