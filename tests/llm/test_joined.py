@@ -160,6 +160,46 @@ def test_substrings(spark, monkeypatch, in_memory):
     assert any(e[2] for e in expected)
 
 
+def test_substrings_with_a_hot_passage(spark, monkeypatch):
+    """A third of the rows share a passage, each between words of its own or of few documents; one
+    document holds it many times, and near copies differ in single words."""
+    monkeypatch.setattr(substrings, "RUNS_IN_MEMORY", 4)
+    rng = random.Random(11)
+    passage, body = [f"p{i}" for i in range(70)], [f"b{i}" for i in range(160)]
+    own = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows = [(i, " ".join(own(60)), "en", "a") for i in range(40)]
+    for i in range(40, 80):
+        side = [f"s{i % 3}_{j}" for j in range(rng.randrange(20))]
+        rows.append((i, " ".join(own(rng.randrange(30)) + side + passage + own(rng.randrange(60))), "en", "b"))
+    for i in range(80, 110):
+        copy = list(body)
+        for _ in range(i % 4):
+            copy[rng.randrange(160)] = f"x{rng.randrange(3)}"
+        rows.append((i, " ".join(copy), "en", "c"))
+    often = [w for _ in range(12) for w in passage + own(rng.randrange(5))]
+    rows += [(-5, " ".join(often), "en", "d"), (200, " ".join(often[7:]), "en", "d"), (-5, " ".join(passage), "en", "d")]
+    rng.shuffle(rows)
+    out = result(substrings.remove_repeats(frame(spark, rows)))
+    assert by_id(tuple(r.values()) for r in out) == by_id(brute_repeats(rows))
+
+
+def test_suffix_tree():
+    """Leaves in order and common words of neighbours, pieces never reaching into each other."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    lengths = rng.integers(8, 40, 30)
+    data = rng.integers(0, 2, lengths.sum())
+    ends = np.cumsum(lengths)
+    piece = {i: tuple(data[i : min(e, i + 8)]) for e, n in zip(ends, lengths) for i in range(e - n, e)}
+    leaves, depths = substrings.suffix_tree(data, lengths, 7)
+    assert sorted(leaves) == [i for i in sorted(piece) if len(piece[i]) >= 7]
+    for i, j, depth in zip(leaves, leaves[1:], depths[1:]):
+        a, b = piece[i], piece[j]
+        assert a[:7] <= b[:7]
+        assert depth == next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
 def test_deep_nodes():
     import numpy as np
 
@@ -178,7 +218,7 @@ def test_blocks_of_a_long_document(monkeypatch):
 
     data = np.random.default_rng(6).integers(1, 1 << 60, 900).astype(np.uint64)
     monkeypatch.setattr(substrings, "BLOCK", 256)
-    _, _, start, count = substrings.runs_of(data)
+    _, _, start, count, _ = substrings.runs_of(data)
     covered = sorted(s + i for s, n in zip(start, count) for i in range(n))
     assert covered == list(range(900 - 49))
 
