@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lapgraph.operators import communities, sampling, sketches
+from lapgraph.operators import communities, pagerank as pagerank_module, sampling, sketches
 from lapgraph.operators.pagerank import compute_pagerank, pagerank, push_pagerank, rank_trend
 from lapgraph.operators.upsert import (
     finish_partials, lap_partials, last_batch, merge_partials, upsert, upsert_edges,
@@ -215,3 +215,25 @@ def test_rank_trend_equals_a_graph_per_step(spark):
     assert found.keys() == expected.keys()
     for key, (score, change) in expected.items():
         assert found[key][0] == pytest.approx(score) and found[key][1] == (change if change is None else pytest.approx(change, abs=1e-9))
+
+
+def test_rounds_have_partitions_by_the_number_of_edges(spark, monkeypatch):
+    """The layout follows the measured edges, not the session's setting, which stays as it was."""
+    monkeypatch.setattr(pagerank_module, "EDGES_PER_PARTITION", 40)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    edges = [(f"v{i}", f"v{(i * 7 + 1) % 100}") for i in range(100)]
+    frame = spark.createDataFrame(edges, "src string, dst string")
+    pushed = push_pagerank(frame, reset_prob=0.5, edges_per_split=1)
+    fixed = pagerank(None, frame, reset_prob=0.5, max_iter=40)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert pagerank_module._partitions(frame) == 3
+        assert pagerank(None, frame, max_iter=2).rdd.getNumPartitions() == 3
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = brute_pagerank(edges, rounds=40, reset=0.5)
+    for found in (pushed.ranks, fixed):
+        got = {r.id: r.pagerank_score for r in found.collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(got[k] - want[k]) < 1e-7 for k in want)
