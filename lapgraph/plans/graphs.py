@@ -267,8 +267,9 @@ def pagerank(fx):
 
 @query("GR9_pagerank_front_end", pagerank_sql(GRAPH, rounds=5, reset=0.2))
 def pagerank_front_end(fx):
-    edges = fx.graph_big.withColumnsRenamed({"src": "from_id", "dst": "to_id"})
-    people = pr.edge_vertices(fx.graph_big).withColumnRenamed("id", "person")
+    graph = fx.stored("graph_big")
+    edges = graph.withColumnsRenamed({"src": "from_id", "dst": "to_id"})
+    people = pr.edge_vertices(graph).withColumnRenamed("id", "person")
     return pr.compute_pagerank(people, edges, max_iter=5, reset_prob=0.2)
 
 

@@ -237,3 +237,16 @@ def test_rounds_have_partitions_by_the_number_of_edges(spark, monkeypatch):
         got = {r.id: r.pagerank_score for r in found.collect()}
         assert got.keys() == want.keys()
         assert all(abs(got[k] - want[k]) < 1e-7 for k in want)
+
+
+def test_edges_are_computed_once(spark):
+    """Degrees, vertices and the layout all read the edges; what they come from runs once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(name):
+        seen.add(1)
+        return name
+
+    frame = spark.createDataFrame(EDGES, "src string, dst string")
+    pagerank(None, frame.withColumn("src", F.udf(count, "string")("src")), max_iter=2)
+    assert seen.value == len(EDGES)
