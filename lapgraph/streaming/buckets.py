@@ -35,7 +35,7 @@ class BucketedTable:
     ``by`` names the keys that choose the bucket (all of them unless given), ``place`` may give
     the bucket as a column instead, such as a time step; its values can be any integers then.
     Deltas of a bucket are folded in when they hold over ``fold_rows`` rows and more than the
-    base, or when there are over ``fold_deltas`` of them.
+    base, unless all of them only added keys, or when there are over ``fold_deltas`` of them.
     """
 
     def __init__(
@@ -106,21 +106,25 @@ class BucketedTable:
         return self.spark.read.schema(schema).option("basePath", f"{self.path}/{kind}").parquet(*paths)
 
     def _rows(self, commit: dict, buckets: set[int] | None = None) -> DataFrame:
-        """One row per key; buckets without deltas are read as they are, without a shuffle."""
+        """One row per key; buckets without deltas, or with deltas that only add keys, are read as
+        they are, without a shuffle."""
         own = {int(b): part for b, part in commit["buckets"].items() if buckets is None or int(b) in buckets}
-        bases = {b: part["base"] for b, part in own.items() if part["base"] is not None}
         columns = StructType.fromJson(commit["schema"]).names
-        whole = self._stored(commit, "base", [(v, b) for b, v in bases.items() if not own[b]["deltas"]])
-        layers = self._stored(commit, "base", [(v, b) for b, v in bases.items() if own[b]["deltas"]])
-        deltas = self._stored(commit, "delta", [(v, b) for b, part in own.items() for v, _ in part["deltas"]])
-        if deltas is not None:
-            layers = deltas if layers is None else layers.unionByName(deltas)
+        whole = self._layers(commit, {b: part for b, part in own.items() if not _changed(part)})
+        layers = self._layers(commit, {b: part for b, part in own.items() if _changed(part)})
+        if layers is not None:
             layers = _newest(layers, self.keys)
         found = [df.select(*columns, BUCKET) for df in (whole, layers) if df is not None]
         if not found:
             return self.spark.createDataFrame([], StructType.fromJson(commit["schema"]).add(BUCKET, IntegerType()))
         return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
+    def _layers(self, commit: dict, own: dict[int, dict]) -> DataFrame | None:
+        """All rows of the bases and deltas of some buckets; None if there are none."""
+        base = self._stored(commit, "base", [(part["base"], b) for b, part in own.items() if part["base"] is not None])
+        deltas = self._stored(commit, "delta", [(v, b) for b, part in own.items() for v, _ in part["deltas"]])
+        return base.unionByName(deltas) if base is not None and deltas is not None else base if deltas is None else deltas
+
     def read(self, version: int | None = None) -> DataFrame | None:
         """The rows of a version, the newest unless given; None before the first commit."""
         commit = self.commit(version)
@@ -181,8 +185,8 @@ class BucketedTable:
         self._apply(rows, lambda old, new: combine(old.unionByName(new, allowMissingColumns=True)), version)
 
     def insert(self, rows: DataFrame, version: int) -> None:
-        """Add the rows whose keys the table does not have."""
-        self._apply(rows, lambda old, new: new.join(old.select(*self.keys), self.keys, "left_anti"), version)
+        """Add the rows whose keys the table does not have; stored rows are only looked up, as they lie."""
+        self._apply(rows, lambda old, new: new.join(old.select(*self.keys), self.keys, "left_anti"), version, adds=True)
 
     def upsert_edges(self, edges: DataFrame, nodes: DataFrame, order: Sequence[str], version: int) -> None:
         """Apply edge events whose two end nodes exist, the latest per key, see
@@ -192,7 +196,10 @@ class BucketedTable:
             latest = skew_join(latest, nodes.select(F.col("id").alias(end)), [end], "left_semi")
         self.upsert(latest, "merge", version)
 
-    def _apply(self, rows: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], version: int) -> None:
+    def _apply(
+        self, rows: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], version: int, adds: bool = False
+    ) -> None:
+        """``adds`` says that ``combine`` gives new keys only and takes stored rows in any version."""
         known = self.versions()
         if known and version <= known[-1]:
             return
@@ -202,7 +209,9 @@ class BucketedTable:
             touched = {row[BUCKET]: row["n"] for row in staged.groupBy(BUCKET).agg(F.count("*").alias("n")).collect()}
             batch = staged.drop(BUCKET)
             stored = [b for b in touched if last and str(b) in last["buckets"]]
-            if stored:
+            if stored and adds:
+                old = self._layers(last, {b: last["buckets"][str(b)] for b in stored})
+            elif stored:
                 old = self._rows(last, set(stored)).drop(BUCKET)
                 old = self._of_keys(old, batch)
             else:
@@ -214,7 +223,7 @@ class BucketedTable:
             self._write(changed, "delta", version)
         finally:
             staged.unpersist()
-        commit = self._next(last, changed.schema, touched, version)
+        commit = self._next(last, changed.schema, touched, version, adds)
         self._fold(commit)
         self._publish(commit)
 
@@ -228,7 +237,7 @@ class BucketedTable:
         placed = rows.withColumn(BUCKET, self._place).hint("rebalance", F.col(BUCKET))
         placed.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/{kind}/{VERSION}={version}")
 
-    def _next(self, last: dict | None, schema: StructType, touched: dict[int, int], version: int) -> dict:
+    def _next(self, last: dict | None, schema: StructType, touched: dict[int, int], version: int, adds: bool) -> dict:
         names = {field.name for field in schema}
         earlier = [field for field in StructType.fromJson(last["schema"]) if field.name not in names] if last else []
         full = StructType([*schema, *earlier])
@@ -237,8 +246,11 @@ class BucketedTable:
         # Update-only may have written nothing for a bucket.
         written = [b for b in touched if files.exists(path(f"{self.path}/delta/{VERSION}={version}/{BUCKET}={b}"))]
         for b in written:
+            only_adds = adds or str(b) not in buckets
             part = buckets.setdefault(str(b), {"base": None, "rows": 0, "deltas": []})
             part["deltas"].append([version, touched[b]])
+            if only_adds:
+                part["adds"] = [*part.get("adds", []), version]
         return {
             "version": version, "after": last["version"] if last else None, "touched": sorted(written),
             "schema": full.jsonValue(), "buckets": buckets,
@@ -248,7 +260,7 @@ class BucketedTable:
         """Write the buckets again whose deltas outgrew their base."""
         due = set()
         for b, part in commit["buckets"].items():
-            rows = sum(n for _, n in part["deltas"])
+            rows = sum(n for _, n in part["deltas"]) if _changed(part) else 0
             if rows > max(self.fold_rows, part["rows"]) or len(part["deltas"]) > self.fold_deltas:
                 due.add(int(b))
         if not due:
@@ -290,6 +302,11 @@ class BucketedTable:
         return gone
 
 
+def _changed(part: dict) -> bool:
+    """Whether a bucket may hold several rows of a key: not where all deltas only added keys."""
+    return any(v not in part.get("adds", []) for v, _ in part["deltas"])
+
+
 def _newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The row of the newest version of each key."""
     rest = [c for c in rows.columns if c not in keys]

@@ -134,3 +134,19 @@ def test_buckets_by_place(spark):
         assert table.commit()["touched"] == [version]
     table.insert(rows(spark, [(310, 9, "again"), (360, 9, "new")]), 4)
     assert table.commit()["touched"] == [3] and table.read().count() == 201
+
+
+def test_inserted_keys_are_read_as_they_lie(spark):
+    """Deltas that only add keys need no search for the newest row, until a batch changes one."""
+    table = table_of(spark, fold_rows=5)
+    for version in range(3):
+        table.insert(rows(spark, [(i, version, "x") for i in range(version * 30, version * 30 + 40)]), version)
+    plan = lambda: table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan()
+    assert content(table.read()) == sorted([(i, min(max((i - 10) // 30, 0), 2), "x") for i in range(100)], key=repr)
+    assert all(part["base"] is None for part in table.commit()["buckets"].values())
+    table.upsert(rows(spark, [(5, 9, "y"), (500, 9, "y")]), "set", 3)
+    table.insert(rows(spark, [(5, 8, "z"), (501, 8, "z")]), 4)
+    got = {row.id: (row.a, row.b) for row in table.read().collect()}
+    assert table.read().count() == len(got) == 102
+    assert got[5] == got[500] == (9, "y") and got[501] == (8, "z") and got[6] == (0, "x")
