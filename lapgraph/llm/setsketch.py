@@ -9,8 +9,9 @@ is confirmed on the full sets.
 Documents of equal sets are one vertex. A bucket never gives all its pairs: in each round its
 members meet one hub of the bucket, unless the components found so far already hold both.
 What then still shares a bucket with another component goes through an exact set join on the
-rarest shingles, within bounds of size and place, and the pairs left are confirmed. So no link
-between different components is lost. Each round works on the components of the one before.
+rarest shingles, within bounds of size and place. It gives pairs of components, never of their
+sets; these are compared in blocks, by where they differ from what most of a block share. So no
+link between different components is lost. Each round works on the components of the one before.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ MARGIN = 0.17
 ROUNDS = 2
 #: Largest factor between two set sizes of one class of the rest.
 CLASS = 1.04
+#: Shingles of the sets that are compared with those of another component at once.
+BLOCK = 1 << 15
 #: Shingles hashed at once.
 CHUNK = 4096
 #: Bits of the fixed-size filter of document keys.
@@ -184,7 +187,7 @@ def _size_class(size):
 
 
 def _rare_pairs(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """(a, b): pairs of different components that may be linked, by an exact prefix-filtered join.
+    """(a, b): pairs of components that may hold linked sets, by an exact prefix-filtered join.
 
     A shingle of one component only is in no intersection that counts; it takes the first places
     of its set, all others follow by rarity. Linked sets share one of their first shingles, at
@@ -229,11 +232,97 @@ def _rare_pairs(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     visits = prefixes.withColumn("class", F.explode(F.sequence(_size_class(least), _size_class(F.col("n"))))).where(
         F.col("left") >= overlap(F.col("n"), smallest)
     )
-    x, y = visits.alias("x"), homes.alias("y")
+    # Sets of one component are one row here, with the widest of their bounds.
+    together = lambda rows: rows.groupBy("shingle", "class", "comp").agg(
+        F.max("left").alias("left"), F.min("n").alias("n")
+    )
+    x, y = together(visits).alias("x"), together(homes).alias("y")
     met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") == F.col("y.class"))).where(
-        "x.comp <> y.comp AND (x.n > y.n OR (x.n = y.n AND x.v > y.v))"
+        "x.comp <> y.comp"
     ).where(F.least("x.left", "y.left") >= overlap(F.col("x.n"), F.col("y.n")))
-    return met.select(F.greatest("x.v", "y.v").alias("a"), F.least("x.v", "y.v").alias("b")).distinct()
+    return met.select(F.greatest("x.comp", "y.comp").alias("a"), F.least("x.comp", "y.comp").alias("b")).distinct()
+
+
+def first_links(ones: list[np.ndarray], others: list[np.ndarray], similar: int) -> list[tuple[int, int]]:
+    """(i, j) for each set ``ones[i]`` that is linked with some of ``others``: j is the first.
+
+    Sets are compared by where they differ from a common core, the shingles that over half of
+    ``others`` hold: with d(x) = |x ^ core|, |x ^ y| = d(x) + d(y) - 2 |(x ^ core) & (y ^ core)|.
+    So near copies cost what sets them apart, not their length.
+    """
+    held, times = np.unique(np.concatenate(others), return_counts=True)
+    core = held[2 * times > len(others)]
+    apart = [np.setxor1d(x, core, assume_unique=True) for x in others]
+    sizes, far = np.array([len(x) for x in others]), np.array([len(x) for x in apart])
+    own = np.repeat(np.arange(len(others)), far)
+    flat = np.concatenate(apart)
+    order = np.argsort(flat, kind="stable")
+    flat, own = flat[order], own[order]
+    found = []
+    for i, one in enumerate(ones):
+        change = np.setxor1d(one, core, assume_unique=True)
+        low = np.searchsorted(flat, change)
+        counts = np.searchsorted(flat, change, "right") - low
+        at = np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        shared = np.bincount(own[at], minlength=len(others))
+        both = (len(one) + sizes - (len(change) + far - 2 * shared)) // 2
+        linked_with = 100 * both >= similar * (len(one) + sizes - both)
+        j = int(linked_with.argmax())
+        if linked_with[j]:
+            found.append((i, j))
+    return found
+
+
+def _links_between(pairs: DataFrame, members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """(a, b), stored: for pairs (a, b) of components, exact links of the sets of the one with fewer
+    to sets of the other, at most one for each set and block of the other.
+
+    Both sides travel in blocks of BLOCK shingles, so neither a component nor all that meets it
+    has to fit into one task.
+    """
+    named = pairs.select("a").union(pairs.select(F.col("b").alias("a"))).distinct()
+    own = stored(
+        members.select("v", "comp").distinct().join(named.select(F.col("a").alias("comp")), "comp", "left_semi")
+        .join(sets.withColumn("n", F.length("shingles") / 8), "v"),
+        "meeting",
+    )
+    sizes = stored(own.groupBy("comp").agg(F.sum("n").alias("size")), "sizes")
+    blocks = lambda size: F.ceil(F.col(size) / BLOCK).cast("int")
+    in_blocks = lambda rows, by: rows.withColumn("block", F.pmod(F.xxhash64("v"), blocks("size"))).groupBy(
+        by, "block"
+    ).agg(F.collect_list(F.struct("v", "shingles")).alias("rows"))
+    side = lambda name: sizes.select(F.col("comp").alias(name), F.col("size").alias(f"size_{name}"))
+    swap = F.struct("size_a", "a") < F.struct("size_b", "b")
+    directed = stored(
+        pairs.join(side("a"), "a").join(side("b"), "b").select(
+            F.when(swap, F.col("a")).otherwise(F.col("b")).alias("comp"),
+            F.when(swap, F.col("b")).otherwise(F.col("a")).alias("other"),
+        ),
+        "directed",
+    )
+    visiting = stored(split_join(own, directed, ["comp"], "inner", "met").select("other", "v", "shingles", "n"), "visiting")
+    total = visiting.groupBy("other").agg(F.sum("n").alias("size"))
+    guests = stored(in_blocks(split_join(visiting, total, ["other"], "inner", "totals"), "other"), "guests")
+    hosts = in_blocks(
+        own.join(directed.select(F.col("other").alias("comp")).distinct(), "comp", "left_semi").join(sizes, "comp"), "comp"
+    )
+    hosts = stored(hosts.select(F.col("comp").alias("other"), F.col("rows").alias("host")), "hosts")
+
+    def run(batches):
+        for batch in small(batches, 1):
+            (v, ones), (w, others) = (
+                (rows.field(0).to_numpy(), [np.frombuffer(x, np.uint64) for x in rows.field(1).to_pylist()])
+                for rows in (batch.column(i).flatten() for i in (0, 1))
+            )
+            found = first_links(ones, others, similar)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v[i] for i, _ in found], pa.int64()), pa.array([w[j] for _, j in found], pa.int64())],
+                ["a", "b"],
+            )
+
+    met = guests.join(hosts, "other").select("rows", "host")
+    found = met.mapInArrow(run, "a long, b long")
+    return stored(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "links")
 
 
 def _likely(pairs: DataFrame, vertices: DataFrame, similar: float) -> DataFrame:
@@ -341,7 +430,7 @@ def _linked_sets(
         labels = _linked(labels, _confirmed(likely, sets, similar))
     members = _mixed(members, labels)
     rare = stored(_rare_pairs(members, sets, similar), "rare")
-    labels = _linked(labels, _confirmed(rare, sets, similar))
+    labels = _linked(labels, _links_between(rare, members, sets, similar))
     known = labels.select(F.col("a").alias("v"), F.col("b").alias("label"))
     classes = vertices.select("c1", "c2", "v", "k", "h").join(known, "v", "left").select(
         "c1", "c2", F.coalesce("label", "v").alias("label"), "k", "h"

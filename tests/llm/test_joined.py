@@ -293,6 +293,43 @@ def test_near_copies_of_a_third_of_all_rows(spark, monkeypatch, rounds):
     assert {r["doc_id"]: r["component_id"] for r in out} == found
 
 
+def test_near_copies_meet_by_component(spark, monkeypatch):
+    """Sets that are only alike meet a group of linked ones once, not each of its sets."""
+    met = []
+    pairs_of = setsketch._rare_pairs
+    monkeypatch.setattr(setsketch, "_rare_pairs", lambda *given: met.append(pairs_of(*given)) or met[-1])
+    rng = random.Random(9)
+    body = words(rng, 150)
+    rows = []
+    for i in range(120):  # 100 within the bound of each other, 20 beyond it
+        own = list(body)
+        for n, at in enumerate(rng.sample(range(0, 150, 3), 1 if i < 100 else 8)):
+            own[at] = f"own{i}x{n}"
+        rows.append((i, " ".join(own), "en", "s"))
+    found = brute_components(rows)
+    assert len(set(found.values())) == 21
+    out = result(setsketch.near_duplicates(frame(spark, rows)))
+    assert {r["doc_id"]: r["component_id"] for r in out} == found
+    assert met[0].count() <= 20 + 20 * 19 // 2
+
+
+def test_first_links():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    core = rng.integers(1, 1 << 62, 60).astype(np.uint64)
+    pool = rng.integers(1, 1 << 62, 30).astype(np.uint64)
+    some = lambda: np.unique(np.append(rng.choice(core, 60 - rng.integers(0, 9), False), rng.choice(pool, rng.integers(0, 9))))
+    for size in (1, 2, 40):
+        ones, others = [some() for _ in range(50)], [some() for _ in range(size)]
+        expected = {}
+        for i, one in enumerate(ones):
+            for j, other in enumerate(others):
+                if setsketch.linked(one, other, 85):
+                    expected.setdefault(i, j)
+        assert dict(setsketch.first_links(ones, others, 85)) == expected and (size == 1 or expected)
+
+
 def test_components_of_chains(spark):
     from lapgraph.llm.components import components
 
