@@ -190,6 +190,21 @@ def test_every_training_text_is_learned(spark, monkeypatch):
         assert len(fitted) == min(size, len(ones))
 
 
+def test_every_training_text_shapes_the_code(spark, monkeypatch):
+    """The binary decisions follow the bytes of all training texts, not of those the weights are fitted on."""
+    rows = documents()
+    fold = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10
+    given, paths_of = [], mixing.Paths
+    tables = [np.zeros(1 << b, np.int8) for b in mixing.SLOT_BITS]
+    monkeypatch.setattr(mixing, "Paths", lambda counts: given.append(counts) or paths_of(counts))
+    monkeypatch.setattr(mixing.Mixer, "fit", lambda self, texts: None)
+    monkeypatch.setattr(mixing, "count_tables", lambda texts, paths: tables)
+    monkeypatch.setattr(mixing, "FIT_TEXTS", 2)
+    mixing.train(frame(spark, rows), id_remainder(10) != 0, id_remainder(10) == 1, "doc_id", "text")
+    whole = b"".join(mixing.canonical(t) for i, t, *_ in rows if t is not None and fold(i))
+    assert given[0].tolist() == np.bincount(np.frombuffer(whole, np.uint8), minlength=256).tolist()
+
+
 def test_scores_are_probabilities():
     """Over all bytes that may come next, the probabilities add up to one."""
     rng = random.Random(6)
