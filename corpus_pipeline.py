@@ -47,7 +47,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left, one row for each; a null text has none."""
-    return bpe.encode_documents(docs, ranks_path(), pretoken_pattern())
+    return bpe.encode_documents(docs, ranks_path(), pretoken_pattern(), forget=True)
 
 
 STAGES = [

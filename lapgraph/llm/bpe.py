@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.llm.common import small
+from lapgraph.llm.common import return_memory, small
 
 #: Pre-tokens up to this many bytes are remembered, and so many of them per worker.
 CACHED_BYTES = 48
@@ -205,12 +205,14 @@ def encode_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     ids: bool = True,
+    forget: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_tokens, ids_sha256, decoded_sha256[, token_ids].
 
     ``ranks_file`` is read once on the driver; a vocabulary has a fixed size, so its bytes
     travel with the tasks. Null and empty texts have no tokens and the hash of nothing.
     Repeated rows are encoded each on its own, null ids stay null, other columns are ignored.
+    With ``forget`` no task leaves the pre-tokens it remembers in its worker.
     """
     with open(ranks_file, "rb") as file:
         data = file.read()
@@ -239,6 +241,9 @@ def encode_documents(
                 columns.append(pa.array(all_ids, pa.list_(pa.int32())))
             names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "token_ids"]
             yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
+        if forget:
+            bpe.known = {}
+            return_memory()
 
     return source.mapInArrow(run, schema)
 

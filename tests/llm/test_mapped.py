@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
@@ -190,6 +191,24 @@ def test_every_training_text_is_learned(spark, monkeypatch):
         assert len(fitted) == min(size, len(ones))
 
 
+def test_pipeline_encoder_leaves_nothing_in_workers(spark, monkeypatch):
+    """With ``forget`` the same ids come out, and the codec of the worker remembers no pre-token after a task."""
+    import corpus_pipeline
+
+    docs = frame(spark, documents())
+    rows_of = lambda df: sorted(map(str, df.collect()))
+    whole = rows_of(bpe.encode_documents(docs, ranks_path(), pretoken_pattern()))
+    assert rows_of(corpus_pipeline.encoded(spark, docs, "")) == whole
+    codec = bpe.ByteBPE({bytes([b]): b for b in range(256)}, pretoken_pattern())
+    monkeypatch.setattr(bpe, "codec", lambda data, pattern: codec)
+    run = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: run.append(f))
+    corpus_pipeline.encoded(spark, docs, "")
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["some words here"]})
+    assert sum(b.num_rows for b in run[0](iter([batch]))) == 1
+    assert codec.known == {}
+
+
 def test_every_training_text_shapes_the_code(spark, monkeypatch):
     """The binary decisions follow the bytes of all training texts, not of those the weights are fitted on."""
     rows = documents()
