@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.llm.common import NULL_ID, in_bitmap, key_bitmap, list_column, small, stored
+from lapgraph.llm.common import NULL_ID, in_bitmap, key_bitmap, list_column, small, stored, tidy
 from lapgraph.llm.words import run_hashes, word_hashes
 
 #: Fixed values of the contract.
@@ -44,6 +44,7 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int,
     )
     schema = "item string, window long, n int, words string, shingles array<long>"
 
+    @tidy
     def run(batches):
         for batch in batches:
             out = []
@@ -87,6 +88,7 @@ def shingle_places(
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
     id_type = source.schema["doc_id"].dataType.simpleString()
 
+    @tidy
     def run(batches):
         bits = shared.value
         for batch in small(batches):
@@ -169,6 +171,7 @@ def contamination(
     return rows.select("doc_id", "k", "h", "n_words"), hits
 
 
+@tidy
 def _verified(batches):
     """Compares the words of each try; hit words are those inside any true occurrence."""
     kind = pa.list_(pa.struct([("window", pa.int64()), ("words", pa.string())]))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lapgraph.llm.common import small
+from lapgraph.llm.common import small, tidy
 
 #: Bytes of context at most.
 ORDER = 4
@@ -198,6 +198,7 @@ def train(
     chosen = _sample(labelled, per_language)
     texts = labelled.join(F.broadcast(chosen), labelled["id"].eqNullSafe(chosen["id"]) & (F.col("lang") == F.col("label")))
 
+    @tidy
     def grams(batches):
         for batch in small(batches):
             languages = np.array(batch.column(0).to_pylist(), object)
@@ -252,6 +253,7 @@ def identify(
     shared = docs.sparkSession.sparkContext.broadcast(model)
     id_type = source.schema[id_col].dataType.simpleString()
 
+    @tidy
     def run(batches):
         ppm = shared.value
         for batch in small(batches):
@@ -291,6 +293,7 @@ def keep_identified(
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
+    @tidy
     def run(batches):
         ppm = shared.value
         for batch in small(batches):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.llm.common import NULL_ID, small, split_join, stored
+from lapgraph.llm.common import NULL_ID, small, split_join, stored, tidy
 
 #: Fixed values of the contract, in its order.
 KINDS = ("assign", "access", "hex")
@@ -106,6 +106,7 @@ def scan(
         ("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("value", pa.string()),
     ]))
 
+    @tidy
     def run(batches):
         for batch in small(batches):
             counts = {kind: [] for kind in KINDS}
@@ -208,6 +209,7 @@ def redact(
     at = names.index(text_col)
     length_at = docs.columns.index(length_col) if length_col in docs.columns else None
 
+    @tidy
     def run(batches):
         for batch in small(batches):
             columns, spans = batch.column(0).flatten(), batch.column(1).to_pylist()

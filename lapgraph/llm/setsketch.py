@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapgraph.llm.common import NULL_ID, key_bitmap, lowered, maybe_among, mix64, small, split_join, stored
+from lapgraph.llm.common import NULL_ID, key_bitmap, lowered, maybe_among, mix64, small, split_join, stored, tidy
 from lapgraph.llm.components import components, followed, relabelled
 from lapgraph.llm.words import run_hashes, span_hashes, word_hashes
 
@@ -129,6 +129,7 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.xxhash64(text).alias("h"), text.alias("text"),
     )
 
+    @tidy
     def run(batches):
         for batch in small(batches):
             sizes, names, least = [], [], []
@@ -159,6 +160,7 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def _bands(vertices: DataFrame) -> DataFrame:
     """(bucket, v) for every band of every sketch."""
 
+    @tidy
     def run(batches):
         for batch in small(batches):
             sketches = batch.column(1).to_pylist()
@@ -196,6 +198,7 @@ def _rare_pairs(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     sets with many shingles of their own meet nobody, however alike the rest is.
     """
 
+    @tidy
     def cut(batches):
         for batch in small(batches, 100):
             sets = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
@@ -308,6 +311,7 @@ def _links_between(pairs: DataFrame, members: DataFrame, sets: DataFrame, simila
     )
     hosts = stored(hosts.select(F.col("comp").alias("other"), F.col("rows").alias("host")), "hosts")
 
+    @tidy
     def run(batches):
         for batch in small(batches, 1):
             (v, ones), (w, others) = (
@@ -331,6 +335,7 @@ def _likely(pairs: DataFrame, vertices: DataFrame, similar: float) -> DataFrame:
         F.col("v").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}")
     )
 
+    @tidy
     def run(batches):
         for batch in batches:
             tables = [
@@ -356,6 +361,7 @@ def _sets(docs: DataFrame, vertices: DataFrame, wanted: DataFrame, id_col: str,
     ).withColumn("key", F.xxhash64("k", "h"))
     texts = maybe_among(texts, "key", key_bitmap(keys.select(F.xxhash64("k", "h")), FILTER_BITS))
 
+    @tidy
     def run(batches):
         for batch in small(batches, 100):
             sets = [shingle_set(text).tobytes() for text in batch.column(1).to_pylist()]
@@ -368,6 +374,7 @@ def _sets(docs: DataFrame, vertices: DataFrame, wanted: DataFrame, id_col: str,
 def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """The pairs whose full sets are similar enough, stored."""
 
+    @tidy
     def run(batches):
         for batch in small(batches):
             sides = ([np.frombuffer(x, np.uint64) for x in batch.column(i).to_pylist()] for i in (2, 3))

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lapgraph.llm import components, decontaminate, hamming, secrets, setsketch, shards, substrings
+from lapgraph.llm import common, components, decontaminate, hamming, secrets, setsketch, shards, substrings
+from lapgraph.llm.common import key_bitmap, maybe_among
 from tests.llm.fixtures import LOWER, SPACE, by_id, documents, frame, result, words
 
 
@@ -559,3 +560,21 @@ def test_stages_leave_columns_of_any_name_alone(spark):
         five = lambda df: sorted(repr(tuple(r)[:5]) for r in df.collect())
         assert five(after) == five(plain), name
         docs = after
+
+
+def test_the_filter_by_keys_sends_keys_alone_to_python(spark, capsys):
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(100)], "key long, text string")
+    bitmap = key_bitmap(rows.where("key % 3 = 0").select("key"), 1 << 25)
+    kept, others = (maybe_among(rows, "key", bitmap, among) for among in (True, False))
+    assert sorted(r["key"] for r in kept.collect()) == list(range(0, 100, 3))
+    assert sorted(r["text"] for r in others.collect()) == sorted(f"text {i}" for i in range(100) if i % 3)
+    kept.explain()
+    plan = capsys.readouterr().out
+    assert "ArrowEvalPython [run(key" in plan and "MapInArrow" not in plan
+
+
+def test_a_tidy_task_gives_its_memory_back_at_the_end(monkeypatch):
+    told = []
+    monkeypatch.setattr(common, "return_memory", lambda: told.append("back"))
+    run = common.tidy(lambda batches: ((told.append(b), b)[1] for b in batches))
+    assert list(run([1, 2])) == [1, 2] and told == [1, 2, "back"]
