@@ -238,6 +238,41 @@ def test_scores_are_probabilities():
         assert (10 ** (scores - head)).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_pairs_are_counted_as_their_decisions():
+    """Counting each pair of context and byte once gives the counts of all decisions, one by one."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(("some", "words", "é", "x" * 80)) for _ in range(rng.randrange(60))) for _ in range(30)]
+    parts = [mixing.canonical(t) for t in texts]
+    paths = mixing.Paths(np.bincount(np.frombuffer(b"".join(parts), np.uint8), minlength=256))
+    tables = [np.zeros(2 << b, np.uint32) for b in mixing.SLOT_BITS]
+    mixing.add_counts(tables, paths, parts)
+    expected = [Counter() for _ in tables]
+    for part in parts:
+        symbols, bases, real = mixing.contexts([part])
+        for i in np.flatnonzero(real):
+            start = paths.starts[symbols[i]]
+            for at in range(start, start + paths.lengths[symbols[i]]):
+                for seen, base, bits in zip(expected, bases, mixing.SLOT_BITS):
+                    seen[int((base[i] ^ paths.places[at]) & ((1 << bits) - 1)) * 2 + int(paths.branches[at])] += 1
+    for table, seen in zip(tables, expected):
+        assert {int(i): int(table[i]) for i in np.flatnonzero(table)} == seen
+
+
+def test_long_texts_are_scored_together(monkeypatch):
+    """Texts of unlike lengths share a group, so that steps are not spent on one text each, and a
+    score is that of the text alone."""
+    rng = random.Random(9)
+    texts = [b"".join(rng.choice((b"some ", b"words ", b"or other ")) for _ in range(n)) for n in range(1, 1600, 40)]
+    paths = mixing.Paths(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256))
+    rng_ = np.random.default_rng(2)
+    model = mixing.Mixer(paths, [rng_.integers(-60, 60, 1 << b, dtype=np.int8) for b in mixing.SLOT_BITS])
+    groups, refine = [], mixing.Mixer.refine
+    monkeypatch.setattr(mixing.Mixer, "refine", lambda self, parts, *own: groups.append(len(parts)) or refine(self, parts, *own))
+    together = model.score(texts)
+    assert sum(groups) == 40 and len(groups) == 1
+    assert together.tolist() == [model.score([t])[0] for t in texts]
+
+
 def test_long_texts_are_scored_whole(monkeypatch):
     paths = mixing.Paths(np.ones(256))
     model = mixing.Mixer(paths, [np.zeros(1 << b, np.int8) for b in mixing.SLOT_BITS])
