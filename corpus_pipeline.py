@@ -14,14 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapgraph.llm import bpe, decontaminate, language, secrets, setsketch
-from lapgraph.llm.common import drop_documents, stored, table
+from lapgraph.llm.common import drop_documents, return_memory, stored, table
 from lapgraph.llm.queries import language_model, pretoken_pattern, ranks_path
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the context trees know; null texts and texts without a letter
     go. Equal rows share a fate; nothing is shuffled."""
-    return language.keep_identified(docs, language_model(docs))
+    model = language_model(docs)
+    return_memory()  # what the model was made of
+    return language.keep_identified(docs, model)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -430,7 +430,9 @@ def _linked_sets(
     members = stored(split_join(bands, full.select("bucket"), ["bucket"], "left_semi", "full"), "members")
     # A vertex may need its set in any round: they are made once, for all that met another.
     sets = _sets(docs, vertices, members.select("v"), id_col, text_col)
-    labels = components(_shared_ids(rows) if by_id else docs.sparkSession.createDataFrame([], "a long, b long"))
+    # Where ids link nothing, the labels are known to be empty, so the plans lose their joins.
+    unlinked = members.select(F.col("v").alias("a"), F.col("v").alias("b")).limit(0)
+    labels = components(_shared_ids(rows)) if by_id else unlinked
     for seed in range(ROUNDS):
         members = _mixed(members, labels)
         likely = stored(_likely(_hub_pairs(members, seed), vertices, similar / 100), "likely")

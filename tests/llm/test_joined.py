@@ -254,6 +254,16 @@ def brute_components(rows):
     return {i: find(i) for i in parent}
 
 
+def test_texts_without_shared_ids_take_no_round_for_them(spark, monkeypatch):
+    """Texts that are linked by their sets alone ask for components after each round, not before."""
+    rows = [*documents(), (7001, "one two three four five six", "en", "s"), (7002, "one two three four five six", "en", "s")]
+    asked = []
+    monkeypatch.setattr(setsketch, "components", lambda edges: asked.append(1) or components.components(edges))
+    kept = {(r["k"], r["h"]) for r in setsketch.near_duplicate_texts(frame(spark, rows)).collect() if not r["kept"]}
+    assert len(asked) == setsketch.ROUNDS + 1
+    assert 7002 in {k for k, _ in kept} and 7001 not in {k for k, _ in kept}
+
+
 @pytest.mark.parametrize("rounds", [2, 0])
 def test_near_duplicates(spark, monkeypatch, rounds):
     """With no hub rounds at all, the prefix-filtered join alone must find every link."""
