@@ -224,6 +224,39 @@ def test_every_training_text_shapes_the_code(spark, monkeypatch):
     assert given[0].tolist() == np.bincount(np.frombuffer(whole, np.uint8), minlength=256).tolist()
 
 
+def test_all_training_texts_fill_tables_and_fit_weights(spark, monkeypatch):
+    """In the end the tables hold every training text, also the sampled and the null ones, and the weights
+    are moved by all of them, each predicted by the texts of the other half."""
+    rng = random.Random(4)
+    words = ["some", "words", "é", "or", "others", "x" * 30]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 60))), "en", "s") for i in range(60)]
+    rows += [(None, "a text without id", "en", "s"), *[r for r in rows if zlib.crc32(str(r[0]).encode()) % 10 == 1][:2] * 2]
+    rows += [(i, None, "en", "s") for i in range(60, 80)]
+    docs = frame(spark, rows)
+    monkeypatch.setattr(mixing.Mixer, "fit", lambda self, texts: None)
+    model = mixing.train(docs, id_remainder(10) != 0, id_remainder(10) == 1, "doc_id", "text")
+    own = docs.where(id_remainder(10) != 0).selectExpr("text", f"pmod(xxhash64(doc_id, text), {mixing.HALVES}) AS half")
+    halves = [[mixing.canonical(r.text) for r in own.collect() if r.half == h] for h in range(mixing.HALVES)]
+    assert all(halves) and sum(map(len, halves)) == sum(zlib.crc32(("" if i is None else str(i)).encode()) % 10 > 0 for i, *_ in rows)
+    counts = [[np.zeros(2 << b, np.uint32) for b in mixing.SLOT_BITS] for _ in halves]
+    for tables, parts in zip(counts, halves):
+        mixing.add_counts(tables, model.paths, parts)
+    predicted = lambda counted: [mixing.stretched(c.reshape(-1, 2)) for c in counted]
+    for table, expected in zip(model.tables, predicted([a + b for a, b in zip(*counts)])):
+        assert (table == expected).all()
+    start = mixing.Mixer(model.paths, model.tables).weights
+    slope, curve = np.zeros((16, 4)), np.zeros((16, 4, 4))
+    for tables, parts in zip(counts[::-1], halves):
+        found, pair, signs, _ = mixing.Mixer(model.paths, predicted(tables)).inputs(parts)
+        for x, g, sign in zip(found.T / mixing.SCALE, mixing._GATE[pair], signs):
+            p = 1 / (1 + math.exp(-float(x @ start[g])))
+            slope[g] += x * ((sign > 0) - p)
+            curve[g] += p * (1 - p) * np.outer(x, x)
+    moved = start + np.linalg.solve(curve + mixing.HOLD * np.eye(4), slope[:, :, None])[:, :, 0]
+    assert np.abs(moved - start).max() > 0.05
+    assert model.weights == pytest.approx(moved, abs=1e-3)
+
+
 def test_scores_are_probabilities():
     """Over all bytes that may come next, the probabilities add up to one."""
     rng = random.Random(6)
