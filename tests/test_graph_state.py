@@ -250,3 +250,22 @@ def test_edges_are_computed_once(spark):
     frame = spark.createDataFrame(EDGES, "src string, dst string")
     pagerank(None, frame.withColumn("src", F.udf(count, "string")("src")), max_iter=2)
     assert seen.value == len(EDGES)
+
+
+def test_pushed_rounds_join_splits(spark, monkeypatch):
+    """A round joins a row for each split of a source, not one for each edge, also where pairs repeat or miss an end."""
+    from lapgraph.operators import pagerank as pr
+
+    rows = [("a", f"v{i}") for i in range(40)] + [(f"v{i}", "a") for i in range(40)]
+    frame = lambda rows: spark.createDataFrame(rows, "src string, dst string")
+    seen, push = [], pr._push
+    monkeypatch.setattr(pr, "_push", lambda state, local, *rest: seen.append(local.count()) or push(state, local, *rest))
+    found = push_pagerank(frame(rows), reset_prob=0.5, edges_per_split=10)
+    assert len(set(seen)) == 1 and 41 <= seen[0] <= 44
+    ranks = {r.id: r.pagerank_score for r in found.ranks.collect()}
+    assert ranks["a"] == pytest.approx((0.5 + 0.5 * 40 * 0.5) / (1 - 0.25)) and len(ranks) == 41
+    both = [("a", "b"), ("a", "b"), ("a", "c"), (None, "b"), ("d", None)]
+    now, before = [*both, ("e", "b")], [*both, ("a", "c"), ("f", "b"), ("f", "g")]
+    ids = spark.createDataFrame([(x, 1.0) for x in "abcdefg"], "id string, rank double")
+    moved = {r[0]: r[1] for r in pr._moved_shares(frame(now), frame(before), ids, 0.5).collect()}
+    assert {k: v for k, v in moved.items() if k and v} == pytest.approx({"b": 0.5 - 0.25, "g": -0.25})
